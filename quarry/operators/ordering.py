@@ -85,14 +85,19 @@ def hash_unit(*cols: Column | str, seed: int = 0) -> Column:
     written in other SQL engines: 32 bits of the digest / 2^32.
     """
     parts = [F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols]
-    key = F.concat_ws("|", *parts, F.lit(str(seed))) if seed is not None else F.concat_ws("|", *parts)
+    if seed is not None:
+        parts.append(F.lit(str(seed)))
+    key = F.concat_ws("|", *parts) if len(parts) > 1 else parts[0]
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def hash_unit_sql(key_sql: str, seed: int | None = 0) -> str:
-    """The DuckDB twin of :func:`hash_unit` for one key expression."""
-    key = f"CAST({key_sql} AS VARCHAR)"
-    text = f"concat_ws('|', {key}, '{seed}')" if seed is not None else key
+def hash_unit_sql(key_sql: str | list[str], seed: int | None = 0) -> str:
+    """The DuckDB twin of :func:`hash_unit` for one key expression (or a list)."""
+    keys = [key_sql] if isinstance(key_sql, str) else list(key_sql)
+    parts = [f"CAST({k} AS VARCHAR)" for k in keys]
+    if seed is not None:
+        parts.append(f"'{seed}'")
+    text = f"concat_ws('|', {', '.join(parts)})" if len(parts) > 1 else parts[0]
     return f"(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
 
 
@@ -102,6 +107,7 @@ def position_within(
     unit: Column,
     name: str = "pos",
     buckets: int = 4096,
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """1-based position of each row within its ``by`` group when ordered by ``unit``.
 
@@ -117,7 +123,7 @@ def position_within(
     counts = tagged.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    inner = Window.partitionBy(*by, "__b").orderBy("__u")
+    inner = Window.partitionBy(*by, "__b").orderBy("__u", *tiebreak)
     ranked = tagged.withColumn("__r", F.row_number().over(inner))
     join_keys = [*by, "__b"]
     out = ranked.join(offsets, join_keys, "inner").withColumn(name, F.col("__r") + F.col("__off"))
