@@ -489,7 +489,6 @@ def _auc_sql(score):
     UNION ALL SELECT 'words', 'accuracy', {R('(SELECT avg(CAST(y = CAST(words >= 150 AS INTEGER) AS DOUBLE)) FROM ' + _SCORED + ')')}""")
 def _e8(spark, sf):
     s = scored(spark, sf)
-    chars = E.auc(s, "y", "score").crossJoin(E.accuracy(s, "y", "pred").select("accuracy")) if False else None
     a1 = E.auc(s, "y", "score")
     a2 = E.auc(s, "y", "words")
     acc1 = E.accuracy(s, "y", "pred").select("accuracy")

@@ -30,11 +30,12 @@ def binary_metrics(df: DataFrame, label: str, pred: str, positive=1) -> DataFram
     y, p = F.col(label) == F.lit(positive), F.col(pred) == F.lit(positive)
     c = df.agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(~y & ~p).alias("tn"),
                F.count_if(y & ~p).alias("fn"))
-    sens = F.col("tp") / (F.col("tp") + F.col("fn"))
-    spec = F.col("tn") / (F.col("tn") + F.col("fp"))
-    prec = F.col("tp") / (F.col("tp") + F.col("fp"))
+    # try_divide: an empty cell (no predicted positives, ...) gives NULL, not an error
+    sens = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
+    spec = F.try_divide(F.col("tn"), F.col("tn") + F.col("fp"))
+    prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
     return c.select("*", sens.alias("sensitivity"), spec.alias("specificity"), prec.alias("precision"),
-                    (2 * prec * sens / (prec + sens)).alias("f1"))
+                    F.try_divide(2 * prec * sens, prec + sens).alias("f1"))
 
 
 def roc_table(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
