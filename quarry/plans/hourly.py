@@ -39,12 +39,12 @@ def hourly_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_distinct("instant").alias("active_hours"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy("weekday_name"))
     return per.select("weekday_name", "event_type", "n", rnd("total_value", 2).alias("total_value"), "active_hours",
-                      rnd(F.col("total_value") / F.col("n")).alias("value_per_event"),
+                      rnd(rnd("total_value", 2) / F.col("n")).alias("value_per_event"),
                       rnd(F.col("n") / F.col("active_hours")).alias("events_per_active_hour"),
                       rnd(share).alias("share_of_weekday"))
 
 
 HOURLY_RATES_SQL = f"""WITH h AS (SELECT event_type, value, date_trunc('hour', ts) AS instant, dayname(ts) AS weekday_name FROM events),
     p AS (SELECT weekday_name, event_type, count(*) AS n, sum(value) AS tv, count(DISTINCT instant) AS active_hours FROM h GROUP BY 1, 2)
-    SELECT weekday_name, event_type, n, {rnd_sql('tv', 2)} AS total_value, active_hours, {rnd_sql('tv / n')} AS value_per_event,
+    SELECT weekday_name, event_type, n, {rnd_sql('tv', 2)} AS total_value, active_hours, {rnd_sql(rnd_sql('tv', 2) + ' / n')} AS value_per_event,
       {rnd_sql('n / active_hours')} AS events_per_active_hour, {rnd_sql('n / sum(n) OVER (PARTITION BY weekday_name)')} AS share_of_weekday FROM p"""
