@@ -374,10 +374,12 @@ def _c5(spark, sf):
     return b.withColumn("mean", rnd("mean", 4))
 
 
-@query("c6_kde", f"""WITH v AS (SELECT l_returnflag, l_quantity, count(*) AS c FROM lineitem GROUP BY 1, 2),
-    g AS (SELECT l_returnflag, min(l_quantity) AS lo, max(l_quantity) AS hi, stddev_samp(l_quantity) AS sd, count(l_quantity) AS n FROM lineitem GROUP BY 1),
+@query("c6_kde", f"""WITH g AS (SELECT l_returnflag, min(l_quantity) AS lo, max(l_quantity) AS hi, stddev_samp(l_quantity) AS sd,
+      count(l_quantity) AS n FROM lineitem GROUP BY 1),
+    v AS (SELECT l_returnflag, lo + (least(floor((l_quantity - lo) / ((hi - lo) / 1024)), 1023) + 0.5) * (hi - lo) / 1024 AS centre,
+      count(*) AS c FROM lineitem JOIN g USING (l_returnflag) GROUP BY l_returnflag, least(floor((l_quantity - lo) / ((hi - lo) / 1024)), 1023), lo, hi),
     gg AS (SELECT l_returnflag, i, lo + i * (hi - lo) / 63 AS x, sd * pow(n, -0.2) AS h, n FROM g, generate_series(0, 63) AS t(i))
-    SELECT gg.l_returnflag, CAST(i AS INTEGER) AS i, {R('x', 4)} AS x, {R('sum(c * exp(-0.5 * pow((x - l_quantity) / h, 2))) / (n * h * 2.5066282746310002)', 9)} AS density
+    SELECT gg.l_returnflag, CAST(i AS INTEGER) AS i, {R('x', 4)} AS x, {R('sum(c * exp(-0.5 * pow((x - centre) / h, 2))) / (n * h * 2.5066282746310002)', 9)} AS density
     FROM gg JOIN v USING (l_returnflag) GROUP BY gg.l_returnflag, i, x, n, h""")
 def _c6(spark, sf):
     k = CH.kde(table(spark, sf, "lineitem"), "l_quantity", "l_returnflag")

@@ -52,18 +52,25 @@ def transpose_small(df: DataFrame, index: str) -> DataFrame:
     return df.transpose(F.col(index))
 
 
-def top_values_report(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
+def top_values_report(df: DataFrame, cols: Sequence[str], n: int, buckets: int = 256) -> DataFrame:
     """The ``n`` most frequent values of every column in one pass.
 
-    unpivot -> count per (column, value) -> rank within column; the window
-    runs on the aggregated table (distinct values per column).
+    unpivot -> count per (column, value) -> two-phase top-n: first within
+    (column, hash bucket of the value), then within the column over at most
+    ``buckets * n`` survivors. A column with a billion distinct values never
+    sits in one task; the result equals a single global ranking because the
+    order (count desc, value asc) is total.
     """
     from pyspark.sql import Window
 
     long = df.select([F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
     freq = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_last("value"))
-    return freq.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    order = [F.desc("n"), F.asc_nulls_last("value")]
+    b = F.pmod(F.xxhash64("value"), F.lit(buckets))
+    first = freq.withColumn("__b", b).withColumn(
+        "__r", F.row_number().over(Window.partitionBy("column", "__b").orderBy(*order))).where(F.col("__r") <= n)
+    w = Window.partitionBy("column").orderBy(*order)
+    return first.drop("__b", "__r").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
 def aligned_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -88,7 +88,12 @@ def bootstrap_weights(df: DataFrame, key: str, replicates: int, seed: int = 0) -
     only: it is never shuffled or stored.
     """
     x = df.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    return x.withColumn("w", poisson1(hash_unit(key, "rep", seed=seed))).where(F.col("w") > 0)
+    # the draw is its own column: the CASE chain of poisson1 then reads it
+    # instead of re-evaluating the md5 in every branch
+    x = x.withColumn("__u", hash_unit(key, "rep", seed=seed))
+    # zero weights are kept (they add nothing to weighted sums); a filter on w
+    # would be pushed below the projection and evaluate the md5 a second time
+    return x.withColumn("w", poisson1(F.col("__u"))).drop("__u")
 
 
 def bootstrap_moments(df: DataFrame, key: str, value: str, replicates: int, seed: int = 0,
