@@ -210,10 +210,28 @@ def _l13(spark, sf):
     return _stepwise(spark, sf, "backward")
 
 
-@query("l14_correlation_pruning")
+def _l14_sql():
+    from quarry.catalog.stats import _mi_sql
+    from quarry.functions.rounding import rnd_sql
+
+    src = "(SELECT *, l_extendedprice * (1 - l_discount) AS revenue FROM lineitem) AS li"
+    feats = [*NB_FEATURES, "revenue"]
+    pairs = " UNION ALL ".join(f"SELECT '{a}' AS var1, '{b}' AS var2, corr({a}, {b}) AS c FROM {src}"
+                               for i, a in enumerate(feats) for b in feats[i + 1:] if a < b)
+    pairs += " UNION ALL " + " UNION ALL ".join(f"SELECT '{b}' AS var1, '{a}' AS var2, corr({a}, {b}) AS c FROM {src}"
+                                                 for i, a in enumerate(feats) for b in feats[i + 1:] if b < a)
+    return f"""WITH mi AS ({_mi_sql(feats, 'l_returnflag', src=src)}), p AS ({pairs})
+      SELECT CASE WHEN m1.mi >= m2.mi THEN var1 ELSE var2 END AS kept, CASE WHEN m1.mi >= m2.mi THEN var2 ELSE var1 END AS dropped,
+        {rnd_sql('c')} AS corr FROM p JOIN mi m1 ON m1.feature = var1 JOIN mi m2 ON m2.feature = var2 WHERE abs(c) > 0.8"""
+
+
+@query("l14_correlation_pruning", _l14_sql())
 def _l14(spark, sf):
+    from quarry.functions.rounding import rnd
+
     li = table(spark, sf, "lineitem").withColumn("revenue", F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    return M.correlation_pruning(li, [*NB_FEATURES, "revenue"], "l_returnflag", 0.8)
+    out = M.correlation_pruning(li, [*NB_FEATURES, "revenue"], "l_returnflag", 0.8)
+    return out.withColumn("corr", rnd("corr"))
 
 
 @query("k3_tree_structure")

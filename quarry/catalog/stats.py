@@ -228,12 +228,12 @@ def _x15(spark, sf):
     return X.intervals_overlap(iv, "l_returnflag")
 
 
-def _mi_sql(feats, label, bins=10):
+def _mi_sql(feats, label, bins=10, src="lineitem"):
     rng = ", ".join(f"min({f}) AS mn_{f}, max({f}) AS mx_{f}" for f in feats)
     binned = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, CAST(least(floor(({f} - mn_{f}) / greatest(mx_{f} - mn_{f}, 1e-300) * {bins}), {bins - 1}) AS INTEGER)"
-        f" AS bin, {label} AS y FROM lineitem, r" for f in feats)
-    return f"""WITH r AS (SELECT {rng} FROM lineitem), b AS ({binned}),
+        f" AS bin, {label} AS y FROM {src}, r" for f in feats)
+    return f"""WITH r AS (SELECT {rng} FROM {src}), b AS ({binned}),
       j AS (SELECT feature, bin, y, count(*) AS nxy FROM b GROUP BY ALL),
       m AS (SELECT *, sum(nxy) OVER (PARTITION BY feature) AS n, sum(nxy) OVER (PARTITION BY feature, bin) AS nx,
         sum(nxy) OVER (PARTITION BY feature, y) AS ny FROM j),

@@ -201,27 +201,22 @@ def fit_gaussian_nb(df: DataFrame, features: Sequence[str], label: str, var_smoo
         *[(F.var_pop(f) + eps).alias(f"var_{f}") for f in features])
 
 
-def _class_levels(params: DataFrame, label: str) -> list:
-    # k class labels (bounded): the expression list is built per class
-    return [r[0] for r in params.select(label).orderBy(label).collect()]
-
-
 def nb_loglik_columns(df: DataFrame, params: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, list]:
-    """Per-row log-likelihood terms ``__ll_{c}_{f}`` and log priors ``__lp_{c}``.
-
-    Class parameters reach the rows as ONE scalar subquery (a sorted array of
-    k structs); no join, no cross product."""
-    classes = _class_levels(params, label)
-    arr = params.select(F.array_sort(F.collect_list(F.struct(label, *[c for c in params.columns if c != label])))
-                        ).scalar()
+    """Per-row log-likelihood terms ``__ll_{i}_{f}`` and log priors ``__lp_{i}``.
+
+    The fitted parameters are model-sized (k classes x f features), like the
+    coefficients of any fitted ``pyspark.ml`` model: they are collected once
+    and inlined as literals, which keeps the row expressions small and free
+    of subqueries."""
+    rows = params.orderBy(label).collect()
+    classes = [r[label] for r in rows]
     cols = {}
-    for i, c in enumerate(classes):
-        p = F.element_at(arr, i + 1)
-        cols[f"__lp_{i}"] = F.ln(p["prior"])
+    for i, p in enumerate(rows):
+        cols[f"__lp_{i}"] = F.lit(math.log(p["prior"]))
         for f in features:
-            var = p[f"var_{f}"]
-            cols[f"__ll_{i}_{f}"] = F.lit(-0.5) * F.ln(F.lit(2 * math.pi) * var) - \
-                (F.col(f) - p[f"mu_{f}"]) ** 2 / (F.lit(2.0) * var)
+            mu, var = float(p[f"mu_{f}"]), float(p[f"var_{f}"])
+            cols[f"__ll_{i}_{f}"] = F.lit(-0.5 * math.log(2 * math.pi * var)) - \
+                (F.col(f) - F.lit(mu)) ** 2 / F.lit(2.0 * var)
     return df.withColumns(cols), classes
 
 
