@@ -45,20 +45,20 @@ def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson"
     Pairwise-complete: ``corr`` skips rows where either value is NULL.
     """
     src = spearman_ranks(df, cols) if method == "spearman" else df
-    aggs = []
+    if len(cols) < 2:
+        raise ValueError("need two or more columns")
+    aggs = {}
     for i, a in enumerate(cols):
         for b in cols[i + 1:]:
-            aggs.append(F.corr(a, b).alias(f"{a}__{b}"))
-    if not aggs:
-        raise ValueError("need two or more columns")
-    wide = src.agg(*aggs)
-    long = wide.unpivot([], wide.columns, "pair", "corr")
-    parts = F.split("pair", "__")
-    upper = long.select(parts[0].alias("var1"), parts[1].alias("var2"), "corr")
-    lower = upper.select(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "corr")
-    spark = df.sparkSession
-    diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "var1 string, var2 string, corr double")
-    return upper.unionByName(lower).unionByName(diag)
+            aggs[(a, b)] = F.corr(a, b)
+    wide = src.agg(*[e.alias(f"{a}__{b}") for (a, b), e in aggs.items()])
+    # one aggregate row -> all ordered pairs (both triangles and the diagonal) by explode
+    cells = []
+    for a in cols:
+        for b in cols:
+            v = F.lit(1.0) if a == b else F.col(f"{a}__{b}" if (a, b) in aggs else f"{b}__{a}")
+            cells.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), v.cast("double").alias("corr")))
+    return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
 def average_ranks(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
