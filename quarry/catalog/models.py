@@ -98,7 +98,7 @@ def _l5(spark, sf):
     data = M.class_weights(order_features(spark, sf), "status")
     data = apply_zscore(data, fit_zscore(data.where(F.col("split") == "train"), ORDER_FEATURES), ORDER_FEATURES)
     v = M.vectorize(data, ORDER_FEATURES, "status")
-    model = M.linear_svc(30, 0.01, weight_col="weight").fit(v.where(F.col("split") == "train"))
+    model = M.linear_svc(10, 0.01, weight_col="weight").fit(v.where(F.col("split") == "train"))
     return M.predictions(model, v.where(F.col("split") == "test"), "o_orderkey")
 
 
