@@ -442,9 +442,10 @@ def _t22(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
-@query("t23_drop_leakage", "SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority FROM orders")
+@query("t23_drop_leakage", "SELECT o_orderkey, o_custkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders")
 def _t23(spark, sf):
-    return C.drop_columns(table(spark, sf, "orders"), ["o_totalprice", "o_orderstatus"])
+    out = C.drop_columns(table(spark, sf, "orders"), ["o_totalprice", "o_orderstatus"])
+    return out.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 # ---- B: sampling -------------------------------------------------------------------------

@@ -110,7 +110,7 @@ def _s11(spark, sf):
     return C.cast_columns(named, {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
 
 
-@query("s12_stage_table_reuse", """SELECT year(l_shipdate) AS yr, month(l_shipdate) AS mo, CAST(sum(l_quantity) AS DOUBLE) AS qty,
+@query("s12_stage_table_reuse", """SELECT CAST(year(l_shipdate) AS INTEGER) AS yr, CAST(month(l_shipdate) AS INTEGER) AS mo, CAST(sum(l_quantity) AS DOUBLE) AS qty,
     count(*) AS n FROM lineitem GROUP BY 1, 2""")
 def _s12(spark, sf):
     li = table(spark, sf, "lineitem")
@@ -175,11 +175,11 @@ def _u2(spark, sf):
     return tr.unionByName(te).groupBy("split", "priority").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("u3_column_difference", "SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority FROM orders")
+@query("u3_column_difference", "SELECT o_orderkey, o_custkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders")
 def _u3(spark, sf):
     o = table(spark, sf, "orders")
     keep = [c for c in o.columns if c not in {"o_orderstatus", "o_totalprice"}]  # U3: set difference of names
-    return o.select(*keep)
+    return o.select(*keep).withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 @query("d5_drop_time_zone", """SELECT event_id, strftime(timezone('America/New_York', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S') AS local_ts FROM events""")

@@ -89,7 +89,7 @@ def _x4p(spark, sf):
 _ANOVA_SQL = f"""WITH g AS (SELECT p_brand, count(*) AS n, avg(p_retailprice) AS m, var_samp(p_retailprice) AS v FROM part GROUP BY 1),
     t AS (SELECT sum(n) AS big_n, sum(n * m) / sum(n) AS grand, count(*) AS k FROM g),
     s AS (SELECT sum(n * pow(m - grand, 2)) AS ssb, sum((n - 1) * coalesce(v, 0)) AS ssw FROM g, t)
-    SELECT k, big_n AS n, {R('ssb', 4)} AS ssb, {R('ssw', 4)} AS ssw, k - 1 AS df1, big_n - k AS df2,
+    SELECT k, CAST(big_n AS BIGINT) AS n, {R('ssb', 4)} AS ssb, {R('ssw', 4)} AS ssw, k - 1 AS df1, CAST(big_n - k AS BIGINT) AS df2,
       {R('(ssb / (k - 1)) / (ssw / (big_n - k))')} AS f FROM s, t"""
 
 
@@ -108,7 +108,7 @@ def _x5p(spark, sf):
     s AS (SELECT sum((n - 1) * coalesce(v, 0)) / (sum(n) - count(*)) AS msw, sum(n) - count(*) AS dfw, count(*) AS k FROM g)
     SELECT a.p_type AS group1, b.p_type AS group2, {R('b.m - a.m')} AS meandiff,
       {R('sqrt(msw / 2.0 * (1.0 / a.n + 1.0 / b.n))')} AS se,
-      {R('abs(b.m - a.m) / sqrt(msw / 2.0 * (1.0 / a.n + 1.0 / b.n))')} AS q, k, dfw
+      {R('abs(b.m - a.m) / sqrt(msw / 2.0 * (1.0 / a.n + 1.0 / b.n))')} AS q, k, CAST(dfw AS BIGINT) AS dfw
     FROM g a JOIN g b ON a.p_type < b.p_type, s""")
 def _x6(spark, sf):
     return round_doubles(X.tukey_hsd(table(spark, sf, "part"), "p_type", "p_retailprice"))
@@ -249,7 +249,7 @@ def _x16(spark, sf):
 
 @query("x17_simple_ols", f"""SELECT {R('regr_slope(l_extendedprice, l_quantity)')} AS slope,
     {R('regr_intercept(l_extendedprice, l_quantity)', 4)} AS intercept, {R('regr_r2(l_extendedprice, l_quantity)')} AS r2,
-    regr_count(l_extendedprice, l_quantity) AS n,
+    CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n,
     {R('regr_slope(l_extendedprice, l_quantity) / sqrt((1 - regr_r2(l_extendedprice, l_quantity)) * regr_syy(l_extendedprice, l_quantity) / (regr_count(l_extendedprice, l_quantity) - 2) / regr_sxx(l_extendedprice, l_quantity))', 4)} AS t_slope
     FROM lineitem""")
 def _x17(spark, sf):
