@@ -330,6 +330,18 @@ def _t13(spark, sf):
     return T.spelling_candidates(w, "word", "gear", "^g|r$|a", 3)
 
 
+@query("t13_apply_spelling_table", """WITH w AS (SELECT split_part(p_name, ' ', 2) AS word FROM part),
+    c AS (SELECT word AS from_value, 'gear' AS to_value FROM w WHERE regexp_matches(word, '^g|r$|a')
+      GROUP BY word HAVING levenshtein(upper(word), 'GEAR') <= 3)
+    SELECT coalesce(to_value, word) AS word, count(*) AS n FROM w LEFT JOIN c ON word = from_value GROUP BY 1""")
+def _t13b(spark, sf):
+    """T13 / T11 long form: the spelling table (candidates -> canonical) joined on the value."""
+    w = table(spark, sf, "part").select(C.split_part("p_name", " ", 2).alias("word"))
+    rules = T.spelling_candidates(w, "word", "gear", "^g|r$|a", 3).select(
+        F.col("word").alias("from_value"), F.col("canonical").alias("to_value"))
+    return T.consolidate_by_table(w, "word", rules).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
 _T14_KEEP = ["PROMO_A", "PROMO_B", "SMALL_Brand#1", "LARGE_Brand#2"]
 
 

@@ -310,21 +310,37 @@ def _profile_sql():
         num = c in ("o_custkey", "o_totalprice")
         typ = {"o_custkey": "bigint", "o_totalprice": "double"}.get(c, "string")
         stats = (f"{R(f'avg(CAST({c} AS DOUBLE))', 4)}, {R(f'stddev_samp(CAST({c} AS DOUBLE))', 4)}, "
-                 f"CAST(min({c}) AS DOUBLE), {R(f'median(CAST({c} AS DOUBLE))', 4)}, CAST(max({c}) AS DOUBLE)") if num else \
-            "NULL, NULL, NULL, NULL, NULL"
+                 f"CAST(min({c}) AS DOUBLE), {R(f'quantile_cont(CAST({c} AS DOUBLE), 0.25)', 4)}, {R(f'median(CAST({c} AS DOUBLE))', 4)}, "
+                 f"{R(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)', 4)}, CAST(max({c}) AS DOUBLE)") if num else \
+            "NULL, NULL, NULL, NULL, NULL, NULL, NULL"
         parts.append(f"""SELECT '{c}' AS "column", '{typ}' AS type, count({c}) AS count, count(*) FILTER (WHERE {c} IS NULL) AS missing,
           count(DISTINCT {c}) AS "distinct", {stats},
           (SELECT CAST({c} AS VARCHAR) FROM orders GROUP BY {c} ORDER BY count(*) DESC, CAST({c} AS VARCHAR) NULLS LAST LIMIT 1) AS top,
           (SELECT count(*) FROM orders GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) AS top_freq FROM orders""")
     u = " UNION ALL ".join(parts)
-    return f'SELECT "column", type, count, missing, "distinct", col5 AS mean, col6 AS std, col7 AS min, col8 AS median, col9 AS max, top, top_freq FROM ({u}) AS t("column", type, count, missing, "distinct", col5, col6, col7, col8, col9, top, top_freq)'
+    return (f'SELECT "column", type, count, missing, "distinct", col5 AS mean, col6 AS std, col7 AS min, c_q25 AS q25, '
+            f'col8 AS median, c_q75 AS q75, col9 AS max, top, top_freq FROM ({u}) AS t("column", type, count, missing, '
+            f'"distinct", col5, col6, col7, c_q25, col8, c_q75, col9, top, top_freq)')
 
 
 @query("x21_profile", _profile_sql())
 def _x21(spark, sf):
     p = X.profile(table(spark, sf, "orders"), _PROF_COLS)
     return p.select("column", "type", "count", "missing", "distinct", rnd("mean", 4).alias("mean"),
-                    rnd("std", 4).alias("std"), "min", rnd("median", 4).alias("median"), "max", "top", "top_freq")
+                    rnd("std", 4).alias("std"), "min", rnd("q25", 4).alias("q25"), rnd("median", 4).alias("median"),
+                    rnd("q75", 4).alias("q75"), "max", "top", "top_freq")
+
+
+_WARN_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "revenue"]
+
+
+@query("x21_correlation_warnings", "WITH li AS (SELECT *, l_extendedprice * (1 - l_discount) AS revenue FROM lineitem) "
+       "SELECT * FROM (" + " UNION ALL ".join(
+           f"SELECT '{a}' AS var1, '{b}' AS var2, {R(f'corr({a}, {b})')} AS corr FROM li"
+           for a in _WARN_COLS for b in _WARN_COLS if a < b) + ") WHERE abs(corr) > 0.9")
+def _x21w(spark, sf):
+    li = table(spark, sf, "lineitem").withColumn("revenue", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    return X.correlation_warnings(li, _WARN_COLS, 0.9).withColumn("corr", rnd("corr"))
 
 
 # ---- C: chart data ---------------------------------------------------------------------

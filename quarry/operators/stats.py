@@ -446,7 +446,9 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
             (F.avg(x) if num else F.lit(None).cast("double")).alias("mean"),
             (F.stddev_samp(x) if num else F.lit(None).cast("double")).alias("std"),
             (F.min(x) if num else F.lit(None).cast("double")).alias("min"),
+            (F.percentile(x, 0.25) if num else F.lit(None).cast("double")).alias("q25"),
             (F.median(x) if num else F.lit(None).cast("double")).alias("median"),
+            (F.percentile(x, 0.75) if num else F.lit(None).cast("double")).alias("q75"),
             (F.max(x) if num else F.lit(None).cast("double")).alias("max")).alias(c))
     wide = df.agg(*aggs)
     stats = wide.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("s")).select("s.*")
@@ -454,3 +456,9 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
     top = top_values_report(df, cols, 1).select("column", F.col("value").alias("top"), F.col("n").alias("top_freq"))
     return stats.join(top, "column", "left")
+
+
+def correlation_warnings(df: DataFrame, cols: Sequence[str], threshold: float = 0.9) -> DataFrame:
+    """X21 warning part: pairs of numeric columns with |Pearson r| above ``threshold``."""
+    c = correlation_long(df, cols)
+    return c.where((F.col("var1") < F.col("var2")) & (F.abs("corr") > threshold))
