@@ -61,7 +61,7 @@ def _crossing(eqtime: Column, decl: Column, lat: float, lon: float, utc_offset_h
 
 
 def daylight_dimension(dates: DataFrame, date_col: str, lat: float, lon: float, utc_offset_h: float) -> DataFrame:
-    """One row per distinct date with the six boundary times (local seconds of day)."""
+    """One row per distinct date with the six boundary times (local seconds of day)."""
     d = dates.select(F.col(date_col).alias("day")).distinct()
     eqtime, decl = _solar_terms(F.col("day"))
     cols = {
@@ -101,7 +101,7 @@ def daylight_sql(date_expr: str, lat: float, lon: float, utc_offset_h: float) ->
 
 def classify_daylight(events: DataFrame, ts_col: str, lat: float, lon: float, utc_offset_h: float,
                       name: str = "daylight") -> DataFrame:
-    """Label each event night / blue_hour / golden_hour / day (J7 after T20)."""
+    """Label each event night / blue_hour / golden_hour / day."""
     from quarry.operators.joins import classify_in_intervals
 
     local = F.col(ts_col) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(round(utc_offset_h * 60))))
