@@ -83,8 +83,12 @@ def hot_deck(
     numbered = numbered.join(F.broadcast(offsets.drop("__n")), "__b").select(
         (F.col("__r") - 1 + F.col("__off")).alias("__donor"), "__dval"
     )
+    # unflagged rows get distinct negative keys that never match: NULL keys
+    # would all hash to one reducer of the join (one task for most rows)
+    spread = -(F.lit(1) + F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30))).cast("long")
     picks = marked.withColumn(
         "__donor", F.when(F.col("__flag"), F.floor(hash_unit(key, seed=seed) * n_donors).cast("long"))
+        .otherwise(spread)
     )
     out = picks.join(numbered, "__donor", "left")
     return out.withColumn(col, F.when(F.col("__flag"), F.col("__dval")).otherwise(F.col(col))).drop(
