@@ -296,7 +296,7 @@ _RUNNING_SQL = """WITH f AS (SELECT p_brand, count(*) AS n FROM part WHERE p_bra
     share=R("sum(n) OVER (ORDER BY n DESC, p_brand ROWS UNBOUNDED PRECEDING) / (SELECT sum(n) FROM f)")))
 def _w2(spark, sf):
     freq = A.value_counts(table(spark, sf, "part"), "p_brand", sort=None)
-    return W.running_share(freq, "p_brand").withColumn("cum_share", rnd("cum_share"))
+    return W.running_share(freq, "p_brand").withColumn("cum_share", rnd("cum_share")).drop("prev_share")
 
 
 @query("w3_cumulative_grid", f"""SELECT l_quantity, n, CAST(sum(n) OVER (ORDER BY l_quantity) AS BIGINT) AS cdf_n,

@@ -38,6 +38,9 @@ def tukey_pvalue(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
 
 # ---- X1 - X3 correlation ------------------------------------------------------------
 
+CHUNK = 256
+
+
 def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> DataFrame:
     """Correlation matrix as a long table (var1, var2, corr), one aggregate.
 
@@ -47,18 +50,22 @@ def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson"
     src = spearman_ranks(df, cols) if method == "spearman" else df
     if len(cols) < 2:
         raise ValueError("need two or more columns")
-    aggs = {}
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            aggs[(a, b)] = F.corr(a, b)
-    wide = src.agg(*[e.alias(f"{a}__{b}") for (a, b), e in aggs.items()])
-    # one aggregate row -> all ordered pairs (both triangles and the diagonal) by explode
-    cells = []
-    for a in cols:
-        for b in cols:
-            v = F.lit(1.0) if a == b else F.col(f"{a}__{b}" if (a, b) in aggs else f"{b}__{a}")
-            cells.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), v.cast("double").alias("corr")))
-    return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    out = None
+    # long expression lists are chunked: at most CHUNK correlations per aggregate
+    for start in range(0, len(pairs), CHUNK):
+        chunk = pairs[start:start + CHUNK]
+        wide = src.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in chunk])
+        cells = []
+        for a, b in chunk:
+            v = F.col(f"{a}__{b}").cast("double")
+            cells.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), v.alias("corr")))
+            cells.append(F.struct(F.lit(b).alias("var1"), F.lit(a).alias("var2"), v.alias("corr")))
+        if start == 0:  # the diagonal rides along with the first chunk
+            cells += [F.struct(F.lit(a).alias("var1"), F.lit(a).alias("var2"), F.lit(1.0).alias("corr")) for a in cols]
+        part = wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def average_ranks(df: DataFrame, col: str, name: str | None = None) -> DataFrame:

@@ -28,7 +28,8 @@ def running_share(freq: DataFrame, value_col: str, count_col: str = "n") -> Data
     out = global_running_sum(
         freq, [F.desc(count_col), F.asc_nulls_last(value_col)], count_col, "cum_n", with_row_number="rank"
     )
-    return out.withColumn("cum_share", F.col("cum_n") / total)
+    return out.withColumn("cum_share", F.col("cum_n") / total).withColumn(
+        "prev_share", (F.col("cum_n") - F.col(count_col)) / total)
 
 
 def cumulative_over_grid(grid: DataFrame, order: str, value: str, name: str = "cdf") -> DataFrame:
@@ -95,7 +96,7 @@ def lump_by_share(df: DataFrame, col: str, share: float, max_keep: int | None =
     """
     freq = df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).where(F.col(col).isNotNull())
     ranked = running_share(freq, col)
-    keep = ranked.where((F.col("cum_share") - F.col("n") / F.col("cum_n") * F.col("cum_share")) < F.lit(share))
+    keep = ranked.where(F.col("prev_share") < F.lit(share))  # the value that crosses the share is kept
     if max_keep is not None:
         keep = keep.where(F.col("rank") <= max_keep)
     keep = keep.select(F.col(col).alias("__keep"))
