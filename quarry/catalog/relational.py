@@ -125,6 +125,13 @@ def _a9(spark, sf):
     return d.withColumn("value", rnd("value"))
 
 
+@query("a9_describe_numeric_sorted", _describe_sql(_DESC_COLS, "lineitem"))
+def _a9s(spark, sf):
+    """A9 with exact quartiles from a distributed sort (the scale path for continuous columns)."""
+    d = A.describe(table(spark, sf, "lineitem"), _DESC_COLS, method="sort")
+    return d.withColumn("value", rnd("value"))
+
+
 @query("a9_describe_categorical", """WITH long AS (
       SELECT 'p_brand' AS "column", p_brand AS value FROM part UNION ALL
       SELECT 'p_type', p_type FROM part UNION ALL SELECT 'p_name', p_name FROM part),

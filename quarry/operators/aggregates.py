@@ -44,6 +44,35 @@ def quantile_expr(c: str | Column, probs: Sequence[float], exact: bool = True) -
     return F.percentile_approx(col, [float(p) for p in probs], 10000)
 
 
+def sorted_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles (linear interpolation) of one column through a distributed sort.
+
+    For columns with too many distinct values for ``percentile``'s
+    value->count map: the non-null values get their global position (range
+    sort + checkpoint, see ``ordering``), the rows at the floor / ceiling of
+    every position ``p * (n - 1)`` are kept (2 per quantile) and interpolated.
+    Returns one row per probability: (p, value).
+    """
+    from quarry.operators.ordering import global_row_number
+
+    x = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    n = x.agg(F.count(F.lit(1))).scalar()
+    numbered = global_row_number(x, [F.asc("v")], "rn")  # 1-based
+    spark = df.sparkSession
+    ps = spark.range(len(probs)).select(
+        F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("id").cast("int") + 1).alias("p"))
+    pos = ps.withColumn("pos", F.col("p") * (n - 1)).withColumn("lo", F.floor("pos") + 1).withColumn(
+        "hi", F.ceil("pos") + 1)
+    wanted = pos.select(F.explode(F.array("lo", "hi")).alias("rn")).distinct()
+    # at most 2 * len(probs) rows survive the semi join
+    picked = numbered.join(F.broadcast(wanted), "rn", "left_semi")
+    lo = picked.select(F.col("rn").alias("lo"), F.col("v").alias("v_lo"))
+    hi = picked.select(F.col("rn").alias("hi"), F.col("v").alias("v_hi"))
+    j = pos.join(F.broadcast(lo), "lo").join(F.broadcast(hi), "hi")
+    return j.select("p", (F.col("v_lo") + (F.col("pos") - (F.col("lo") - 1)) * (F.col("v_hi") - F.col("v_lo")))
+                    .alias("value"))
+
+
 def group_describe(df: DataFrame, by: Sequence[str], value: str, exact: bool = True) -> DataFrame:
     """A3: n, mean, sample sd, min, quartiles, max per group."""
     q = quantile_expr(value, [0.25, 0.5, 0.75], exact)
@@ -104,13 +133,31 @@ def relative_frequency_total(df: DataFrame, col: str, digits: int | None = 6) ->
     return counts.withColumn("share", rnd(share, digits) if digits is not None else share)
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """A9 (numeric part): one pass, one row per (column, statistic).
+def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
+             method: str | None = None) -> DataFrame:
+    """A9 (numeric part): one row per (column, statistic).
 
     count, mean, std (n-1), min, 25%, 50%, 75%, max like ``DataFrame.describe``
-    in pandas; computed by a single aggregate and unpivoted.
+    in pandas; computed by a single aggregate and unpivoted. ``method='sort'``
+    takes the quartiles from ``sorted_quantiles`` (exact, distributed sort)
+    instead of ``percentile``'s value->count map -- for continuous columns
+    at scale.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
+    if method == "sort":
+        moments_ = df.agg(*[e for c in cols for e in (
+            F.count(F.col(c)).cast("double").alias(f"{c}__count"), F.avg(F.col(c).cast("double")).alias(f"{c}__mean"),
+            F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__std"), F.min(F.col(c).cast("double")).alias(f"{c}__min"),
+            F.max(F.col(c).cast("double")).alias(f"{c}__max"))])
+        long = moments_.unpivot([], moments_.columns, "key", "value")
+        parts = F.split(F.col("key"), "__")
+        out = long.select(parts[0].alias("column"), parts[1].alias("stat"), "value")
+        names = F.create_map(F.lit(0.25), F.lit("q25"), F.lit(0.5), F.lit("q50"), F.lit(0.75), F.lit("q75"))
+        for c in cols:
+            q = sorted_quantiles(df, c, [0.25, 0.5, 0.75])
+            out = out.unionByName(q.select(F.lit(c).alias("column"), F.element_at(names, F.col("p")).alias("stat"),
+                                           "value"))
+        return out
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")

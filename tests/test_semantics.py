@@ -118,3 +118,15 @@ def test_group_pairs_no_join(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "g string, n int")
     got = sorted((r.l.g, r.r.g) for r in X.group_pairs(df, "g").collect())
     assert got == [("a", "b"), ("a", "c"), ("b", "c")]
+
+
+def test_sorted_quantiles_equal_percentile(spark):
+    from conftest import SMALL
+    from quarry.session import table
+
+    li = table(spark, SMALL, "lineitem")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.745, 1.0]
+    got = {r.p: r.value for r in A.sorted_quantiles(li, "l_extendedprice", probs).collect()}
+    want = li.agg(F.percentile("l_extendedprice", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    for p, w in zip(probs, want):
+        assert abs(got[p] - w) < 1e-6 * max(1.0, abs(w))
