@@ -163,8 +163,8 @@ def _cv_scores(spark, sf, impurity):
                                           F.col("prediction").cast("int").alias("pred"))
 
     def metrics(scored):
-        return E.binary_metrics(scored, "y", "pred").select("sensitivity", "specificity", "precision", "f1").join(
-            E.accuracy(scored, "y", "pred").select("accuracy"), how="inner")
+        return E.binary_metrics(scored, "y", "pred").select("sensitivity", "specificity", "precision", "f1",
+                                                            "accuracy")
 
     return M.fold_metrics(folds, "fold", 5, fit_predict, metrics)
 

@@ -451,7 +451,8 @@ def _e2(spark, sf):
 @query("e3_binary_metrics", f"""WITH c AS (SELECT count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE y <> 1 AND pred = 1) AS fp,
       count(*) FILTER (WHERE y <> 1 AND pred <> 1) AS tn, count(*) FILTER (WHERE y = 1 AND pred <> 1) AS fn FROM {_SCORED})
     SELECT tp, fp, tn, fn, {R('tp / (tp + fn)')} AS sensitivity, {R('tn / (tn + fp)')} AS specificity, {R('tp / (tp + fp)')} AS precision,
-      {R('2 * (tp / (tp + fp)) * (tp / (tp + fn)) / ((tp / (tp + fp)) + (tp / (tp + fn)))')} AS f1 FROM c""")
+      {R('2 * (tp / (tp + fp)) * (tp / (tp + fn)) / ((tp / (tp + fp)) + (tp / (tp + fn)))')} AS f1,
+      {R('(tp + tn) / (tp + tn + fp + fn)')} AS accuracy FROM c""")
 def _e3(spark, sf):
     return round_doubles(E.binary_metrics(scored(spark, sf), "y", "pred"))
 

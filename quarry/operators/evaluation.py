@@ -34,8 +34,9 @@ def binary_metrics(df: DataFrame, label: str, pred: str, positive=1) -> DataFram
     sens = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
     spec = F.try_divide(F.col("tn"), F.col("tn") + F.col("fp"))
     prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
+    acc = F.try_divide(F.col("tp") + F.col("tn"), F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn"))
     return c.select("*", sens.alias("sensitivity"), spec.alias("specificity"), prec.alias("precision"),
-                    F.try_divide(2 * prec * sens, prec + sens).alias("f1"))
+                    F.try_divide(2 * prec * sens, prec + sens).alias("f1"), acc.alias("accuracy"))
 
 
 def roc_table(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:

@@ -45,13 +45,17 @@ def census_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = v.where(F.col("split") == "train"), v.where(F.col("split") == "test")
     from pyspark.ml.functions import vector_to_array
 
-    results = {}
+    parts = []
     for name, est in (("forest", M.random_forest(20, "gini", 6, seed=1)), ("bayes", M.gaussian_nb())):
         scored = est.fit(train).transform(test).select(
             F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("pred"),
             vector_to_array("probability")[1].alias("score"))
         roc = E.roc_table(scored, "y", "score")
         best = E.best_thresholds(roc).select("best_threshold", "best_sensitivity", "best_specificity")
-        metrics = E.accuracy(scored, "y", "pred").select("accuracy").join(E.auc(scored, "y", "score"), how="inner")
-        results[name] = metrics.join(best, how="inner")
-    return E.comparison_table(results)
+        # one-row metric frames are stacked as (model, metric, value) rows: no keyless joins
+        for frame in (E.accuracy(scored, "y", "pred").select("accuracy"), E.auc(scored, "y", "score"), best):
+            parts.append(E.comparison_table({name: frame}))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
