@@ -70,7 +70,9 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     tot = counts.agg(F.struct(F.sum("__nc").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
     w = counts.select(label, (tot.n / (tot.k * F.col("__nc"))).alias(name))
-    return df.join(w, label)
+    from quarry.operators.ordering import join_null_safe
+
+    return join_null_safe(df, w, [label])
 
 
 def polynomial(df: DataFrame, degree: int, in_col: str = "features", out: str = "poly"):

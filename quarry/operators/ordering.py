@@ -78,6 +78,17 @@ def global_running_sum(
     return out.drop(_PID, _MONO, "__base", "__soff", "__noff")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (``<=>``), keeping one copy
+    of each key column: a NULL group is a group, its rows must not vanish."""
+    renamed = right.select(*[F.col(c).alias(f"__k_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for c in keys:
+        e = left[c].eqNullSafe(renamed[f"__k_{c}"])
+        cond = e if cond is None else cond & e
+    return left.join(renamed, cond, how).drop(*[f"__k_{c}" for c in keys])
+
+
 def hash_unit(*cols: Column | str, seed: int = 0) -> Column:
     """Reproducible uniform draw in [0, 1) from the md5 of the key (and a seed).
 
@@ -125,6 +136,5 @@ def position_within(
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     inner = Window.partitionBy(*by, "__b").orderBy("__u", *tiebreak)
     ranked = tagged.withColumn("__r", F.row_number().over(inner))
-    join_keys = [*by, "__b"]
-    out = ranked.join(offsets, join_keys, "inner").withColumn(name, F.col("__r") + F.col("__off"))
+    out = join_null_safe(ranked, offsets, [*by, "__b"]).withColumn(name, F.col("__r") + F.col("__off"))
     return out.drop("__u", "__b", "__r", "__off")

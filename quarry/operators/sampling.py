@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import hash_unit, position_within
+from quarry.operators.ordering import hash_unit, join_null_safe, position_within
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
@@ -37,7 +37,7 @@ def stratified_split(df: DataFrame, key: str, label: str, shares: Sequence[float
     """
     pos = position_within(df, [label], hash_unit(key, seed=seed), "__pos", tiebreak=[key])
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    x = pos.join(sizes, label)
+    x = join_null_safe(pos, sizes, [label])
     expr = F.lit(names[-1])
     cum = 0.0
     cuts = []

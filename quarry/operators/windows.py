@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import global_row_number, global_running_sum
+from quarry.operators.ordering import global_row_number, global_running_sum, join_null_safe
 
 
 def with_group_total(df: DataFrame, by: Sequence[str], value: str, name: str = "group_total") -> DataFrame:
@@ -19,7 +19,7 @@ def with_group_total(df: DataFrame, by: Sequence[str], value: str, name: str = "
     and splits skewed partitions of a sort-merge join otherwise.
     """
     totals = df.groupBy(*by).agg(F.sum(value).alias(name))
-    return df.join(totals, list(by), "left")
+    return join_null_safe(df, totals, list(by), "left")  # a NULL key is a group too
 
 
 def running_share(freq: DataFrame, value_col: str, count_col: str = "n") -> DataFrame:

@@ -130,3 +130,15 @@ def test_sorted_quantiles_equal_percentile(spark):
     want = li.agg(F.percentile("l_extendedprice", F.array(*[F.lit(p) for p in probs]))).first()[0]
     for p, w in zip(probs, want):
         assert abs(got[p] - w) < 1e-6 * max(1.0, abs(w))
+
+
+def test_null_class_rows_are_kept(spark):
+    from quarry.operators import sampling as B
+
+    rows = [(i, None if i % 5 == 0 else ("a" if i % 2 else "b")) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, y string")
+    assert B.stratified_split(df, "k", "y", [0.5, 0.5], ["x", "z"], seed=1).count() == 100
+    folds = B.stratified_folds(df, "k", "y", 4, seed=1)
+    assert folds.count() == 100 and folds.where(F.col("y").isNull()).count() == 20
+    tot = W.with_group_total(df.withColumn("v", F.lit(1)), ["y"], "v")
+    assert tot.where(F.col("y").isNull()).agg(F.max("group_total")).first()[0] == 20
