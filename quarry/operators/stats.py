@@ -251,7 +251,8 @@ def bootstrap_t_test(df: DataFrame, key: str, value: str, group: str, a, b, repl
         (F.sum(F.col("m") * F.col("n")) / F.sum("n")).alias("grand"))
     o = obs.select(F.struct("*")).scalar()
     t_obs = (o.ma - o.mb) / F.sqrt(o.va + o.vb)
-    centred = x.join(gm.select(group, "m"), group).withColumn(value, F.col(value) - F.col("m") + o.grand)
+    # gm has exactly the two groups a and b: a proven bound, broadcast
+    centred = x.join(F.broadcast(gm.select(group, "m")), group).withColumn(value, F.col(value) - F.col("m") + o.grand)
     reps = bootstrap_moments(centred.drop("m"), key, value, replicates, seed, by=[group])
     per = reps.groupBy("rep").agg(
         F.first(F.when(F.col(group) == a, F.col("mean")), True).alias("ma"),
