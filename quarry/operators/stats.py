@@ -82,9 +82,25 @@ def average_ranks(df: DataFrame, col: str, name: str | None = None) -> DataFrame
 
 
 def spearman_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    out = df.select(*cols)
+    """Average ranks of several columns from ONE distributed running sum.
+
+    The (column, value) frequency table of all columns is ordered by
+    (column, value); the running count minus the column's offset (prefix sum
+    of the per-column totals, one row per column) gives each value's rank
+    range. Each column's ranks are then joined back on its value.
+    """
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "__col", "__v")
+    freq = long.where(F.col("__v").isNotNull()).groupBy("__col", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    cum = global_running_sum(freq, [F.asc("__col"), F.asc("__v")], "__n", "__cum")
+    totals = cum.groupBy("__col").agg(F.sum("__n").alias("__t"))  # from the checkpointed frame
+    prior = Window.orderBy("__col").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__col", F.coalesce(F.sum("__t").over(prior), F.lit(0)).alias("__off"))
+    rank = F.col("__cum") - F.col("__off") - F.col("__n") + (F.col("__n") + 1) / 2.0
+    ranks = cum.join(F.broadcast(offsets), "__col").select("__col", "__v", rank.alias("__r"))  # one row per column
+    out = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     for c in cols:
-        out = average_ranks(out, c, f"__r_{c}")
+        r = ranks.where(F.col("__col") == c).select(F.col("__v").alias(c), F.col("__r").alias(f"__r_{c}"))
+        out = out.join(r, c, "left")
     return out.select(*[F.col(f"__r_{c}").alias(c) for c in cols])
 
 
