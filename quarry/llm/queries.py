@@ -7,17 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import prefix_tokens
+from quarry.llm import ppm_language, prefix_tokens
 from quarry.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the shortest code under per-language context trees."""
+    return ppm_language.language_table(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 50k byte-level vocabulary."""
     path = str(public_tokenizers.path("byte_bpe_50k.json"))
     return prefix_tokens.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+QUERIES["op1_language_id"] = op1_language_id
 QUERIES["op10_token_counts"] = op10_token_counts
