@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import ppm_language, prefix_tokens
+from quarry.llm import near_duplicates, ppm_language, prefix_tokens
 from quarry.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.language_table(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-identical documents: two-word shingles, Jaccard similarity of 0.8 or more."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 50k byte-level vocabulary."""
     path = str(public_tokenizers.path("byte_bpe_50k.json"))
@@ -26,4 +31,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_language_id"] = op1_language_id
+QUERIES["op8_minhash_near_dedup"] = op8_minhash_near_dedup
 QUERIES["op10_token_counts"] = op10_token_counts
