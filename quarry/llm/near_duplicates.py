@@ -11,14 +11,19 @@
    one slice of the table, and a signature is the minimum of slices.
 3. ``bands`` keys of ``rows`` coordinates each are grouped. With 24 bands of 4
    rows a pair of similarity 0.8 shares a band but for 3 pairs in a million.
-4. Links are confirmed on the full sets. In every bucket all members are
-   compared with the smallest one (its hub); confirmed links are contracted to
-   components; buckets that still hold several components go on without their
-   hub until the pairs left between different components are no more than
-   ``representatives`` rows in total, and those are then compared pair by
-   pair. So a bucket filled by one large group costs one comparison a member,
-   no pair that shares a band and could join two components is skipped, and
-   pairs inside a component, which change nothing, are not made.
+4. Pairs are pruned by an exact bound before any set is read. Each set has a
+   parity sketch: bit ``i`` is the parity of the number of its shingles that
+   hash to ``i``. Every bit in which two sketches differ needs a shingle that
+   only one of the sets has, so more differing bits than a similar pair may
+   have such shingles rule a link out.
+5. Links are confirmed on the full sets. In every bucket all members are
+   compared with the smallest one (its hub) and confirmed links are contracted
+   to components. Buckets that still hold several components go on, without
+   the hub, as long as that at least halves the pairs left between different
+   components; then those pairs are compared directly. So a bucket filled by
+   one group costs one comparison a member, pairs inside a component (which
+   change nothing) are not made, and no pair that shares a band and could
+   join two components is skipped.
 
 Defined cases: a text that is NULL or has no words has no shingles and is
 linked with nothing; a text with fewer words than a shingle is one shingle; a
@@ -31,10 +36,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.graph import components
@@ -43,7 +50,7 @@ from quarry.llm.wordhash import mix, plain_words, runs_of_rows, utf8
 WORDS, SIMILARITY, BANDS, ROWS = 5, 80, 24, 4
 WIDTH = 1 << 18
 SEED = 20240607
-STAR_ROUNDS = 8
+SKETCH_LONGS = 32
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[bytes | None, np.ndarray]]:
@@ -85,6 +92,11 @@ class Signer:
         return out
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    bits = mix(shingles + np.uint64(SEED)) & np.uint64(64 * SKETCH_LONGS - 1)
+    return np.packbits(np.bincount(bits.astype(np.int64), minlength=64 * SKETCH_LONGS).astype(np.uint8) & 1).view(np.int64)
+
+
 def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key per band; the band's number is part of it."""
     parts = signatures.reshape(len(signatures), bands, rows).astype(np.uint64)
@@ -95,27 +107,31 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
-    """(id, sequence, n, bands): NULL sequence and bands where there are no words."""
+    """(id, sequence, n, bands, sketch): NULL sequence and no bands where there are no words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(bands * rows)
         for batch in batches:
-            sequences, sizes, signed = [], [], []
+            sequences, sizes, signed, sketches = [], [], [], []
             for sequence, shingles in shingle_sets(batch.column(1), words):
                 sequences.append(sequence)
                 sizes.append(len(shingles))
                 signed.append(signer.sign(shingles))
+                sketches.append(parity_sketch(shingles))
             keys = band_keys(np.asarray(signed, np.uint32).reshape(-1, bands * rows), bands, rows)
             full = np.asarray(sizes, np.int64) > 0
             ends = np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sequences, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[full].ravel(), pa.int64()))],
-                names=["id", "sequence", "n", "bands"],
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[full].ravel(), pa.int64())),
+                 pa.ListArray.from_arrays(
+                     pa.array(np.arange(len(sketches) + 1, dtype=np.int32) * SKETCH_LONGS),
+                     pa.array(np.asarray(sketches, np.int64).ravel(), pa.int64()))],
+                names=["id", "sequence", "n", "bands", "sketch"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(sign, f"id {kind}, sequence binary, n long, bands array<bigint>")
+    return docs.select(id_col, text_col).mapInArrow(sign, f"id {kind}, sequence binary, n long, bands array<bigint>, sketch array<bigint>")
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: DataFrame) -> DataFrame:
@@ -140,6 +156,7 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: D
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) with 100 * |intersection| >= similarity * |union|."""
+    sets = sets.checkpoint()  # read on both sides of the pairs
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -147,6 +164,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return both.where(100 * common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def may_link(na: str, nb: str, sa: str, sb: str, similarity: int) -> Column:
+    """An exact bound: false only where the two sets can't reach the similarity."""
+    apart = reduce(add, (F.bit_count(F.col(sa)[i].bitwiseXOR(F.col(sb)[i])) for i in range(SKETCH_LONGS)))
+    return (100 * F.least(na, nb) >= similarity * F.greatest(na, nb)) & (
+        (100 + similarity) * apart <= (100 - similarity) * (F.col(na) + F.col(nb))
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
     similarity: int = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
@@ -160,47 +185,50 @@ def near_duplicates(
     signed = signatures(docs, id_col, text_col, words, bands, rows).checkpoint()
     with_words = signed.where("sequence IS NOT NULL AND id IS NOT NULL")
     smallest = with_words.groupBy("sequence").agg(F.min("id").alias("id"))
-    members = (
-        with_words.join(smallest.withColumnRenamed("id", "rep"), "sequence").where("id = rep")
-        .select("rep", "n", F.explode("bands").alias("key")).distinct()
-    )
+    chosen = with_words.join(smallest.select("sequence", F.col("id").alias("rep")), "sequence").where("id = rep")
+    about = chosen.select("rep", "n", "sketch").dropDuplicates(["rep"])
+    keys = chosen.select("rep", F.explode("bands").alias("key")).distinct()
     # only buckets with company matter
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    members = members.join(shared, "key").withColumn("part", F.col("rep")).checkpoint()
-    total = with_words.count()
-    edges = parts = None
-    for step in range(STAR_ROUNDS + 1):
-        # buckets that hold more than one component, and their hubs
-        if step:
-            sizes = members.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"))
-            left = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count(F.lit(1)).alias("parts"))
-            left = left.where("parts > 1")
-            members = members.join(left.select("key"), "key").checkpoint()
-            todo = left.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0))).first()[0]
-            if not todo:
-                break
-        last = step == STAR_ROUNDS or (step > 0 and todo <= total)
-        x = members.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+    members = keys.join(shared, "key").withColumn("part", F.col("rep")).checkpoint()
+    total, before, edges = members.count(), None, None
+    parts = smallest.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
+    while total:
+        # buckets that hold several components, and the pairs between these
+        sizes = members.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"))
+        mixed = sizes.groupBy("key").agg(
+            F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count(F.lit(1)).alias("parts")
+        ).where("parts > 1")
+        members = members.join(mixed.select("key"), "key").checkpoint()
+        left = mixed.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0))).first()[0]
+        if not left:
+            break
+        last = before is not None and (left <= total or left > before / 2)
+        before = left
         if last:
-            pairs = x.join(members, "key").where("rep > b AND part <> pb")
+            a = members.join(about, "rep")
+            b = a.select("key", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("nb"), F.col("sketch").alias("sketch_b"))
+            pairs = a.withColumnRenamed("rep", "a").join(b, "key").where(
+                (F.col("a") > F.col("b")) & (F.col("part") != F.col("part_b")) & may_link("n", "nb", "sketch", "sketch_b", similarity)
+            ).select("a", "b").distinct()
         else:
-            hub = members.groupBy("key").agg(F.min(F.struct("rep", "n", "part")).alias("h"))
-            hub = hub.select("key", F.col("h.rep").alias("b"), F.col("h.n").alias("nb"), F.col("h.part").alias("pb"))
-            pairs = members.join(hub, "key").where("rep <> b AND part <> pb")
-            members = members.join(hub.select("key", "b"), "key").where("rep <> b").drop("b")
-        fits = 100 * F.least("n", "nb") >= similarity * F.greatest("n", "nb")
-        pairs = pairs.where(fits).select(F.col("rep").alias("a"), "b").distinct().checkpoint()
+            hub = members.groupBy("key").agg(F.min(F.struct("rep", "part")).alias("h")).select("key", "h.rep", "h.part")
+            hub = hub.toDF("key", "b", "part_b")
+            pairs = members.join(hub, "key").where("rep <> b AND part <> part_b").select(F.col("rep").alias("a"), "b").distinct()
+            one = about.toDF("a", "n", "sketch")
+            pairs = pairs.join(one, "a").join(one.toDF("b", "nb", "sketch_b"), "b")
+            pairs = pairs.where(may_link("n", "nb", "sketch", "sketch_b", similarity)).select("a", "b")
+            members = members.join(hub, "key").where("rep <> b").select("key", "rep", "part")
+        pairs = pairs.checkpoint()
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = full_sets(docs, id_col, text_col, words, ids).checkpoint()
-        links = confirmed(pairs, sets, similarity)
-        edges = links if edges is None else edges.union(links)
-        edges = edges.checkpoint()
+        links = confirmed(pairs, full_sets(docs, id_col, text_col, words, ids), similarity)
+        edges = (links if edges is None else edges.union(links)).checkpoint()
         parts = components(edges)
         if last:
             break
         members = (
             members.drop("part").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("key", "rep", "n", F.coalesce("component", "rep").alias("part"))
+            .select("key", "rep", F.coalesce("component", "rep").alias("part"))
         ).checkpoint()
     groups = (
         smallest.join(parts.withColumnRenamed("node", "id"), "id", "left")
