@@ -18,9 +18,10 @@
    have such shingles rule a link out.
 5. Links are confirmed on the full sets. In every bucket all members are
    compared with the smallest one (its hub) and confirmed links are contracted
-   to components. Buckets that still hold several components go on, without
-   the hub, as long as that at least halves the pairs left between different
-   components; then those pairs are compared directly. So a bucket filled by
+   to components. While more than ``FEW`` pairs a member are left between
+   different components of the buckets, the same is done again without the
+   hub (as long as that at least halves them); then those pairs are compared
+   directly. So a bucket filled by
    one group costs one comparison a member, pairs inside a component (which
    change nothing) are not made, and no pair that shares a band and could
    join two components is skipped.
@@ -51,6 +52,7 @@ WORDS, SIMILARITY, BANDS, ROWS = 5, 80, 24, 4
 WIDTH = 1 << 18
 SEED = 20240607
 SKETCH_LONGS = 32
+FEW = 1000  # pairs a bucket row that are compared directly
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[bytes | None, np.ndarray]]:
@@ -186,8 +188,9 @@ def near_duplicates(
     with_words = signed.where("sequence IS NOT NULL AND id IS NOT NULL")
     smallest = with_words.groupBy("sequence").agg(F.min("id").alias("id"))
     chosen = with_words.join(smallest.select("sequence", F.col("id").alias("rep")), "sequence").where("id = rep")
+    chosen = chosen.dropDuplicates(["sequence"])
     about = chosen.select("rep", "n", "sketch").dropDuplicates(["rep"])
-    keys = chosen.select("rep", F.explode("bands").alias("key")).distinct()
+    keys = chosen.select("rep", F.explode("bands").alias("key"))
     # only buckets with company matter
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
     members = keys.join(shared, "key").withColumn("part", F.col("rep")).checkpoint()
@@ -203,7 +206,7 @@ def near_duplicates(
         left = mixed.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0))).first()[0]
         if not left:
             break
-        last = before is not None and (left <= total or left > before / 2)
+        last = before is not None and (left <= FEW * total or left > before / 2)
         before = left
         if last:
             a = members.join(about, "rep")

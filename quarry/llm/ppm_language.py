@@ -183,10 +183,11 @@ def train(
         .groupBy("label", "gram").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "label", "gram").limit(grams)
     )
-    learned = found.collect()
-    if not learned:
+    learned = found.toArrow()
+    if not learned.num_rows:
         return None
-    return build(sorted({r["label"] for r in learned}), [(r["label"], r["gram"], r["n"]) for r in learned], table_bytes)
+    rows = zip(*(learned.column(c).to_pylist() for c in ("label", "gram", "n")))
+    return build(sorted(set(learned.column("label").to_pylist())), list(rows), table_bytes)
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import near_duplicates, ppm_language, prefix_tokens
+from quarry.llm import decontaminate, mixing, near_duplicates, ppm_language, prefix_tokens, sharding
 from quarry.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,11 +19,26 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.language_table(table(spark, sf_dir, "documents"))
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often every document is taken when sources are mixed 3 : 1 : 2."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard 0 to 23 of every document in a tree of regions, racks and shards."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-identical documents: two-word shingles, Jaccard similarity of 0.8 or more."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every benchmark item whose template windows it holds."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 50k byte-level vocabulary."""
     path = str(public_tokenizers.path("byte_bpe_50k.json"))
@@ -31,5 +46,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_language_id"] = op1_language_id
+QUERIES["op4_source_mix"] = op4_source_mix
+ORACLES["op4_source_mix"] = mixing.oracle_sql()
+QUERIES["op6_shards"] = op6_shards
 QUERIES["op8_minhash_near_dedup"] = op8_minhash_near_dedup
+QUERIES["op9_decontaminate"] = op9_decontaminate
 QUERIES["op10_token_counts"] = op10_token_counts
