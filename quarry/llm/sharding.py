@@ -68,7 +68,7 @@ def grown(tree: Node, weight: float = 1.0) -> Node:
 
 
 def _draw(key: Column, path: str, node: Node) -> Column:
-    u = F.conv(F.substring(F.md5(F.concat(key, F.lit(f"|{path}/{node.name}"))), 1, 12), 16, 10).cast("double")
+    u = F.shiftrightunsigned(F.xxhash64(key, F.lit(f"{path}/{node.name}")), 16).cast("double")
     return -F.ln((u + 0.5) / float(1 << 48)) / F.lit(float(node.weight))
 
 
@@ -131,9 +131,12 @@ def shard(
         F.coalesce(F.crc32(text_col), F.lit(0)).cast("long").alias("__crc"),
     )
     key = F.coalesce(F.col("__id").cast("string"), F.concat(F.lit("text|"), F.col("__crc").cast("string")))
-    rows = place(place(rows, key, tree, "__shard"), key, grown(tree), "__grown")
-    mark = F.md5(F.concat_ws("|", F.lit("slot"), key, F.col("__crc").cast("string"), F.col("__size").cast("string")))
-    spread = F.conv(F.substring(mark, 1, 12), 16, 10).cast("long")
+    rows = place(rows, key, tree, "__shard")
+    # the grown tree differs by one region: it wins, or the descent is the same as before
+    new = grown(tree).children[-1]
+    least = F.least(*[_draw(key, tree.name, c) for c in tree.children]) if len(tree.children) > 1 else _draw(key, tree.name, tree.children[0])
+    rows = rows.withColumn("__grown", F.when(_draw(key, tree.name, new) < least, new.shards[0]).otherwise(F.col("__shard")))
+    spread = F.shiftrightunsigned(F.xxhash64(key, "__crc", "__size", F.lit("slot")), 16)
     rows = with_slots(rows, len(tree.shards), "__shard", ["__id", "__crc", "__size"], spread)
     named = {"__size": "size", "__crc": "text_crc32", "__shard": "shard", "slot": "slot", "__grown": "grown_shard"}
     lead = [F.col(c) for c in keep] if id_col in keep else [*map(F.col, keep), F.col("__id").alias(id_col)]
