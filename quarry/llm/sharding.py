@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,40 +66,33 @@ def grown(tree: Node, weight: float = 1.0) -> Node:
     return Node(tree.name, (*tree.children, Node(f"r+{new}", (Node("k0", (leaf,)),))))
 
 
-def _draw(key: Column, path: str, node: Node) -> Column:
-    u = F.shiftrightunsigned(F.xxhash64(key, F.lit(f"{path}/{node.name}")), 16).cast("double")
-    return -F.ln((u + 0.5) / float(1 << 48)) / F.lit(float(node.weight))
+def _nodes(node: Node, path: str = "") -> list[tuple[str, Node]]:
+    return [(path, node), *(x for i, c in enumerate(node.children) for x in _nodes(c, f"{path}/{i}"))]
 
 
-def _winner(key: Column, path: str, node: Node) -> Column:
-    if len(node.children) == 1:
-        return F.lit(0)
-    draws = F.array(*[F.struct(_draw(key, path, c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(node.children)])
-    return F.array_min(draws)["i"]
+def _literal_map(pairs: list[tuple[str, object]]) -> Column:
+    return F.create_map(*[x for path, value in pairs for x in (F.lit(path), value)])
+
+
+def _draws(key: Column, path: Column, weights: Column) -> Column:
+    """(draw, child) of every child of the node at ``path``; a child's draw only depends on its own path and weight."""
+    def draw(weight: Column, i: Column) -> Column:
+        u = F.shiftrightunsigned(F.xxhash64(key, F.concat(path, F.lit("/"), i.cast("string"))), 16).cast("double")
+        return F.struct((-F.ln((u + 0.5) / float(1 << 48)) / weight).alias("d"), i.alias("i"))
+
+    return F.transform(weights, draw)
 
 
 def place(df: DataFrame, key: Column, tree: Node, name: str) -> DataFrame:
-    """Add ``name``: the shard of each row, one column per level of the descent on the way."""
-    before = df.columns
-    df = df.withColumn("__key", key)
-    paths: list[tuple[list[int], Node, str]] = [([], tree, tree.name)]
-    level = 0
-    while any(node.children for _, node, _ in paths):
-        choice = None
-        for steps, node, path in paths:
-            if not node.children:
-                continue
-            here = reduce(lambda c, k: c & (F.col(f"__l{k[0]}") == k[1]), enumerate(steps), F.lit(True))
-            won = _winner(F.col("__key"), path, node)
-            choice = F.when(here, won) if choice is None else choice.when(here, won)
-        df = df.withColumn(f"__l{level}", choice)
-        paths = [([*s, i], c, f"{p}/{c.name}") for s, n, p in paths for i, c in enumerate(n.children)]
-        level += 1
-    shard = None
-    for steps, node, _ in paths:
-        here = reduce(lambda c, k: c & (F.col(f"__l{k[0]}") == k[1]), enumerate(steps), F.lit(True))
-        shard = F.when(here, F.lit(node.shard)) if shard is None else shard.when(here, F.lit(node.shard))
-    return df.withColumn(name, shard.cast("int")).select(*before, name)
+    """Add ``name``: the shard of each row; one choice among children per level of the tree."""
+    before, nodes = df.columns, _nodes(tree)
+    weights = _literal_map([(p, F.array(*[F.lit(float(c.weight)) for c in n.children])) for p, n in nodes if n.children])
+    shards = _literal_map([(p, F.lit(n.shard)) for p, n in nodes if not n.children])
+    df = df.withColumn("__key", key).withColumn("__path", F.lit(""))
+    for _ in range(max(p.count("/") for p, _ in nodes)):
+        won = F.array_min(_draws(F.col("__key"), F.col("__path"), F.try_element_at(weights, F.col("__path"))))["i"]
+        df = df.withColumn("__path", F.concat(F.col("__path"), F.coalesce(F.concat(F.lit("/"), won.cast("string")), F.lit(""))))
+    return df.withColumn(name, F.element_at(shards, F.col("__path"))).select(*before, name)
 
 
 def with_slots(df: DataFrame, shards: int, group: str, order: Sequence[str], spread: Column) -> DataFrame:
@@ -133,9 +125,10 @@ def shard(
     key = F.coalesce(F.col("__id").cast("string"), F.concat(F.lit("text|"), F.col("__crc").cast("string")))
     rows = place(rows, key, tree, "__shard")
     # the grown tree differs by one region: it wins, or the descent is the same as before
-    new = grown(tree).children[-1]
-    least = F.least(*[_draw(key, tree.name, c) for c in tree.children]) if len(tree.children) > 1 else _draw(key, tree.name, tree.children[0])
-    rows = rows.withColumn("__grown", F.when(_draw(key, tree.name, new) < least, new.shards[0]).otherwise(F.col("__shard")))
+    top = grown(tree).children
+    draws = _draws(key, F.lit(""), F.array(*[F.lit(float(c.weight)) for c in top]))
+    won = F.array_min(draws)["i"] == len(top) - 1
+    rows = rows.withColumn("__grown", F.when(won, top[-1].shards[0]).otherwise(F.col("__shard")))
     spread = F.shiftrightunsigned(F.xxhash64(key, "__crc", "__size", F.lit("slot")), 16)
     rows = with_slots(rows, len(tree.shards), "__shard", ["__id", "__crc", "__size"], spread)
     named = {"__size": "size", "__crc": "text_crc32", "__shard": "shard", "slot": "slot", "__grown": "grown_shard"}
