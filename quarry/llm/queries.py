@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, mixing, near_duplicates, ppm_language, prefix_tokens, sharding
+from quarry.llm import (
+    decontaminate,
+    exact_dedup,
+    main_text,
+    mixing,
+    near_duplicates,
+    ppm_language,
+    prefix_tokens,
+    sharding,
+    toxicity,
+)
 from quarry.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,16 +29,31 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.language_table(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document from a factorization machine over hashed terms."""
+    return toxicity.toxicity_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often every document is taken when sources are mixed 3 : 1 : 2."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the row that stays among those of the same text, white space aside."""
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard 0 to 23 of every document in a tree of regions, racks and shards."""
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-identical documents: two-word shingles, Jaccard similarity of 0.8 or more."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
@@ -46,9 +71,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_language_id"] = op1_language_id
+QUERIES["op3_toxicity"] = op3_toxicity
 QUERIES["op4_source_mix"] = op4_source_mix
 ORACLES["op4_source_mix"] = mixing.oracle_sql()
+QUERIES["op5_exact_dedup"] = op5_exact_dedup
+ORACLES["op5_exact_dedup"] = exact_dedup.ORACLE_SQL
 QUERIES["op6_shards"] = op6_shards
+QUERIES["op7_main_text"] = op7_main_text
 QUERIES["op8_minhash_near_dedup"] = op8_minhash_near_dedup
 QUERIES["op9_decontaminate"] = op9_decontaminate
 QUERIES["op10_token_counts"] = op10_token_counts
