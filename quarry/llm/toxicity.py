@@ -1,15 +1,17 @@
 """Toxicity (operator 3): a factorization machine over hashed terms.
 
-A text is the set of its lower-cased words hashed to ``TERMS`` places. The
-score is ``sigmoid(bias + sum of weights + sum of factor products over all
-pairs of terms)``; the products let two terms together say what neither says
+A text is the set of its lower-cased words and their stems (first ``STEMS``
+bytes, so inflected forms share a term), hashed to ``TERMS`` places. The score
+is ``sigmoid(bias + sum of weights + sum of factor products over all pairs of
+terms)``; the products let two terms together say what neither says
 alone (an insult next to a mention of a group). Products of all pairs cost one
 pass: ``((sum of factors)**2 - sum of squared factors) / 2``.
 
 The machine is fitted on at most about ``ROWS`` labelled rows, those with the
 smallest hash of the identifier. That bound is a parameter; scoring reads whole
-texts of all rows. Terms in fewer than ``LEAST_ROWS`` of the fitted rows keep
-weight 0.
+texts of all rows. Terms in fewer than ``LEAST_ROWS`` of the fitted rows, and
+terms that the labels don't tell apart, keep weight 0, so a long text doesn't
+pile up chance weights.
 
 Defined cases: a NULL or empty text has the score of the bias alone; without
 labelled rows every score is 0; labels other than 0 and 1 and rows without an
@@ -31,9 +33,10 @@ from quarry.llm.wordhash import WordHasher, ascii_lower, runs_of_rows, utf8
 
 TERMS = 1 << 18
 FACTORS = 4
+STEMS = (4, 6)
 ROWS = 12_000
-LEAST_ROWS = 4
-PASSES = 6
+LEAST_ROWS, LEAST_Z = 4, 5.0
+PASSES, LEAST_STEPS = 5, 1500
 BATCH = 64
 CUT = 0.7
 
@@ -41,7 +44,7 @@ CUT = 0.7
 def term_words() -> WordHasher:
     word = np.zeros(256, bool)
     word[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-    return WordHasher(word, ascii_lower())
+    return WordHasher(word, ascii_lower(), STEMS)
 
 
 def terms_of(hasher: WordHasher, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +54,8 @@ def terms_of(hasher: WordHasher, data: np.ndarray, offsets: np.ndarray) -> tuple
         base = offsets[lo]
         start, _, h = hasher.words(data[base : offsets[hi]], offsets[lo : hi + 1] - base)
         row = np.searchsorted(offsets[lo : hi + 1] - base, start, side="right") - 1
-        pair = np.unique(row.astype(np.uint64) * np.uint64(TERMS) + (h & np.uint64(TERMS - 1)))
+        h = h if len(h) else np.zeros((0, 1), np.uint64)
+        pair = np.unique(row.astype(np.uint64)[:, None] * np.uint64(TERMS) + (h & np.uint64(TERMS - 1)))
         found.append((pair & np.uint64(TERMS - 1)).astype(np.int32))
         counts.append(np.bincount((pair // np.uint64(TERMS)).astype(np.int64), minlength=hi - lo))
     terms = np.concatenate(found) if found else np.zeros(0, np.int32)
@@ -78,20 +82,28 @@ class Machine:
         return 1.0 / (1.0 + np.exp(-np.clip(self.raw(terms, ends), -30, 30)))
 
 
+def telling(terms: np.ndarray, label: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Terms found in enough rows whose share among label 1 and label 0 differs by ``LEAST_Z`` standard errors."""
+    ones, zeros = max(1.0, labels.sum()), max(1.0, len(labels) - labels.sum())
+    rows, with_one = np.bincount(terms, minlength=TERMS), np.bincount(terms, label, TERMS)
+    share = rows / len(labels)
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / ones + 1 / zeros))
+    return (rows >= LEAST_ROWS) & (np.abs(with_one / ones - (rows - with_one) / zeros) >= LEAST_Z * spread)
+
+
 def fit(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, factors: int = FACTORS, passes: int = PASSES,
         rate: float = 0.05, decay: float = 2e-5, seed: int = 7) -> Machine:
     """Adaptive gradient steps on the logistic loss, in mini-batches."""
     n = len(labels)
     begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    rows_with = np.bincount(terms, minlength=TERMS)
-    used = rows_with >= LEAST_ROWS
+    used = telling(terms, np.repeat(labels, ends - begins), labels)
     rng = np.random.Generator(np.random.PCG64(seed))
     table = np.zeros((TERMS, 1 + factors), np.float32)
     table[used, 1:] = rng.normal(0, 0.01, (int(used.sum()), factors))
     share = min(max(labels.mean(), 1e-3), 1 - 1e-3)
     bias, steps = float(np.log(share / (1 - share))), np.full(table.shape, 1e-2, np.float32)
     bias_step = 1e-2
-    for _ in range(passes):
+    for _ in range(max(passes, -(-LEAST_STEPS * BATCH // n))):
         order = rng.permutation(n)
         for i in range(0, n, BATCH):
             pick = order[i : i + BATCH]

@@ -50,10 +50,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class WordHasher:
-    """Words of texts as hashes; ``word``: which bytes form words, ``fold``: byte map."""
+    """Words of texts as hashes; ``word``: which bytes form words, ``fold``: byte map.
 
-    def __init__(self, word: np.ndarray, fold: np.ndarray):
-        self.word, self.fold = word, fold.astype(np.uint64)
+    With ``stems`` every word also has the hashes of its first bytes, as many
+    as each number says (all of them if it is shorter), in columns.
+    """
+
+    def __init__(self, word: np.ndarray, fold: np.ndarray, stems: tuple[int, ...] = ()):
+        self.word, self.fold, self.stems = word, fold.astype(np.uint64), stems
         self._grow(1 << 10)
 
     def _grow(self, n: int) -> None:
@@ -77,8 +81,9 @@ class WordHasher:
         start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.fold[data] * self.powers[:n], out=sums[1:])
-        raw = (sums[end] - sums[start]) * self.inverse[start]
-        return start, end, mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        ends = [end, *(np.minimum(start + k, end) for k in self.stems)]
+        hashes = [mix((sums[e] - sums[start]) * self.inverse[start] + (e - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) for e in ends]
+        return start, end, np.stack(hashes, axis=1) if self.stems else hashes[0]
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and hash of every word; no word crosses an offset."""
