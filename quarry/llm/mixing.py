@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.ordering import global_row_number, join_null_safe
@@ -32,6 +32,7 @@ from quarry.operators.ordering import global_row_number, join_null_safe
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS, BITS = 4, 12
+MANY_SOURCES = 50_000
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -86,27 +87,62 @@ def thresholds(rows: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+def _hash(id_col: str) -> Column:
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    return F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("long")
+
+
+def _copies(most: float) -> Column:
+    more = (F.col("hash") < F.col("bound")) | ((F.col("hash") == F.col("bound")) & F.col("at_bound"))
+    return F.least(F.lit(int(most)), F.col("copies") + more.cast("int"))
+
+
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(id, source, size, hash): all that the mix needs to know of a document."""
+    return docs.select(
+        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
+        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        _hash(id_col).alias("hash"),
+    ).checkpoint()
+
+
+def plan_of(rows: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    return thresholds(rows, targets(sizes, weights, share, most))
+
+
+def by_source(rows: DataFrame, state: DataFrame, key: str) -> DataFrame:
+    """Each row with its source's state: broadcast up to ``MANY_SOURCES`` sources (counted), else joined."""
+    few = state.limit(MANY_SOURCES + 1).count() <= MANY_SOURCES
+    return join_null_safe(rows, F.broadcast(state) if few else state, [key])
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
 ) -> DataFrame:
     """(id, size, source_size, target, taken, copies) of every row of ``docs``."""
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("long").alias("hash"),
-    ).checkpoint()
-    plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    state = thresholds(rows, plan)
-    more = (F.col("hash") < F.col("bound")) | ((F.col("hash") == F.col("bound")) & F.col("at_bound"))
-    copies = F.least(F.lit(int(most)), F.col("copies") + more.cast("int"))
-    return join_null_safe(rows, state, ["source"]).withColumn("n", copies).select(
+    rows = sized(docs, id_col, text_col, source_col)
+    state = plan_of(rows, weights, share, most)
+    return by_source(rows, state, "source").withColumn("n", _copies(most)).select(
         F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("n")).alias("taken"),
         F.col("n").alias("copies"),
     )
 
 
+def mixed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
+) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it is taken."""
+    state = plan_of(sized(docs, id_col, text_col, source_col), weights, share, most).select(
+        F.col("source").alias("__source"), "copies", "bound", "at_bound"
+    )
+    rows = docs.select(F.struct("*").alias("row"), F.col(source_col).cast("string").alias("__source"), _hash(id_col).alias("hash"))
+    taken = by_source(rows, state, "__source").withColumn("n", _copies(most)).where("n > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")).select("row.*")
+
+
 def oracle_sql() -> str:
     """The same mix in DuckDB: one sort per source instead of histograms."""
     weights = reduce(lambda sql, kw: f"{sql} WHEN {kw[0]} THEN {float(kw[1])}", enumerate(WEIGHTS), f"CASE (rn - 1) % {len(WEIGHTS)}") + " END"

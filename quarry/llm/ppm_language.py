@@ -221,6 +221,24 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     )
 
 
+def with_language(docs: DataFrame, model: Model | None, text_col: str = "text", most_bits: float = 8.0) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text has a letter and a language that
+    codes it in fewer than ``most_bits`` bits a byte. Without a model only the letter counts."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            data, offsets = utf8(batch.column(place))
+            good = has_letter(data, offsets)
+            if model is not None:
+                good &= model.code_lengths(data, offsets).min(axis=1) < most_bits * np.diff(offsets)
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(choose, docs.schema)
+
+
 def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
     """Whether a row is in the part that nothing is learned from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % parts == part, F.lit(True))

@@ -17,6 +17,7 @@ from quarry.llm import (
     prefix_tokens,
     sharding,
     toxicity,
+    url_lists,
 )
 from quarry.session import table
 
@@ -29,6 +30,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.language_table(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the list entries active on its fetch day; the list log is made from the pages' addresses."""
+    pages = table(spark, sf_dir, "pages")
+    return url_lists.evaluate(url_lists.page_captures(pages), url_lists.page_entries(pages))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document from a factorization machine over hashed terms."""
     return toxicity.toxicity_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -71,6 +78,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_language_id"] = op1_language_id
+QUERIES["op2_url_filter"] = op2_url_filter
+ORACLES["op2_url_filter"] = url_lists.ORACLE_SQL
 QUERIES["op3_toxicity"] = op3_toxicity
 QUERIES["op4_source_mix"] = op4_source_mix
 ORACLES["op4_source_mix"] = mixing.oracle_sql()

@@ -115,8 +115,10 @@ def with_slots(df: DataFrame, shards: int, group: str, order: Sequence[str], spr
 def shard(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tree: Node | None = None, keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, size, text_crc32, law, shard, slot, grown_shard) of every row, before them the columns in ``keep``."""
+    """(id, size, text_crc32, law, shard, slot, grown_shard) of every row, before them the columns in
+    ``keep`` (but for those that a result column replaces)."""
     tree = tree or even_tree()
+    keep = [c for c in keep if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")]
     rows = docs.select(
         *[F.col(c) for c in keep], F.col(id_col).alias("__id"),
         (F.coalesce(F.octet_length(text_col), F.lit(0)) + 8).cast("long").alias("__size"),

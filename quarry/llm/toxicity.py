@@ -125,14 +125,16 @@ def fit(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, factors: int =
             slope = np.ones((len(term), 1 + factors), np.float32)
             slope[:, 1:] = sums[row, 1:] - values[:, 1:]
             slope *= error[row, None]
+            grad = float(error.sum())
+            bias_step += grad**2
+            bias -= rate * grad / bias_step**0.5
+            if not len(term):
+                continue
             seen, where = np.unique(term, return_inverse=True)
             total = np.stack([np.bincount(where, slope[:, k], len(seen)) for k in range(1 + factors)], axis=1)
             total += decay * len(pick) * table[seen]
             steps[seen] += total**2
             table[seen] -= rate * total / np.sqrt(steps[seen])
-            grad = float(error.sum())
-            bias_step += grad**2
-            bias -= rate * grad / bias_step**0.5
     return Machine(bias, table)
 
 
