@@ -9,9 +9,10 @@ stop words). In the second pass undecided blocks inherit the label of the
 nearest decided blocks before and after them; if those differ, a heading goes
 with what follows and any other block is good only between good ones.
 
+The edges of a page count as bad.
+
 A page with ``article`` or ``main`` elements has its text inside them: blocks
-outside are bad, and undecided blocks without a decided neighbour are good
-there. Character references are decoded, white space inside a block becomes one
+outside are bad, and undecided blocks inside are good. Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by a line feed.
 
 Defined cases: NULL and empty pages give an empty text; tags that are not
@@ -186,9 +187,8 @@ def classify(blocks: list[tuple[str, float, bool, bool]], has_main: bool, stops:
         _, _, heading, inside = blocks[i]
         here = label[i]
         if here is None:
-            sides = [s for s in ((follow,) if heading and follow is not None else (before[i], follow)) if s is not None]
-            # in the main part only menus and link lists are bad, and they don't spoil what stands beside them
-            here = all(sides) and bool(sides) if not (has_main and inside) else True if not sides else any(sides) or not heading
+            # in the main part only link lists are bad, and they don't spoil what stands beside them
+            here = (has_main and inside) or follow is True and (heading or before[i] is True)
         elif inside or not has_main:
             follow = here
         out[i] = here
