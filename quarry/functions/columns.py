@@ -68,8 +68,8 @@ def columns_of_type(df: DataFrame, kind: str) -> list[str]:
 
 
 def indicator(cond: Column) -> Column:
-    """Threshold / equality indicator as 0/1 int."""
-    return cond.cast("int")
+    """Threshold / equality indicator as 0/1 int; a comparison with NULL is 0."""
+    return F.coalesce(cond, F.lit(False)).cast("int")
 
 
 def update_where(col: str, mask: Column, value) -> Column:
@@ -112,7 +112,7 @@ def replace_chars(c: Column | str, old: str, new: str) -> Column:
 
 def split_part(c: Column | str, delim: str, n: int) -> Column:
     """N-th (1-based) part after splitting on a literal delimiter; NULL past the end."""
-    return F.split_part(_c(c), F.lit(delim), F.lit(n))
+    return F.get(F.split(_c(c), "\\Q" + delim + "\\E", -1), n - 1)
 
 
 def squash_whitespace(c: Column | str) -> Column:

@@ -268,5 +268,5 @@ def rates(df: DataFrame, by: Sequence[str], numerator: str, denominator: str) ->
         F.count(F.lit(1)).alias("n"),
         F.sum(denominator).alias("sum_den"),
     ).withColumn("per_row", F.col("sum_num") / F.col("n")).withColumn(
-        "per_unit", F.col("sum_num") / F.col("sum_den")
+        "per_unit", F.try_divide(F.col("sum_num").cast("double"), F.col("sum_den").cast("double"))
     )

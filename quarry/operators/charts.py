@@ -29,7 +29,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
     b = equal_width_bin(F.col(col), r.lo, r.hi, bins)
     out = df.where(F.col(col).isNotNull()).groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     return out.select(*by, "bin", (r.lo + F.col("bin") * w).alias("lo"), (r.lo + (F.col("bin") + 1) * w).alias("hi"),
-                      "count", (F.col("count") / (r.n * w)).alias("density"))
+                      "count", F.try_divide(F.col("count").cast("double"), (r.n * w).cast("double")).alias("density"))
 
 
 def box_stats(df: DataFrame, group: str, value: str, exact: bool = True) -> DataFrame:

@@ -50,7 +50,7 @@ def roc_table(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
     tot = per.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
     a = global_running_sum(per, [F.desc("threshold")], "pos", "tp")
     b = global_running_sum(a, [F.desc("threshold")], "neg", "fp")
-    return b.select("threshold", "tp", "fp", (F.col("fp") / tot.N).alias("fpr"), (F.col("tp") / tot.P).alias("tpr"))
+    return b.select("threshold", "tp", "fp", F.try_divide(F.col("fp").cast("double"), tot.N.cast("double")).alias("fpr"), F.try_divide(F.col("tp").cast("double"), tot.P.cast("double")).alias("tpr"))
 
 
 def auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
@@ -60,7 +60,7 @@ def auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
     y = (F.col(label) == F.lit(positive))
     r = average_ranks(df.select(label, score), score, "__r")
     s = r.agg(F.sum(F.when(y, F.col("__r"))).alias("rs"), F.count_if(y).alias("np"), F.count_if(~y).alias("nn"))
-    return s.select(((F.col("rs") - F.col("np") * (F.col("np") + 1) / 2) / (F.col("np") * F.col("nn"))).alias("auc"))
+    return s.select(F.try_divide((F.col("rs") - F.col("np") * (F.col("np") + 1) / 2).cast("double"), (F.col("np") * F.col("nn")).cast("double")).alias("auc"))
 
 
 def best_thresholds(roc: DataFrame, min_sens: float = 0.85, min_spec: float = 0.5) -> DataFrame:
@@ -71,8 +71,8 @@ def best_thresholds(roc: DataFrame, min_sens: float = 0.85, min_spec: float = 0.
     ok = (F.col("tpr") >= min_sens) & (F.col("spec") >= min_spec)
     return r.agg(
         F.max_by(F.struct("threshold", "tpr", "spec"), F.struct("j", "threshold")).alias("best"),
-        F.max_by(F.struct("threshold", "tpr", "spec"), F.when(ok, F.col("tpr"))).alias("max_sens"),
-        F.max_by(F.struct("threshold", "tpr", "spec"), F.when(ok, F.col("spec"))).alias("max_spec"),
+        F.max_by(F.struct("threshold", "tpr", "spec"), F.when(ok, F.struct("tpr", "threshold"))).alias("max_sens"),
+        F.max_by(F.struct("threshold", "tpr", "spec"), F.when(ok, F.struct("spec", "threshold"))).alias("max_spec"),
     ).select(F.col("best.threshold").alias("best_threshold"), F.col("best.tpr").alias("best_sensitivity"),
              F.col("best.spec").alias("best_specificity"),
              F.col("max_sens.threshold").alias("hi_sens_threshold"), F.col("max_sens.tpr").alias("hi_sens_sensitivity"),
@@ -84,7 +84,7 @@ def best_thresholds(roc: DataFrame, min_sens: float = 0.85, min_spec: float = 0.
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     """MSE, explained variance, prediction and label variance (population)."""
     e = F.col(label) - F.col(pred)
-    return df.agg(F.avg(e * e).alias("mse"), (F.lit(1.0) - F.var_pop(e) / F.var_pop(label)).alias("explained_variance"),
+    return df.agg(F.avg(e * e).alias("mse"), (F.lit(1.0) - F.try_divide(F.var_pop(e), F.var_pop(label))).alias("explained_variance"),
                   F.var_pop(pred).alias("var_pred"), F.var_pop(label).alias("var_label"))
 
 

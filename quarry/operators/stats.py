@@ -118,9 +118,9 @@ def welch_t(df: DataFrame, group: str, a, b, variables: Sequence[str], with_p: b
     m = long.where(F.col("x").isNotNull()).groupBy("variable").pivot(group, [a, b]).agg(
         F.count("x").alias("n"), F.avg("x").alias("mean"), F.var_samp("x").alias("var"))
     n1, n2 = F.col(f"{a}_n"), F.col(f"{b}_n")
-    v1, v2 = F.col(f"{a}_var") / n1, F.col(f"{b}_var") / n2
-    t = (F.col(f"{a}_mean") - F.col(f"{b}_mean")) / F.sqrt(v1 + v2)
-    dof = (v1 + v2) ** 2 / (v1 ** 2 / (n1 - 1) + v2 ** 2 / (n2 - 1))
+    v1, v2 = F.try_divide(F.col(f"{a}_var"), n1.cast("double")), F.try_divide(F.col(f"{b}_var"), n2.cast("double"))
+    t = F.try_divide(F.col(f"{a}_mean") - F.col(f"{b}_mean"), F.sqrt(v1 + v2))
+    dof = F.try_divide((v1 + v2) ** 2, F.try_divide(v1 ** 2, (n1 - 1).cast("double")) + F.try_divide(v2 ** 2, (n2 - 1).cast("double")))
     out = m.select("variable", n1.alias("n1"), n2.alias("n2"), F.col(f"{a}_mean").alias("mean1"),
                    F.col(f"{b}_mean").alias("mean2"), F.sqrt(f"{a}_var").alias("sd1"),
                    F.sqrt(f"{b}_var").alias("sd2"), t.alias("t"), dof.alias("df"))
@@ -141,7 +141,7 @@ def anova_oneway(df: DataFrame, group: str, value: str, with_p: bool = False) ->
     ss = gm.agg(F.sum(F.col("n") * (F.col("mean") - g.grand) ** 2).alias("ssb"),
                 F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("ssw"))
     out = ss.select(g.k.alias("k"), g.N.alias("n"), "ssb", "ssw", (g.k - 1).alias("df1"), (g.N - g.k).alias("df2"),
-                    ((F.col("ssb") / (g.k - 1)) / (F.col("ssw") / (g.N - g.k))).alias("f"))
+                    F.try_divide(F.try_divide(F.col("ssb"), (g.k - 1).cast("double")), F.try_divide(F.col("ssw"), (g.N - g.k).cast("double"))).alias("f"))
     return out.withColumn("p", f_pvalue("f", "df1", "df2")) if with_p else out
 
 

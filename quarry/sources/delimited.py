@@ -76,6 +76,8 @@ def names_from_side_file(spark: SparkSession, path: str, label: str) -> DataFram
 
 
 def apply_names(df: DataFrame, names: DataFrame) -> DataFrame:
-    """Rename the columns of a header-less scan by the (bounded) name list."""
+    """Rename the columns of a header-less scan by the (bounded) name list, one name per column."""
     ordered = [r["name"] for r in names.orderBy("pos").collect()]
-    return df.toDF(*ordered[: len(df.columns)])
+    if len(ordered) != len(df.columns):
+        raise ValueError(f"{len(ordered)} names for {len(df.columns)} columns")
+    return df.toDF(*ordered)
