@@ -158,7 +158,6 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: D
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) with 100 * |intersection| >= similarity * |union|."""
-    sets = sets.checkpoint()  # read on both sides of the pairs
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -188,12 +187,15 @@ def near_duplicates(
     with_words = signed.where("sequence IS NOT NULL AND id IS NOT NULL")
     smallest = with_words.groupBy("sequence").agg(F.min("id").alias("id"))
     chosen = with_words.join(smallest.select("sequence", F.col("id").alias("rep")), "sequence").where("id = rep")
-    chosen = chosen.dropDuplicates(["sequence"])
-    about = chosen.select("rep", "n", "sketch").dropDuplicates(["rep"])
+    chosen = chosen.dropDuplicates(["sequence"]).select("rep", "n", "bands", "sketch").checkpoint()
     keys = chosen.select("rep", F.explode("bands").alias("key"))
     # only buckets with company matter
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
     members = keys.join(shared, "key").withColumn("part", F.col("rep")).checkpoint()
+    # what is asked again and again is worked out once, for the rows that share a bucket only
+    reps = members.select("rep").distinct()
+    about = chosen.join(reps, "rep").select("rep", "n", "sketch").dropDuplicates(["rep"]).checkpoint()
+    sets = full_sets(docs, id_col, text_col, words, reps.withColumnRenamed("rep", "id")).checkpoint()
     total, before, edges = members.count(), None, None
     parts = smallest.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
     while total:
@@ -223,8 +225,7 @@ def near_duplicates(
             pairs = pairs.where(may_link("n", "nb", "sketch", "sketch_b", similarity)).select("a", "b")
             members = members.join(hub, "key").where("rep <> b").select("key", "rep", "part")
         pairs = pairs.checkpoint()
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        links = confirmed(pairs, full_sets(docs, id_col, text_col, words, ids), similarity)
+        links = confirmed(pairs, sets, similarity)
         edges = (links if edges is None else edges.union(links)).checkpoint()
         parts = components(edges)
         if last:
