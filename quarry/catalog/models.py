@@ -194,18 +194,58 @@ def _l11(spark, sf):
 
 
 def _stepwise(spark, sf, direction):
+    from quarry.functions.rounding import rnd
+
     li = table(spark, sf, "lineitem")
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
-    return M.stepwise_select(li.where(F.col("l_shipdate") < cut), li.where(~(F.col("l_shipdate") < cut)),
+    path = M.stepwise_select(li.where(F.col("l_shipdate") < cut), li.where(~(F.col("l_shipdate") < cut)),
                              NB_FEATURES, "l_returnflag", direction)
+    return path.withColumn("accuracy", rnd("accuracy"))
 
 
-@query("l12_forward_selection")
+def _stepwise_sql(direction):
+    """Every subset of the features (a bit mask) is scored; the path then follows the best neighbour."""
+    from quarry.functions.rounding import rnd_sql
+
+    n, forward = len(NB_FEATURES), direction == "forward"
+    feats = list(enumerate(NB_FEATURES))
+    ll = " + ".join(
+        f"CASE WHEN mask & {1 << i} > 0 THEN -0.5 * ln(2 * pi() * (var_{f} + eps)) - ({f} - mu_{f}) * ({f} - mu_{f}) / (2 * (var_{f} + eps)) ELSE 0 END"
+        for i, f in feats)
+    eps = ", ".join(f"CASE WHEN mask & {1 << i} > 0 THEN v_{f} ELSE 0 END" for i, f in feats)
+    names = ", ".join(f"({1 << i}, {i}, '{f}')" for i, f in feats)
+    start = "0" if forward else str(2**n - 1)
+    move = "p.mask & f.bit = 0" if forward else "p.mask & f.bit > 0 AND p.size > 1"
+    first = "" if forward else f"SELECT 0 AS step, 'start' AS action, '*' AS feature, {n} AS n_features, acc FROM scored WHERE mask = {start} UNION ALL"
+    return f"""WITH RECURSIVE tr AS (SELECT * FROM lineitem WHERE l_shipdate < {_CUT}),
+      va AS (SELECT row_number() OVER () AS id, * FROM lineitem WHERE l_shipdate >= {_CUT}),
+      cls AS (SELECT l_returnflag AS c, ln(count(*) / (SELECT count(*) FROM tr)) AS lp,
+        {', '.join(f'avg({f}) AS mu_{f}, var_pop({f}) AS var_{f}' for _, f in feats)} FROM tr GROUP BY l_returnflag),
+      spread AS (SELECT {', '.join(f'var_pop({f}) AS v_{f}' for _, f in feats)} FROM tr),
+      masks AS (SELECT mask, 1e-9 * greatest({eps}) AS eps FROM range(1, {2**n}) AS r(mask), spread),
+      pred AS (SELECT mask, id, any_value(l_returnflag) AS y, arg_max(c, (score, rank_c)) AS p FROM (
+        SELECT mask, id, l_returnflag, c, lp + {ll} AS score, -dense_rank() OVER (PARTITION BY mask, id ORDER BY c) AS rank_c
+        FROM va, cls, masks) AS s GROUP BY mask, id),
+      scored AS (SELECT mask, avg(CASE WHEN p = y THEN 1.0 ELSE 0.0 END) AS acc FROM pred GROUP BY mask),
+      feats(bit, pos, feature) AS (VALUES {names}),
+      moves AS (SELECT p.mask, xor(p.mask, f.bit) AS next, f.pos, f.feature, s.acc,
+          row_number() OVER (PARTITION BY p.mask ORDER BY s.acc DESC, f.pos) AS rk
+        FROM (SELECT mask, bit_count(mask::BIGINT) AS size FROM range(0, {2**n}) AS r(mask)) AS p
+        JOIN feats AS f ON {move} JOIN scored AS s ON s.mask = xor(p.mask, f.bit)),
+      path AS (SELECT 0 AS step, {start}::BIGINT AS mask, '*' AS feature, 0.0::DOUBLE AS acc
+        UNION ALL SELECT path.step + 1, m.next, m.feature, m.acc FROM path JOIN moves AS m ON m.mask = path.mask AND m.rk = 1),
+      steps AS ({first} SELECT step, '{"add" if forward else "remove"}' AS action, feature,
+        bit_count(mask::BIGINT) AS n_features, acc FROM path WHERE step > 0)
+      SELECT step::INT AS step, action, feature, n_features::INT AS n_features, {rnd_sql('acc')} AS accuracy,
+        row_number() OVER (ORDER BY acc DESC, n_features) = 1 AS best FROM steps"""
+
+
+@query("l12_forward_selection", _stepwise_sql("forward"))
 def _l12(spark, sf):
     return _stepwise(spark, sf, "forward")
 
 
-@query("l13_backward_elimination")
+@query("l13_backward_elimination", _stepwise_sql("backward"))
 def _l13(spark, sf):
     return _stepwise(spark, sf, "backward")
 

@@ -9,6 +9,7 @@ columns) so that it can be checked exactly and so that stepwise selection
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -240,59 +241,65 @@ def predict_gaussian_nb(df: DataFrame, params: DataFrame, features: Sequence[str
     return out.drop(*[c for c in out.columns if c.startswith("__l")])
 
 
-def _round_scores(scored: DataFrame, classes, label: str, base: Sequence[str], candidates: Sequence[str],
-                  remove: bool) -> dict[str, float]:
-    """Accuracy of every candidate set of this round in one aggregate."""
-    aggs = []
-    for cand in candidates:
-        feats = [f for f in base if f != cand] if remove else [*base, cand]
-        scores = [F.col(f"__lp_{i}") + sum((F.col(f"__ll_{i}_{f}") for f in feats), F.lit(0.0))
-                  for i in range(len(classes))]
-        aggs.append(F.avg((_argmax_class(scores, classes) == F.col(label)).cast("double")).alias(cand))
-    row = scored.agg(*aggs).first()
-    return {c: row[c] for c in candidates}
+def _class_moments(df: DataFrame, features: Sequence[str], label: str) -> tuple[list, dict[str, float]]:
+    """Unsmoothed moments per class (model-sized: classes x features) and the variance of every feature."""
+    rows = df.groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(f).alias(f"mu_{f}") for f in features], *[F.var_pop(f).alias(f"var_{f}") for f in features],
+    ).orderBy(label).collect()
+    return rows, df.agg(*[F.var_pop(f).alias(f) for f in features]).first().asDict()
+
+
+def _subset_accuracy(moments: tuple[list, dict[str, float]], features: Sequence[str], label: str,
+                     var_smoothing: float) -> Column:
+    """Aggregate: accuracy of the naive Bayes model fitted on ``features`` alone, its own smoothing included."""
+    rows, spread = moments
+    total = sum(r["n"] for r in rows)
+    eps = var_smoothing * max(spread[f] for f in features)
+    scores = []
+    for r in rows:
+        score = F.lit(math.log(r["n"] / total))
+        for f in features:
+            var = max(r[f"var_{f}"] + eps, sys.float_info.min)
+            score += F.lit(-0.5 * math.log(2 * math.pi * var)) - (F.col(f) - F.lit(r[f"mu_{f}"])) ** 2 / F.lit(2 * var)
+        scores.append(score)
+    return F.avg((_argmax_class(scores, [r[label] for r in rows]) == F.col(label)).cast("double"))
 
 
 def stepwise_select(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str,
-                    direction: str = "forward") -> DataFrame:
+                    direction: str = "forward", var_smoothing: float = 1e-9) -> DataFrame:
     """Forward selection / backward elimination for Gaussian naive
-    Bayes by validation accuracy. The log-likelihood terms of every (row,
-    class, feature) are computed once; each round scores all candidates in
-    one aggregate; selection stops when no candidate improves the score.
-    Returns (step, action, feature, accuracy)."""
-    params = fit_gaussian_nb(train, features, label)
-    scored, classes = nb_loglik_columns(valid, params, features, label)
-    scored = scored.select(label, *[c for c in scored.columns if c.startswith("__l")]).cache()
-    steps = []
-    if direction == "forward":
-        chosen: list[str] = []
-        best = -1.0
-        while len(chosen) < len(features):
-            cands = [f for f in features if f not in chosen]
-            acc = _round_scores(scored, classes, label, chosen, cands, remove=False)
-            f, a = max(acc.items(), key=lambda kv: (kv[1], -features.index(kv[0])))
-            if a <= best:
-                break
-            chosen.append(f)
-            best = a
-            steps.append((len(steps) + 1, "add", f, float(a)))
-    else:
-        kept = list(features)
-        base = scored.agg(F.avg((_argmax_class(
-            [F.col(f"__lp_{i}") + sum((F.col(f"__ll_{i}_{f}") for f in kept), F.lit(0.0))
-             for i in range(len(classes))], classes) == F.col(label)).cast("double"))).first()[0]
-        steps.append((0, "start", "*", float(base)))
-        best = base
-        while len(kept) > 1:
-            acc = _round_scores(scored, classes, label, kept, kept, remove=True)
-            f, a = max(acc.items(), key=lambda kv: (kv[1], -features.index(kv[0])))
-            if a <= best:
-                break
-            kept.remove(f)
-            best = a
-            steps.append((len(steps), "remove", f, float(a)))
-    scored.unpersist()
-    return train.sparkSession.createDataFrame(steps, "step int, action string, feature string, accuracy double")
+    Bayes by validation accuracy, over all sizes.
+
+    The class moments are fitted once; the model of a subset follows from
+    them, with the smoothing term of that subset. Each round scores all
+    candidates in one aggregate. The path goes on to the last feature also
+    when a round does not improve; ``best`` marks its highest accuracy (the
+    fewest features among equals). Of candidates that tie, the first in
+    ``features`` is taken. Returns (step, action, feature, n_features,
+    accuracy, best); step 0 of the elimination is the set of all features.
+    """
+    moments = _class_moments(train, features, label)
+    rows = valid.select(label, *features)
+
+    def scores(sets: Mapping[str, Sequence[str]]) -> dict[str, float]:
+        return rows.agg(*[_subset_accuracy(moments, fs, label, var_smoothing).alias(name)
+                          for name, fs in sets.items()]).first().asDict()
+
+    forward = direction == "forward"
+    kept: list[str] = [] if forward else list(features)
+    steps = [] if forward else [(0, "start", "*", len(kept), scores({"*": kept})["*"])]
+    while len(kept) < len(features) if forward else len(kept) > 1:
+        sets = {c: [f for f in features if (f in kept) != (f == c)] for c in features if (c in kept) != forward}
+        found = scores(sets)
+        pick = max(found, key=lambda c: (found[c], -features.index(c)))
+        kept = sets[pick]
+        steps.append((len(kept) if forward else len(features) - len(kept), "add" if forward else "remove",
+                      pick, len(kept), found[pick]))
+    top = max(steps, key=lambda s: (s[4], -s[3]))
+    return train.sparkSession.createDataFrame(
+        [(*s, s is top) for s in steps],
+        "step int, action string, feature string, n_features int, accuracy double, best boolean")
 
 
 def correlation_pruning(df: DataFrame, features: Sequence[str], label: str, threshold: float = 0.8) -> DataFrame:

@@ -92,14 +92,18 @@ def test_stepwise_forward_matches_brute_force(spark):
     li = table(spark, SMALL, "lineitem")
     train, valid = li.where(F.col("l_linenumber") % 2 == 0), li.where(F.col("l_linenumber") % 2 == 1)
     feats = ["l_quantity", "l_discount", "l_tax"]
-    path = M.stepwise_select(train, valid, feats, "l_returnflag", "forward").orderBy("step").collect()
-    first = path[0]
-    best = None
-    for f in feats:
-        params = M.fit_gaussian_nb(train, feats, "l_returnflag")
-        pred = M.predict_gaussian_nb(valid, params.select("l_returnflag", "prior", f"mu_{f}", f"var_{f}"), [f],
-                                     "l_returnflag")
-        acc = pred.agg(F.avg((F.col("prediction") == F.col("l_returnflag")).cast("double"))).first()[0]
-        if best is None or acc > best[1]:
-            best = (f, acc)
-    assert first.feature == best[0] and abs(first.accuracy - best[1]) < 1e-12
+    for direction in ("forward", "backward"):
+        path = M.stepwise_select(train, valid, feats, "l_returnflag", direction).orderBy("step").collect()
+        assert [r.n_features for r in path] == ([1, 2, 3] if direction == "forward" else [3, 2, 1])
+        assert sum(r.best for r in path) == 1
+        kept = [] if direction == "forward" else list(feats)
+        for step in path:
+            changes = [] if step.feature == "*" else [f for f in feats if (f in kept) == (direction == "backward")]
+            sets = {f: [g for g in feats if (g in kept) != (g == f)] for f in changes} or {"*": kept}
+            found = {}
+            for name, fs in sets.items():
+                params = M.fit_gaussian_nb(train, fs, "l_returnflag")
+                pred = M.predict_gaussian_nb(valid, params, fs, "l_returnflag")
+                found[name] = pred.agg(F.avg((F.col("prediction") == F.col("l_returnflag")).cast("double"))).first()[0]
+            assert step.feature == max(found, key=found.get) and abs(step.accuracy - found[step.feature]) < 1e-12
+            kept = sets[step.feature]
