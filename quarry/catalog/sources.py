@@ -197,14 +197,11 @@ def _st1(spark, sf):
     """The daylight classification run as a Structured Streaming job (availableNow)
     over a file stream of the events table; the result is read back from the sink."""
     from quarry.catalog.features import PLACE
-    from quarry.operators import daylight as DL
     from quarry.streaming.stateless import classify_daylight_stream
 
     e = table(spark, sf, "events").select("event_id", "ts")
     src = write_stage(e, stage_path(spark, "st1-src"))
-    dates = e.select(F.to_date(F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(-300))).alias("d"))
-    dim = DL.daylight_dimension(dates, "d", *PLACE)
     sink, ck = stage_path(spark, "st1-sink"), stage_path(spark, "st1-ck")
-    q = classify_daylight_stream(spark, src, e.schema, dim, sink, ck, utc_offset_h=PLACE[2])
+    q = classify_daylight_stream(spark, src, e.schema, sink, ck, *PLACE)
     q.awaitTermination()
     return spark.read.parquet(sink).select("event_id", "daylight")

@@ -60,19 +60,20 @@ def _crossing(eqtime: Column, decl: Column, lat: float, lon: float, utc_offset_h
     return F.floor((minutes_utc + F.lit(60.0 * utc_offset_h)) * 60.0).cast("int")
 
 
+def boundary_columns(day: Column, lat: float, lon: float, utc_offset_h: float) -> dict[str, Column]:
+    """The six boundary times (local seconds of day) as expressions of the date."""
+    eqtime, decl = _solar_terms(day)
+    sides = {
+        "blue_am_start": (BLUE_LOW, True), "golden_am_start": (BLUE_HIGH, True), "golden_am_end": (GOLDEN_HIGH, True),
+        "golden_pm_start": (GOLDEN_HIGH, False), "blue_pm_start": (BLUE_HIGH, False), "blue_pm_end": (BLUE_LOW, False),
+    }
+    return {name: _crossing(eqtime, decl, lat, lon, utc_offset_h, elev, am) for name, (elev, am) in sides.items()}
+
+
 def daylight_dimension(dates: DataFrame, date_col: str, lat: float, lon: float, utc_offset_h: float) -> DataFrame:
     """One row per distinct date with the six boundary times (local seconds of day)."""
     d = dates.select(F.col(date_col).alias("day")).distinct()
-    eqtime, decl = _solar_terms(F.col("day"))
-    cols = {
-        "blue_am_start": _crossing(eqtime, decl, lat, lon, utc_offset_h, BLUE_LOW, True),
-        "golden_am_start": _crossing(eqtime, decl, lat, lon, utc_offset_h, BLUE_HIGH, True),
-        "golden_am_end": _crossing(eqtime, decl, lat, lon, utc_offset_h, GOLDEN_HIGH, True),
-        "golden_pm_start": _crossing(eqtime, decl, lat, lon, utc_offset_h, GOLDEN_HIGH, False),
-        "blue_pm_start": _crossing(eqtime, decl, lat, lon, utc_offset_h, BLUE_HIGH, False),
-        "blue_pm_end": _crossing(eqtime, decl, lat, lon, utc_offset_h, BLUE_LOW, False),
-    }
-    return d.withColumns(cols)
+    return d.withColumns(boundary_columns(F.col("day"), lat, lon, utc_offset_h))
 
 
 def daylight_sql(date_expr: str, lat: float, lon: float, utc_offset_h: float) -> dict[str, str]:
@@ -101,12 +102,17 @@ def daylight_sql(date_expr: str, lat: float, lon: float, utc_offset_h: float) ->
 
 def classify_daylight(events: DataFrame, ts_col: str, lat: float, lon: float, utc_offset_h: float,
                       name: str = "daylight") -> DataFrame:
-    """Label each event night / blue_hour / golden_hour / day."""
-    from quarry.operators.joins import classify_in_intervals
+    """Label each event night / blue_hour / golden_hour / day.
 
+    The boundaries are functions of the event's own date, so this is a
+    projection: no dimension table, no join, also on a stream. A NULL
+    timestamp has a NULL label.
+    """
     local = F.col(ts_col) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(round(utc_offset_h * 60))))
-    ev = events.withColumn("__local", local).withColumn("__day", F.to_date("__local")).withColumn(
-        "__sec", F.hour("__local") * 3600 + F.minute("__local") * 60 + F.floor(F.second("__local")).cast("int"))
-    dim = daylight_dimension(ev, "__day", lat, lon, utc_offset_h)
-    out = classify_in_intervals(ev, dim, F.col("__day"), "day", F.col("__sec"), BOUNDARIES, "night", name)
-    return out.drop("__local", "__day", "day", "__sec", *[b for b, _ in BOUNDARIES])
+    sec = F.hour("__local") * 3600 + F.minute("__local") * 60 + F.floor(F.second("__local")).cast("int")
+    ev = events.withColumn("__local", local).withColumns({"__day": F.to_date("__local"), "__sec": sec})
+    bounds = boundary_columns(F.col("__day"), lat, lon, utc_offset_h)
+    label = F.when(F.col("__sec").isNull(), F.lit(None))
+    for bound, before in BOUNDARIES:
+        label = label.when(F.col("__sec") < bounds[bound], F.lit(before))
+    return ev.withColumn(name, label.otherwise("night")).drop("__local", "__day", "__sec")

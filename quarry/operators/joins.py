@@ -77,14 +77,15 @@ def classify_in_intervals(
     first boundary pair ``(lo_col, label)`` whose column ``lo_col`` exceeds it.
 
     ``bounds`` is an ordered list of (boundary column, label): the label of
-    the first boundary greater than the value wins, else ``otherwise``.
-    The dimension has one row per calendar day (bounded) and is broadcast.
+    the first boundary greater than the value wins, else ``otherwise``; a
+    NULL value or a key that the dimension lacks gives NULL. Whether the
+    dimension is broadcast is left to its measured size.
     """
-    joined = df.join(F.broadcast(dim), left_key == F.col(right_key), "left")
-    expr = F.lit(otherwise)
-    for col, label in reversed(list(bounds)):
-        expr = F.when(value < F.col(col), F.lit(label)).otherwise(expr)
-    return joined.withColumn(name, expr)
+    joined = df.join(dim, left_key == F.col(right_key), "left")
+    expr = F.when(value.isNull() | F.col(right_key).isNull(), F.lit(None))
+    for col, label in bounds:
+        expr = expr.when(value < F.col(col), F.lit(label))
+    return joined.withColumn(name, expr.otherwise(otherwise))
 
 
 def map_values(col: Column | str, mapping: Mapping, default: Column | None = None) -> Column:

@@ -69,17 +69,20 @@ def hot_deck(
     ``buckets``-row table. Each flagged row picks donor
     ``floor(u * n)`` with ``u`` its md5 draw, and fetches the donor value by
     an equi-join on the donor number. All steps are distributed; a hot bucket
-    cannot form because buckets are hash-assigned.
+    cannot form because buckets are hash-assigned. Donors without a key are
+    spread by their value and can be picked like the others; flagged rows
+    without a key share one draw.
     """
     marked = df.withColumn("__flag", flagged)
+    identity = F.coalesce(F.col("__dkey").cast("string"), F.col("__dval").cast("string"), F.lit(""))
     donors = marked.where(~F.col("__flag")).select(
         F.col(key).alias("__dkey"), F.col(col).alias("__dval")
-    ).withColumn("__b", F.floor(hash_unit("__dkey", seed=None) * buckets).cast("int"))
+    ).withColumn("__b", F.floor(hash_unit(identity, seed=None) * buckets).cast("int"))
     per_b = donors.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_b.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     n_donors = donors.agg(F.count(F.lit(1))).scalar()
-    numbered = donors.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy("__dkey")))
+    numbered = donors.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy("__dkey", "__dval")))
     numbered = numbered.join(F.broadcast(offsets.drop("__n")), "__b").select(
         (F.col("__r") - 1 + F.col("__off")).alias("__donor"), "__dval"
     )
@@ -87,7 +90,7 @@ def hot_deck(
     # would all hash to one reducer of the join (one task for most rows)
     spread = -(F.lit(1) + F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30))).cast("long")
     picks = marked.withColumn(
-        "__donor", F.when(F.col("__flag"), F.floor(hash_unit(key, seed=seed) * n_donors).cast("long"))
+        "__donor", F.when(F.col("__flag"), F.floor(hash_unit(F.coalesce(F.col(key).cast("string"), F.lit("")), seed=seed) * n_donors).cast("long"))
         .otherwise(spread)
     )
     out = picks.join(numbered, "__donor", "left")

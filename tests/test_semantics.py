@@ -142,3 +142,30 @@ def test_null_class_rows_are_kept(spark):
     assert folds.count() == 100 and folds.where(F.col("y").isNull()).count() == 20
     tot = W.with_group_total(df.withColumn("v", F.lit(1)), ["y"], "v")
     assert tot.where(F.col("y").isNull()).agg(F.max("group_total")).first()[0] == 20
+
+
+def test_daylight_is_a_projection_and_null_stays_null(spark):
+    from quarry.operators.daylight import classify_daylight
+
+    df = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP_NTZ'2024-06-01 17:00:00'), (2, NULL), "
+                   "(3, TIMESTAMP_NTZ'2024-06-01 06:00:00') AS t(id, ts)")
+    out = classify_daylight(df, "ts", 39.14, -77.20, -5.0)
+    assert out.columns == ["id", "ts", "daylight"]
+    assert {r.id: r.daylight for r in out.collect()} == {1: "day", 2: None, 3: "night"}
+    assert "Join" not in out._jdf.queryExecution().toString()
+
+
+def test_intervals_without_a_dimension_row_give_null(spark):
+    from quarry.operators.joins import classify_in_intervals
+
+    df = spark.createDataFrame([(1, 5), (1, 50), (2, 5), (None, 5), (1, None)], "d int, v int")
+    dim = spark.createDataFrame([(1, 10)], "day int, noon int")
+    out = classify_in_intervals(df, dim, F.col("d"), "day", F.col("v"), [("noon", "am")], "pm")
+    assert {(r.d, r.v): r["class"] for r in out.collect()} == {
+        (1, 5): "am", (1, 50): "pm", (2, 5): None, (None, 5): None, (1, None): None}
+
+
+def test_hot_deck_donors_without_a_key(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (3, 3.0), (4, -1.0), (5, -1.0), (None, -1.0)], "k int, x double")
+    out = N.hot_deck(df, "k", "x", F.col("x") < 0, seed=3).collect()
+    assert len(out) == 6 and all(r.x in (1.0, 2.0, 3.0) for r in out)
