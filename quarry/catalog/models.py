@@ -95,10 +95,11 @@ def _l4(spark, sf):
 def _l5(spark, sf):
     from quarry.operators.features import apply_zscore, fit_zscore
 
-    data = M.class_weights(order_features(spark, sf), "status")
+    data = order_features(spark, sf)
     data = apply_zscore(data, fit_zscore(data.where(F.col("split") == "train"), ORDER_FEATURES), ORDER_FEATURES)
     v = M.vectorize(data, ORDER_FEATURES, "status")
-    model = M.linear_svc(10, 0.01, weight_col="weight").fit(v.where(F.col("split") == "train"))
+    train = M.class_weights(v.where(F.col("split") == "train"), "status")
+    model = M.linear_svc(10, 0.01, weight_col="weight").fit(train)
     return M.predictions(model, v.where(F.col("split") == "test"), "o_orderkey")
 
 

@@ -99,8 +99,8 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 
 def label_by_position(code: Column | str, labels: Sequence[str]) -> Column:
-    """Code -> label by position in a list (0-based code)."""
-    return F.element_at(F.array(*[F.lit(s) for s in labels]), _c(code).cast("int") + 1)
+    """Code -> label by position in a list (0-based code); NULL for a code without a label."""
+    return F.get(F.array(*[F.lit(s) for s in labels]), _c(code).cast("int"))
 
 
 # ---- strings -----------------------------------------------------------------

@@ -169,3 +169,10 @@ def test_hot_deck_donors_without_a_key(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), (3, 3.0), (4, -1.0), (5, -1.0), (None, -1.0)], "k int, x double")
     out = N.hot_deck(df, "k", "x", F.col("x") < 0, seed=3).collect()
     assert len(out) == 6 and all(r.x in (1.0, 2.0, 3.0) for r in out)
+
+
+def test_label_by_position_without_a_label(spark):
+    from quarry.functions.columns import label_by_position
+
+    df = spark.createDataFrame([(-1,), (0,), (1,), (2,), (None,)], "c int")
+    assert [r[0] for r in df.select(label_by_position("c", ["a", "b"])).collect()] == [None, "a", "b", None, None]
