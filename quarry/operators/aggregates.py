@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from quarry.functions.rounding import rnd
+from quarry.operators.ordering import global_running_sum, join_null_safe
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -73,29 +74,67 @@ def sorted_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFra
                     .alias("value"))
 
 
+def group_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], probs: Sequence[float],
+                    exact: bool = True) -> DataFrame:
+    """(by..., column, q array): quantiles of several columns per group, linear interpolation.
+
+    The frequency table of (group, column, value) gets one distributed running
+    count, which gives every value its range of positions; the values at the
+    floor and ceiling of ``p * (n - 1)`` are all that is left of a group. No task holds the values of a group. Groups without a value have no row;
+    a column may be in ``by`` as well. ``exact=False`` is the bounded sketch
+    of :func:`quantile_expr`.
+    """
+    keys = [f"__by_{i}" for i in range(len(by))]
+    long = df.select(
+        *[F.col(c).alias(k) for c, k in zip(by, keys)], *[F.col(c).cast("double").alias(c) for c in cols]
+    ).unpivot(keys, list(cols), "column", "__v").where(F.col("__v").isNotNull())
+    names = [F.col(k).alias(c) for c, k in zip(by, keys)]
+    keys.append("column")
+    if not exact:
+        return long.groupBy(*keys).agg(quantile_expr("__v", probs, False).alias("q")).select(*names, "column", "q")
+    freq = long.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    cum = global_running_sum(freq, [*keys, "__v"], "__n", "__cum")
+    groups = cum.groupBy(*keys).agg(F.sum("__n").alias("__t"), F.min(F.col("__cum") - F.col("__n")).alias("__off"))
+    placed = join_null_safe(cum, groups, keys)
+    last = F.col("__cum") - F.col("__off") - 1  # positions count from 0
+    first = last - F.col("__n") + 1
+    steps = F.array(*[F.lit(float(p)) for p in probs])
+
+    def position(p: Column) -> Column:
+        return p * (F.col("__t") - 1)
+
+    # entry 2i / 2i + 1: the positions below and above quantile i; a value keeps those inside its range
+    ends = F.flatten(F.transform(steps, lambda p: F.array(F.floor(position(p)), F.ceil(position(p)))))
+    hits = F.filter(F.transform(ends, lambda at, i: F.struct(i.alias("i"), at.alias("at"))),
+                    lambda s: (first <= s["at"]) & (s["at"] <= last))
+    picked = placed.select(*keys, "__t", "__v", F.explode(hits).alias("__h")).groupBy(*keys, "__t").agg(
+        F.map_from_entries(F.collect_list(F.struct("__h.i", "__v"))).alias("__m"))  # two entries a quantile
+
+    def between(p: Column, i: Column) -> Column:
+        lo, hi, part = F.col("__m")[2 * i], F.col("__m")[2 * i + 1], position(p) - F.floor(position(p))
+        return F.when(lo == hi, lo).otherwise(lo * (1 - part) + hi * part)
+
+    q = F.transform(steps, between)
+    return picked.select(*names, "column", q.alias("q"))
+
+
 def group_describe(df: DataFrame, by: Sequence[str], value: str, exact: bool = True) -> DataFrame:
     """A3: n, mean, sample sd, min, quartiles, max per group."""
-    q = quantile_expr(value, [0.25, 0.5, 0.75], exact)
-    return (
-        df.groupBy(*by)
-        .agg(
-            F.count(value).alias("n"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            q.alias("__q"),
-            F.max(value).alias("max"),
-        )
-        .select(
-            *by, "n", "mean", "std", "min",
-            F.col("__q")[0].alias("q25"), F.col("__q")[1].alias("q50"), F.col("__q")[2].alias("q75"), "max",
-        )
+    stats = df.groupBy(*by).agg(
+        F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"), F.max(value).alias("max"))
+    q = group_quantiles(df, by, [value], [0.25, 0.5, 0.75], exact).drop("column")
+    return join_null_safe(stats, q, list(by), "left").select(
+        *by, "n", "mean", "std", "min",
+        F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max",
     )
 
 
 def group_median(df: DataFrame, by: str, value: str) -> DataFrame:
     """A4: median per group, groups ordered by it (descending)."""
-    return df.groupBy(by).agg(F.median(value).alias("median")).orderBy(F.desc("median"), by)
+    q = group_quantiles(df, [by], [value], [0.5]).drop("column")
+    out = join_null_safe(df.select(by).distinct(), q, [by], "left")
+    return out.select(by, F.col("q")[0].alias("median")).orderBy(F.desc("median"), by)
 
 
 def value_counts(df: DataFrame, col: str, dropna: bool = True, sort: str | None = "count") -> DataFrame:
@@ -138,44 +177,29 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
     """A9 (numeric part): one row per (column, statistic).
 
     count, mean, std (n-1), min, 25%, 50%, 75%, max like ``DataFrame.describe``
-    in pandas; computed by a single aggregate and unpivoted. ``method='sort'``
-    takes the quartiles from ``sorted_quantiles`` (exact, distributed sort)
-    instead of ``percentile``'s value->count map -- for continuous columns
-    at scale.
+    in pandas: one aggregate for the moments, :func:`group_quantiles` of all
+    columns at once for the quartiles. ``method='sort'`` sorts the rows of each
+    column instead of its frequency table (``sorted_quantiles``).
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
+    probs = [0.25, 0.5, 0.75]
+    x = {c: F.col(c).cast("double") for c in cols}
+    wide = df.agg(*[F.struct(
+        F.lit(c).alias("column"), F.count(x[c]).cast("double").alias("count"), F.avg(x[c]).alias("mean"),
+        F.stddev_samp(x[c]).alias("std"), F.min(x[c]).alias("min"), F.max(x[c]).alias("max")).alias(c) for c in cols])
+    stats = wide.select(F.explode(F.array(*cols)).alias("s")).select("s.*")
     if method == "sort":
-        moments_ = df.agg(*[e for c in cols for e in (
-            F.count(F.col(c)).cast("double").alias(f"{c}__count"), F.avg(F.col(c).cast("double")).alias(f"{c}__mean"),
-            F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__std"), F.min(F.col(c).cast("double")).alias(f"{c}__min"),
-            F.max(F.col(c).cast("double")).alias(f"{c}__max"))])
-        long = moments_.unpivot([], moments_.columns, "key", "value")
-        parts = F.split(F.col("key"), "__")
-        out = long.select(parts[0].alias("column"), parts[1].alias("stat"), "value")
-        names = F.create_map(F.lit(0.25), F.lit("q25"), F.lit(0.5), F.lit("q50"), F.lit(0.75), F.lit("q75"))
+        q = None
         for c in cols:
-            q = sorted_quantiles(df, c, [0.25, 0.5, 0.75])
-            out = out.unionByName(q.select(F.lit(c).alias("column"), F.element_at(names, F.col("p")).alias("stat"),
-                                           "value"))
-        return out
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = quantile_expr(x, [0.25, 0.5, 0.75], exact)
-        aggs += [
-            F.count(x).cast("double").alias(f"{c}__count"),
-            F.avg(x).alias(f"{c}__mean"),
-            F.stddev_samp(x).alias(f"{c}__std"),
-            F.min(x).alias(f"{c}__min"),
-            q[0].alias(f"{c}__q25"),
-            q[1].alias(f"{c}__q50"),
-            q[2].alias(f"{c}__q75"),
-            F.max(x).alias(f"{c}__max"),
-        ]
-    wide = df.agg(*aggs)
-    stacked = wide.unpivot([], wide.columns, "key", "value")
-    parts = F.split(F.col("key"), "__")
-    return stacked.select(parts[0].alias("column"), parts[1].alias("stat"), "value")
+            ordered = F.array_sort(F.collect_list(F.struct("p", "value")))  # one entry a probability
+            part = sorted_quantiles(df, c, probs).agg(ordered.getField("value").alias("q")).select(F.lit(c).alias("column"), "q")
+            q = part if q is None else q.unionByName(part)
+    else:
+        q = group_quantiles(df, [], cols, probs, exact)
+    return stats.join(q, "column", "left").select(
+        "column", "count", "mean", "std", "min", F.get("q", F.lit(0)).alias("q25"), F.get("q", F.lit(1)).alias("q50"),
+        F.get("q", F.lit(2)).alias("q75"), "max",
+    ).unpivot(["column"], ["count", "mean", "std", "min", "q25", "q50", "q75", "max"], "stat", "value")
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import distributions as D
+from quarry.operators.aggregates import group_quantiles
 from quarry.operators.sampling import hash_sample
 
 
@@ -34,18 +35,17 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
 
 def box_stats(df: DataFrame, group: str, value: str, exact: bool = True) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme data inside the fences) and outlier count per group."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact else \
-        F.percentile_approx(value, [0.25, 0.5, 0.75], 10000)
-    quart = df.groupBy(group).agg(q.alias("q")).select(
+    quart = group_quantiles(df, [group], [value], [0.25, 0.5, 0.75], exact).select(
         group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    j = df.select(group, value).join(quart, group)
+    # value frequencies, not raw rows, meet the quartiles: a hot group is pre-aggregated
+    j = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("__n")).join(quart, group)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     inside = (F.col(value) >= lo_f) & (F.col(value) <= hi_f)
     return j.groupBy(group, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_lo"),
         F.max(F.when(inside, F.col(value))).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_outliers"), F.count(value).alias("n"))
+        F.sum(F.when(inside, 0).otherwise(F.col("__n"))).alias("n_outliers"), F.sum("__n").alias("n"))
 
 
 def grid_counts(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
@@ -63,12 +63,12 @@ def qq_points(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     quantiles of the fitted line (mean + sd * z_i)."""
     probs = [(i - 0.5) / points for i in range(1, points + 1)]
     z = [D.normal_ppf(p) for p in probs]
-    s = df.agg(F.struct(F.percentile(col, F.array(*[F.lit(p) for p in probs])).alias("q"),
-                        F.avg(col).alias("m"), F.stddev_samp(col).alias("sd"))).scalar()
+    q = group_quantiles(df, [], [col], probs).select("q").scalar()
+    s = df.agg(F.struct(F.avg(col).alias("m"), F.stddev_samp(col).alias("sd"))).scalar()
     grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
     zarr = F.array(*[F.lit(v) for v in z])
     return grid.select("i", F.element_at(zarr, F.col("i") + 1).alias("theoretical"),
-                       F.element_at(s.q, F.col("i") + 1).alias("sample"),
+                       F.element_at(q, F.col("i") + 1).alias("sample"),
                        (s.m + s.sd * F.element_at(zarr, F.col("i") + 1)).alias("line"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import global_running_sum
+from quarry.operators.ordering import global_running_sum, global_running_sums
 
 
 def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -48,19 +48,23 @@ def roc_table(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
     y = (F.col(label) == F.lit(positive)).cast("long")
     per = df.groupBy(F.col(score).alias("threshold")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     tot = per.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
-    a = global_running_sum(per, [F.desc("threshold")], "pos", "tp")
-    b = global_running_sum(a, [F.desc("threshold")], "neg", "fp")
+    b = global_running_sums(per, [F.desc("threshold")], {"pos": "tp", "neg": "fp"})
     return b.select("threshold", "tp", "fp", F.try_divide(F.col("fp").cast("double"), tot.N.cast("double")).alias("fpr"), F.try_divide(F.col("tp").cast("double"), tot.P.cast("double")).alias("tpr"))
 
 
 def auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
-    """E5: AUC by the rank-sum (Mann-Whitney) formula with average ranks for ties."""
-    from quarry.operators.stats import average_ranks
+    """E5: AUC by the rank-sum (Mann-Whitney) statistic, ties count half.
 
-    y = (F.col(label) == F.lit(positive))
-    r = average_ranks(df.select(label, score), score, "__r")
-    s = r.agg(F.sum(F.when(y, F.col("__r"))).alias("rs"), F.count_if(y).alias("np"), F.count_if(~y).alias("nn"))
-    return s.select(F.try_divide((F.col("rs") - F.col("np") * (F.col("np") + 1) / 2).cast("double"), (F.col("np") * F.col("nn")).cast("double")).alias("auc"))
+    Worked out from the counts per distinct score: every negative is below the
+    positives of higher scores and level with half of those of its own score.
+    Rows without a score or a label don't count; NULL with one class only.
+    """
+    y = (F.col(label) == F.lit(positive)).cast("long")
+    per = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
+        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    r = global_running_sum(per, [F.desc("threshold")], "pos", "tp")
+    wins = F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2)
+    return r.agg(F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
 
 def best_thresholds(roc: DataFrame, min_sens: float = 0.85, min_spec: float = 0.5) -> DataFrame:

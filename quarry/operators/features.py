@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.aggregates import group_quantiles
 from quarry.operators.ordering import global_row_number
 
 
@@ -142,9 +143,7 @@ def apply_target_encoding(df: DataFrame, enc: DataFrame, col: str, name: str | N
 def fit_quantile_edges(df: DataFrame, col: str, n_bins: int, exact: bool = True) -> DataFrame:
     """T8 fit: n+1 quantile edges (one row, array column ``edges``)."""
     probs = [i / n_bins for i in range(n_bins + 1)]
-    q = F.percentile(F.col(col), F.array(*[F.lit(p) for p in probs])) if exact else \
-        F.percentile_approx(F.col(col), probs, 10000)
-    return df.agg(q.alias("edges"))
+    return group_quantiles(df, [], [col], probs, exact).select(F.col("q").alias("edges"))
 
 
 def apply_quantile_bins(df: DataFrame, edges: DataFrame, col: str, n_bins: int, name: str = "bin") -> DataFrame:

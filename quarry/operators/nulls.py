@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.aggregates import group_quantiles
 from quarry.operators.ordering import hash_unit
 
 
@@ -47,10 +48,10 @@ def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 def replace_flagged_by_median(df: DataFrame, col: str, flagged: Column) -> DataFrame:
     """Flagged values -> median of the unflagged positive values.
 
-    The median is one scalar subquery (one aggregate job); no window over
-    the whole table.
+    The median is a scalar subquery over ``group_quantiles``; no task holds the
+    values of the column.
     """
-    med = df.where(~flagged & (F.col(col) > 0)).agg(F.median(col)).scalar()
+    med = group_quantiles(df.where(~flagged & (F.col(col) > 0)), [], [col], [0.5]).select(F.col("q")[0]).scalar()
     return df.withColumn(col, F.when(flagged, med).otherwise(F.col(col)))
 
 

@@ -15,7 +15,7 @@ Used by W2, W4, E4, X3, X8, X9, T6, T9, J5, O5 and the exact quantile path.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,32 +50,44 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str =
     return out.drop(_PID, _MONO, "__n", "__base", "__off")
 
 
-def global_running_sum(
+def global_running_sums(
     df: DataFrame,
     order: Sequence[Column | str],
-    value: str,
-    name: str = "running",
+    values: Mapping[str, str],
     with_row_number: str | None = None,
 ) -> DataFrame:
-    """Add ``name`` = sum of ``value`` over all rows up to and including this one in ``order``."""
+    """For every ``value: name`` add ``name`` = sum of ``value`` over all rows up to and
+    including this one in ``order``; all sums share one sort and one checkpoint."""
     numbered = _sorted_numbered(df, order)
     per_part = numbered.groupBy(_PID).agg(
-        F.sum(value).alias("__s"), F.count(F.lit(1)).alias("__n"), F.min(_MONO).alias("__base")
+        *[F.sum(v).alias(f"__s_{n}") for v, n in values.items()],
+        F.count(F.lit(1)).alias("__n"), F.min(_MONO).alias("__base"),
     )
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(
         _PID,
         "__base",
-        F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__soff"),
+        *[F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__off_{n}") for n in values.values()],
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__noff"),
     )
     within = Window.partitionBy(_PID).orderBy(_MONO).rowsBetween(Window.unboundedPreceding, 0)
-    out = numbered.join(F.broadcast(offsets), _PID).withColumn(
-        name, F.sum(value).over(within) + F.col("__soff")
+    out = numbered.join(F.broadcast(offsets), _PID).withColumns(
+        {n: F.sum(v).over(within) + F.col(f"__off_{n}") for v, n in values.items()}
     )
     if with_row_number:
         out = out.withColumn(with_row_number, F.col(_MONO) - F.col("__base") + F.col("__noff") + 1)
-    return out.drop(_PID, _MONO, "__base", "__soff", "__noff")
+    return out.drop(_PID, _MONO, "__base", "__noff", *[f"__off_{n}" for n in values.values()])
+
+
+def global_running_sum(
+    df: DataFrame,
+    order: Sequence[Column | str],
+    value: str,
+    name: str = "running",
+    with_row_number: str | None = None,
+) -> DataFrame:
+    """Add ``name`` = sum of ``value`` over all rows up to and including this one in ``order``."""
+    return global_running_sums(df, order, {value: name}, with_row_number)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -93,13 +105,13 @@ def hash_unit(*cols: Column | str, seed: int = 0) -> Column:
     """Reproducible uniform draw in [0, 1) from the md5 of the key (and a seed).
 
     md5 is used instead of Spark's murmur hash so that the same draw can be
-    written in other SQL engines: 32 bits of the digest / 2^32.
+    written in other SQL engines: 52 bits of the digest / 2^52 (exact in a double).
     """
     parts = [F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols]
     if seed is not None:
         parts.append(F.lit(str(seed)))
     key = F.concat_ws("|", *parts) if len(parts) > 1 else parts[0]
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def hash_unit_sql(key_sql: str | list[str], seed: int | None = 0) -> str:
@@ -109,7 +121,7 @@ def hash_unit_sql(key_sql: str | list[str], seed: int | None = 0) -> str:
     if seed is not None:
         parts.append(f"'{seed}'")
     text = f"concat_ws('|', {', '.join(parts)})" if len(parts) > 1 else parts[0]
-    return f"(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
+    return f"(CAST(('0x' || substr(md5({text}), 1, 13)) AS BIGINT) / CAST({1 << 52} AS DOUBLE))"
 
 
 def position_within(

@@ -55,7 +55,7 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int = 0,
     return pos.withColumn(name, F.pmod(F.col("__pos") - 1, F.lit(k)).cast("int")).drop("__pos")
 
 
-def _poisson1_cdf(kmax: int = 12) -> list[float]:
+def _poisson1_cdf(kmax: int = 17) -> list[float]:
     out, term, acc = [], math.exp(-1.0), 0.0
     for k in range(kmax + 1):
         acc += term

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from quarry.functions import distributions as D
+from quarry.operators.aggregates import group_quantiles
 from quarry.operators.ordering import global_running_sum
 
 
@@ -44,14 +45,20 @@ CHUNK = 256
 def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> DataFrame:
     """Correlation matrix as a long table (var1, var2, corr), one aggregate.
 
-    ``method='spearman'`` ranks each column first (average ranks for ties).
-    Pairwise-complete: ``corr`` skips rows where either value is NULL.
+    ``method='spearman'`` correlates average ranks (:func:`spearman_pairs`).
+    Pairwise-complete: rows where either value is NULL don't count for a pair.
     """
-    src = spearman_ranks(df, cols) if method == "spearman" else df
     if len(cols) < 2:
         raise ValueError("need two or more columns")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    out = None
+    if method == "spearman":
+        half = spearman_pairs(df, pairs)
+        both = F.array(F.struct("var1", "var2", "corr"),
+                       F.struct(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "corr"))
+        itself = F.array(*[F.struct(F.lit(c).alias("var1"), F.lit(c).alias("var2"), F.lit(1.0).alias("corr")) for c in cols])
+        diagonal = df.sparkSession.range(1).select(F.explode(itself).alias("c"))
+        return half.select(F.explode(both).alias("c")).unionByName(diagonal).select("c.*")
+    src, out = df, None
     # long expression lists are chunked: at most CHUNK correlations per aggregate
     for start in range(0, len(pairs), CHUNK):
         chunk = pairs[start:start + CHUNK]
@@ -68,40 +75,37 @@ def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson"
     return out
 
 
-def average_ranks(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """Average rank of each value (ties share the mean of their positions).
+def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(var1, var2, corr): rank correlation of every pair over the rows complete for it.
 
-    The ranks are computed on the value-frequency table with a distributed
-    running sum, then joined back on the value -- no global window over rows.
+    All pairs go through one frequency table of (pair, a, b), so a hot value is
+    pre-aggregated before anything is joined. The frequencies of each side get
+    one distributed running count, which gives the average ranks; these are
+    joined to the frequency table and correlated with its counts as weights.
+    The mean rank of n rows is (n + 1) / 2, so ranks are centred exactly. NULL
+    where a side is constant or no row is complete.
     """
-    name = name or f"{col}_rank"
-    freq = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
-    cum = global_running_sum(freq, [F.asc(col)], "__n", "__cum")
-    ranks = cum.select(col, (F.col("__cum") - F.col("__n") + (F.col("__n") + 1) / 2.0).alias(name))
-    return df.join(ranks, col, "left")
-
-
-def spearman_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Average ranks of several columns from ONE distributed running sum.
-
-    The (column, value) frequency table of all columns is ordered by
-    (column, value); the running count minus the column's offset (prefix sum
-    of the per-column totals, one row per column) gives each value's rank
-    range. Each column's ranks are then joined back on its value.
-    """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "__col", "__v")
-    freq = long.where(F.col("__v").isNotNull()).groupBy("__col", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    cum = global_running_sum(freq, [F.asc("__col"), F.asc("__v")], "__n", "__cum")
-    totals = cum.groupBy("__col").agg(F.sum("__n").alias("__t"))  # from the checkpointed frame
-    prior = Window.orderBy("__col").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__col", F.coalesce(F.sum("__t").over(prior), F.lit(0)).alias("__off"))
-    rank = F.col("__cum") - F.col("__off") - F.col("__n") + (F.col("__n") + 1) / 2.0
-    ranks = cum.join(F.broadcast(offsets), "__col").select("__col", "__v", rank.alias("__r"))  # one row per column
-    out = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    for c in cols:
-        r = ranks.where(F.col("__col") == c).select(F.col("__v").alias(c), F.col("__r").alias(f"__r_{c}"))
-        out = out.join(r, c, "left")
-    return out.select(*[F.col(f"__r_{c}").alias(c) for c in cols])
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+        for i, (a, b) in enumerate(pairs)])
+    joint = df.select(F.explode(cells).alias("c")).select("c.*").where("a IS NOT NULL AND b IS NOT NULL")
+    joint = joint.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    sides = joint.select("pair", F.lit(0).alias("side"), F.col("a").alias("v"), "n").unionByName(
+        joint.select("pair", F.lit(1).alias("side"), F.col("b").alias("v"), "n"))
+    sides = sides.groupBy("pair", "side", "v").agg(F.sum("n").alias("n"))
+    cum = global_running_sum(sides, ["pair", "side", "v"], "n", "cum")
+    offsets = cum.groupBy("pair", "side").agg(F.min(F.col("cum") - F.col("n")).alias("off"), F.sum("n").alias("t"))
+    place = F.col("cum") - F.col("off") - (F.col("n") - 1) / 2.0  # the middle of the value's positions
+    # two rows a pair of columns are broadcast
+    ranks = cum.join(F.broadcast(offsets), ["pair", "side"]).select("pair", "side", "v", (place - (F.col("t") + 1) / 2.0).alias("r"))
+    ra = ranks.where("side = 0").select("pair", F.col("v").alias("a"), F.col("r").alias("ra"))
+    rb = ranks.where("side = 1").select("pair", F.col("v").alias("b"), F.col("r").alias("rb"))
+    n, x, y = F.col("n"), F.col("ra"), F.col("rb")
+    corr = F.try_divide(F.sum(n * x * y), F.sqrt(F.sum(n * x * x)) * F.sqrt(F.sum(n * y * y)))
+    found = joint.join(ra, ["pair", "a"]).join(rb, ["pair", "b"]).groupBy("pair").agg(corr.alias("corr"))
+    names = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2")) for a, b in pairs])
+    every = df.sparkSession.range(1).select(F.posexplode(names).alias("pair", "names"))
+    return every.join(found, "pair", "left").select("names.var1", "names.var2", "corr")
 
 
 # ---- X4 - X6 tests of means ------------------------------------------------------------
@@ -470,12 +474,16 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
             (F.avg(x) if num else F.lit(None).cast("double")).alias("mean"),
             (F.stddev_samp(x) if num else F.lit(None).cast("double")).alias("std"),
             (F.min(x) if num else F.lit(None).cast("double")).alias("min"),
-            (F.percentile(x, 0.25) if num else F.lit(None).cast("double")).alias("q25"),
-            (F.median(x) if num else F.lit(None).cast("double")).alias("median"),
-            (F.percentile(x, 0.75) if num else F.lit(None).cast("double")).alias("q75"),
             (F.max(x) if num else F.lit(None).cast("double")).alias("max")).alias(c))
     wide = df.agg(*aggs)
     stats = wide.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("s")).select("s.*")
+    numeric = [c for c in cols if isinstance(types[c], NumericType)]
+    if numeric:
+        stats = stats.join(group_quantiles(df, [], numeric, [0.25, 0.5, 0.75]), "column", "left")
+    else:
+        stats = stats.withColumn("q", F.lit(None).cast("array<double>"))
+    quartiles = [F.get("q", F.lit(i)).alias(n) for i, n in enumerate(["q25", "median", "q75"])]
+    stats = stats.select(*[c for c in stats.columns if c not in ("q", "max")], *quartiles, "max")
     from quarry.operators.reshape import top_values_report
 
     top = top_values_report(df, cols, 1).select("column", F.col("value").alias("top"), F.col("n").alias("top_freq"))

@@ -33,9 +33,8 @@ def running_share(freq: DataFrame, value_col: str, count_col: str = "n") -> Data
 
 
 def cumulative_over_grid(grid: DataFrame, order: str, value: str, name: str = "cdf") -> DataFrame:
-    """Running sum over a bounded, ordered grid (<= a few thousand rows)."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return grid.withColumn(name, F.sum(value).over(w))
+    """Running sum over an ordered grid of any length (distributed, see ``ordering``)."""
+    return global_running_sum(grid, [order], value, name)
 
 
 def cumulative_contribution(items: DataFrame, key: str, weight: str, share: float) -> DataFrame:

@@ -48,3 +48,10 @@ def test_group_total_is_aggregate_plus_join(spark):
 def test_daylight_labels_are_a_projection_of_one_scan(spark):
     p = _plan(E.queries()["j7_daylight_classify"](spark, SMALL))
     assert "Join" not in p and "Exchange" not in p
+
+
+def test_exact_quantiles_hold_no_map_of_raw_values(spark):
+    for name in ("a3_group_describe", "a4_group_median", "a9_describe_numeric", "a10_filtered_describe",
+                 "n5_median_replace", "t8_quantile_bins", "c2_box_stats", "c4_qq_points", "x21_profile"):
+        p = _plan(E.queries()[name](spark, SMALL))
+        assert "percentile(" not in p and "median(" not in p, name

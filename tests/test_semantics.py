@@ -1,7 +1,10 @@
 """Semantics of individual operators on small literal tables (hand-computed values)."""
 
 import math
+import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,10 +99,49 @@ def test_ks_two_sample_brute_force(spark):
     assert abs(d - want) < 1e-12
 
 
-def test_average_ranks_ties(spark):
-    df = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 20.0), (4, 30.0)], "k int, x double")
-    got = {r.k: r.x_rank for r in X.average_ranks(df, "x").collect()}
-    assert got == {1: 1.0, 2: 2.5, 3: 2.5, 4: 4.0}
+def test_spearman_uses_the_rows_complete_for_a_pair(spark):
+    rows = [(None, 3.0, 1.0), (2.0, None, 1.0), (3.0, 1.0, None), (4.0, 4.0, 2.0), (5.0, 4.0, 2.0), (1.0, 8.0, 3.0),
+            (1.0, 2.0, 9.0), (7.0, 6.0, 5.0)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    want = pd.DataFrame(rows, columns=["x", "y", "z"]).corr(method="spearman")
+    got = X.correlation_long(df, ["x", "y", "z"], method="spearman").collect()
+    assert len(got) == 9
+    for r in got:
+        assert abs(r["corr"] - want.loc[r.var1, r.var2]) < 1e-12
+    # no complete row, a constant column, an empty table: NULL
+    for source in (df.where("x IS NULL"), df.withColumn("x", F.lit(1.0)), df.limit(0)):
+        assert X.spearman_pairs(source, [("x", "y")]).first()["corr"] is None
+
+
+def test_auc_counts_ties_half_and_skips_missing_scores(spark):
+    rows = [(1, 0.9), (0, 0.9), (1, 0.4), (0, 0.1), (0, 0.4), (1, None), (None, 0.5)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    from quarry.operators.evaluation import auc
+
+    pos, neg = [0.9, 0.4], [0.9, 0.1, 0.4]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / 6
+    assert abs(auc(df, "y", "s").first().auc - want) < 1e-12
+    assert auc(df.where("y = 1"), "y", "s").first().auc is None
+    assert auc(df.limit(0), "y", "s").first().auc is None
+
+
+def test_group_quantiles_equal_numpy_in_every_group(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), float(rng.randrange(30)), None if rng.random() < 0.2 else rng.random())
+            for _ in range(400)] + [("one", 5.0, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.g, r.column): r.q for r in A.group_quantiles(df, ["g"], ["x", "y"], probs).collect()}
+    assert ("one", "y") not in got and got["one", "x"] == [5.0] * 6
+    for g in ("a", "b", None):
+        for i, c in ((1, "x"), (2, "y")):
+            values = [r[i] for r in rows if r[0] == g and r[i] is not None]
+            assert np.allclose(got[g, c], np.quantile(values, probs), atol=1e-12)
+    assert A.group_quantiles(df.limit(0), [], ["x"], probs).count() == 0
+    by_itself = {r.x: r.q for r in A.group_quantiles(df, ["x"], ["x"], [0.5]).collect()}
+    assert all(q == [x] for x, q in by_itself.items())
+    empty = {(r.column, r.stat): r.value for r in A.describe(df.limit(0), ["x"]).collect()}
+    assert empty["x", "count"] == 0 and empty["x", "q50"] is None and len(empty) == 8
 
 
 def test_daylight_order_and_plausible_sunrise(spark):
