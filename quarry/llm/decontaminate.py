@@ -7,7 +7,9 @@ documents and benchmark items are joined on the hash. What stood in the slots
 (the placeholders) is carried along: a match counts only if the slots are
 filled consistently, that is equal fillings in the item correspond to equal
 fillings in the document and different ones to different ones, inside each
-window and over all windows of one passage. So a question asked again with
+window and over all windows of one passage. A window with the item's own
+fillings always counts; a filling that is inconsistent over the passage takes
+out the other windows that hold it, and no more. So a question asked again with
 other numbers or names is found, two questions that only share a shape are
 not.
 
@@ -201,17 +203,26 @@ def contaminated(
         found.join(theirs, ["window", "shape"])
         .select("id", "item", "place", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots")
     )
-    # over a whole passage each filling of the item must stand for one filling of the document, and the other way round
+    # over a whole passage each filling of the item should stand for one filling of the document, and the other way
+    # round; of a passage that breaks this, the windows with the item's own fillings count and those without the torn ones
     pairs = both.select("id", "item", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
-    torn = None
+    mixed = None
     for one, other in (("item_slots", "slots"), ("slots", "item_slots")):
-        mixed = (
+        part = (
             pairs.groupBy("id", "item", "shift", F.col(f"s.{one}").alias("value"))
             .agg(F.min(f"s.{other}").alias("lo"), F.max(f"s.{other}").alias("hi"))
-            .where("lo <> hi").select("id", "item", "shift")
+            .where("lo <> hi").select("id", "item", "shift", F.col("value").alias(f"torn_{one}"))
         )
-        torn = mixed if torn is None else torn.union(mixed)
-    whole = both.join(torn.distinct(), ["id", "item", "shift"], "left_anti")
+        mixed = part if mixed is None else mixed.unionByName(part, allowMissingColumns=True)
+    # at one shift there are no more values than the item has slots
+    torn = mixed.groupBy("id", "item", "shift").agg(
+        F.collect_set("torn_item_slots").alias("torn_item"), F.collect_set("torn_slots").alias("torn_doc")
+    )
+    whole = both.join(torn, ["id", "item", "shift"], "left").where(
+        F.col("torn_item").isNull()
+        | (F.col("slots") == F.col("item_slots"))
+        | ~(F.arrays_overlap("item_slots", "torn_item") | F.arrays_overlap("slots", "torn_doc"))
+    )
     return whole.groupBy(F.col("id").alias(id_col), F.col("item").alias(item_col)).agg(
         F.countDistinct("place").alias("n_windows"),
         F.countDistinct(F.when(F.col("slots") == F.col("item_slots"), F.col("place"))).alias("n_exact"),

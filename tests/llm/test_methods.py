@@ -254,6 +254,23 @@ def test_templates(spark):
     assert by[3]["n_windows"] < by[1]["n_windows"]  # windows with both fillings don't count
 
 
+def test_one_changed_slot_keeps_the_verbatim_windows(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    number, name = [*words], [*words]
+    number[2] = number[30] = "3"
+    name[2], name[30] = "Anna", "Bob"
+    items = [(1, " ".join(number)), (2, " ".join(name))]
+    number[30], name[30] = "5", "Anna"
+    docs = [(1, " ".join(number)), (2, " ".join(name))]
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    by = {(r["doc_id"], r["item_id"]): r for r in found}
+    for i in (1, 2):
+        # windows start at 0 to 27; those at 18 to 27 hold the changed word
+        assert (by[i, i]["n_windows"], by[i, i]["n_exact"], by[i, i]["first_place"]) == (18, 18, 0)
+
+
 def test_token_counts(spark, texts):
     path = str(public_tokenizers.path("byte_bpe_50k.json"))
     library = Tokenizer.from_file(path)
