@@ -271,6 +271,27 @@ def test_one_changed_slot_keeps_the_verbatim_windows(spark):
         assert (by[i, i]["n_windows"], by[i, i]["n_exact"], by[i, i]["first_place"]) == (18, 18, 0)
 
 
+def test_short_items_copies_in_other_case_and_names_that_start_a_sentence(spark):
+    items = [
+        (1, "What is 37 times 12?"), (2, "What is 15 percent of 80?"), (3, "Compute 12 plus 45 minus 3"), (4, "Name 3 rivers"),
+        (5, "Tom has 3 apples and buys 4 more at the shop. Tom gives 2 of them to his sister and eats 1."),
+        (6, "The sum of 1 2 3 4 5 6 7 8 9 10 11 12 13 is wanted by Élodie"), (7, "\u0421\u043a\u043e\u043b\u044c\u043a\u043e \u0431\u0443\u0434\u0435\u0442 2 \u0438 2"),
+    ]
+    docs = [
+        (1, "Well, what is 40 times 9 then"), (2, "- What is 20 percent of 95? -"), (3, "compute 7 plus 8 minus 9 now"),
+        (4, "NAME 3 RIVERS!"), (14, "Name 4 rivers"), (5, items[4][1].replace("Tom", "Anna")), (15, items[4][1].upper()),
+        (6, "Yes: " + items[5][1].lower()), (7, items[6][1].upper()), (8, "what is 40 plus 9"), (9, items[4][1].replace("Tom gives", "Bob gives")),
+        (10, "Compute 12 plus 45 minus 3, he said"),
+    ]
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    by = {(r["doc_id"], r["item_id"]): r for r in found}
+    assert set(by) - {(9, 5)} == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (15, 5), (6, 6), (7, 7), (10, 3)}
+    assert all(by[k]["n_exact"] == by[k]["n_windows"] for k in ((4, 4), (15, 5), (6, 6), (7, 7), (10, 3)))
+    assert by[5, 5]["n_exact"] < by[5, 5]["n_windows"] == by[15, 5]["n_windows"]
+
+
 def test_token_counts(spark, texts):
     path = str(public_tokenizers.path("byte_bpe_50k.json"))
     library = Tokenizer.from_file(path)
