@@ -16,7 +16,9 @@ outside are bad, and undecided blocks inside are good. Character references are
 space, blocks are joined in page order by a line feed.
 
 Defined cases: NULL and empty pages give an empty text; tags that are not
-closed end with the page, a tag cut off at the end of a page is dropped; equal
+closed end with their parent or the page, a hidden element without an end tag
+(a button, an option, a drawing) before the next block; a tag cut off at the
+end of a page is dropped; equal
 pages give equal texts. Only the html column and the columns asked for are read.
 """
 
@@ -31,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Element names and words that name page furniture.
-RAW = "script style noscript template svg math iframe object textarea select option button title".split()
+RAW = "script style textarea title".split()
+HIDDEN = "noscript template svg math iframe object select option button".split()
 FURNITURE = "head nav footer aside form menu dialog".split()
 BLOCKS = (
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 "
@@ -55,14 +58,30 @@ SHORT, LONG, MANY_LINKS, FEW_STOPS, STOPS = 70, 200, 0.33, 0.10, 0.25
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(" + "|".join(RAW) + r")(?![\w:-])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+PAIRED = re.compile(r"<(/?)(" + "|".join(HIDDEN) + r")(?![\w:-])", re.IGNORECASE)
 MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
 
 
+def closed_tags(page: str) -> set[int]:
+    """Places of the start tags of hidden elements that have an end tag of their own."""
+    out: set[int] = set()
+    waiting: dict[str, list[int]] = {}
+    for m in PAIRED.finditer(page):
+        places = waiting.setdefault(m[2].lower(), [])
+        if not m[1]:
+            if m[2].lower() in ("button", "option", "select", "iframe"):  # never inside one another
+                places.clear()
+            places.append(m.start())
+        elif places:
+            out.add(places.pop())
+    return out
+
+
 class Block:
     __slots__ = ("parts", "linked", "heading", "inside")
 
@@ -74,7 +93,7 @@ class Reader:
     """Blocks of one page, in page order."""
 
     def __init__(self) -> None:
-        self.raw, self.furniture, self.blocks_at, self.void = set(RAW), set(FURNITURE), set(BLOCKS), set(VOID)
+        self.concealed, self.furniture, self.blocks_at, self.void = set(HIDDEN), set(FURNITURE), set(BLOCKS), set(VOID)
         self.hints = set(HINTS)
 
     def furniture_named(self, attributes: str) -> bool:
@@ -86,7 +105,9 @@ class Reader:
         """([(text, link density, is a heading, inside the main part)], has a main part)."""
         out: list[Block] = []
         block, at = Block(False), 0
-        open_tags: list[tuple[str, bool]] = []  # (name, starts furniture)
+        open_tags: list[tuple[str, bool]] = []  # (name, starts furniture or a hidden element)
+        closed = closed_tags(page)
+        unclosed = 0  # open hidden elements without an end tag, named "" in open_tags: they end at the next block
         hidden = links = mains = 0
         has_main = False
 
@@ -108,14 +129,21 @@ class Reader:
             at = m.end()
             name = m[3]
             if name is None:
-                if m[1] is None or m[1].lower() not in ("script", "style", "noscript", "template"):
+                if m[1] is None or m[1].lower() not in ("script", "style"):
                     text(" ")
                 continue
             name, ends = name.lower(), bool(m[2])
             if name == "br":
                 text(" ")
                 continue
+            if name in self.concealed and not ends and name not in ("noscript", "template"):
+                text(" ")
             if name in self.blocks_at:
+                while unclosed:
+                    n, starts = open_tags.pop()
+                    hidden -= starts
+                    links -= n == "a"
+                    unclosed -= n == ""
                 close()
             if name in self.void or m[4].endswith("/") and not ends and name not in self.blocks_at:
                 continue
@@ -126,6 +154,7 @@ class Reader:
                         hidden -= starts
                         links -= n == "a"
                         mains -= n in ("article", "main")
+                        unclosed -= n == ""
                         if n == name:
                             break
                 block.inside = mains > 0
@@ -137,9 +166,12 @@ class Reader:
                     links -= n == "a"
                     if n == name:
                         break
-            starts = name in self.furniture or (name == "header" and not mains) or (
+            starts = name in self.concealed or name in self.furniture or (name == "header" and not mains) or (
                 name not in ("html", "body", "article", "main") and self.furniture_named(m[4])
             )
+            if name in self.concealed and m.start() not in closed:
+                name = ""
+                unclosed += 1
             open_tags.append((name, starts))
             hidden += starts
             links += name == "a"

@@ -167,6 +167,21 @@ def test_main_text():
     assert main_text.main_text("<article><p>Only <b>this", reader, stops) == "Only this"
 
 
+def test_hidden_elements_end_where_they_should():
+    reader, stops = main_text.Reader(), set(main_text.STOP_WORDS)
+    first, last = "It was the best of times and it was the worst of times.", "The end of the story is not here, but in the next one."
+    for odd in (
+        '<svg class="i" />', "<svg><path d='M0'>", "<button>Buy", "<p>Size <select><option>S<option>M</p>", "<option>S", "<math/>",
+        "<button><span>Buy", "<object data='x'>", "<iframe src='x'>", "<noscript>", "<template/>",
+        "<svg><title>t</title><text>Buy</text></svg>", "<select><option>S<option>M</select>", "<button><div>Buy</div></button>",
+    ):
+        page = f"<body><article><p>{first}</p>{odd}<p>{last}</p></article><footer>Legal <button>Top</button></footer></body>"
+        text = main_text.main_text(page, reader, stops)
+        assert text.replace("Size\n", "") == f"{first}\n{last}", odd
+    page = f"<article><title-bar>Tales</title-bar><p>{first}</p><button-group><p>{last}</p></button-group></article>"
+    assert main_text.main_text(page, reader, stops) == f"Tales\n{first}\n{last}"
+
+
 def jaccard_groups(texts, k):
     sets = {}
     for i, t in texts.items():
