@@ -11,9 +11,18 @@ with what follows and any other block is good only between good ones.
 
 The edges of a page count as bad.
 
-A page with ``article`` or ``main`` elements has its text inside them: blocks
-outside are bad, and undecided blocks inside are good. Character references are decoded, white space inside a block becomes one
-space, blocks are joined in page order by a line feed.
+The stop words are those of four languages. On a page where the blocks with
+stop words hold less than half of the text that is not linked and not short,
+and for blocks in another script than Latin, the list does not apply: there the
+first pass goes by length and link density. A wide (East Asian) character
+counts as two.
+
+A page whose ``article`` or ``main`` elements hold at least half of the text
+that is neither hidden nor linked has its text inside them: blocks outside are
+bad, and undecided blocks inside are good. Other pages, such as one with an
+article element for a teaser, go by the block rules alone. Character references
+are decoded, white space inside a block becomes one space, blocks are joined in
+page order by a line feed.
 
 Defined cases: NULL and empty pages give an empty text; tags that are not
 closed end with their parent or the page, a hidden element without an end tag
@@ -65,6 +74,9 @@ TOKEN = re.compile(
 PAIRED = re.compile(r"<(/?)(" + "|".join(HIDDEN) + r")(?![\w:-])", re.IGNORECASE)
 MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
+LATIN = re.compile(r"[A-Za-z\u00aa-\u024f\u1e00-\u1eff]")
+LETTER = re.compile(r"[^\W\d_]")
+WIDE = re.compile(r"[\u1100-\u115f\u2e80-\ua4cf\uac00-\ud7a3\uf900-\ufaff\uff00-\uff60\U00020000-\U0003fffd]")
 
 
 def closed_tags(page: str) -> set[int]:
@@ -102,7 +114,7 @@ class Reader:
         )
 
     def read(self, page: str) -> tuple[list[tuple[str, float, bool, bool]], bool]:
-        """([(text, link density, is a heading, inside the main part)], has a main part)."""
+        """([(text, link density, is a heading, inside the main part)], has a main part with most of the text)."""
         out: list[Block] = []
         block, at = Block(False), 0
         open_tags: list[tuple[str, bool]] = []  # (name, starts furniture or a hidden element)
@@ -184,28 +196,48 @@ class Reader:
         cut = re.search(r"<(?=[a-zA-Z/!?])[^>]*\Z", tail)
         text(tail[: cut.start()] if cut else tail)
         close()
-        found = []
+        found, free = [], [0, 0]  # characters not linked: outside and inside the main part
         for b in out:
             words = " ".join("".join(b.parts).split())
             if words:
                 found.append((words, b.linked / len(words), b.heading, b.inside))
+                free[b.inside] += max(0, len(words) - b.linked)
+        if has_main and free[0] > free[1]:
+            return [(words, links, heading, False) for words, links, heading, _ in found], False
         return found, has_main
 
 
+def latin(words: str) -> bool:
+    """Whether at least half of the letters are Latin."""
+    return words.isascii() or 2 * len(LATIN.findall(words)) >= len(LETTER.findall(words))
+
+
 def classify(blocks: list[tuple[str, float, bool, bool]], has_main: bool, stops: set[str]) -> list[bool]:
     """Which blocks are main text."""
     label: list[bool | None] = []
-    for words, links, _heading, inside in blocks:
+    measured: list[tuple[int, float, bool]] = []  # (size, stop-word density, in Latin script)
+    known = other = 0  # characters of the blocks that are not short, with and without stop words
+    for words, links, _heading, _inside in blocks:
+        tokens = words.lower().split()
+        density = sum(t.strip(".,;:!?") in stops for t in tokens) / len(tokens)
+        size = len(words) if words.isascii() else len(words) + len(WIDE.findall(words))
+        measured.append((size, density, latin(words)))
+        if size >= SHORT and links <= MANY_LINKS and measured[-1][2]:
+            if density >= FEW_STOPS:
+                known += size
+            else:
+                other += size
+    for (words, links, _heading, inside), (size, density, script) in zip(blocks, measured):
         if has_main and not inside:
             label.append(False)
         elif links > (0.8 if inside else MANY_LINKS):
             label.append(False)
         else:
-            tokens = words.lower().split()
-            density = sum(t.strip(".,;:!?") in stops for t in tokens) / len(tokens)
-            if len(words) >= SHORT and density >= STOPS or len(words) >= LONG and density >= FEW_STOPS:
+            if size >= SHORT and density >= STOPS or size >= LONG and density >= FEW_STOPS:
+                label.append(True)
+            elif size >= SHORT and (not script or known < other):  # not a language of the list
                 label.append(True)
-            elif len(words) >= LONG and not inside:
+            elif size >= LONG and not inside:
                 label.append(False)
             else:
                 label.append(None)

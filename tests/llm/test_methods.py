@@ -182,6 +182,28 @@ def test_hidden_elements_end_where_they_should():
     assert main_text.main_text(page, reader, stops) == f"Tales\n{first}\n{last}"
 
 
+def test_pages_in_other_languages_and_with_teasers():
+    reader, stops = main_text.Reader(), set(main_text.STOP_WORDS)
+    menu = "<div><a href='a'>Home</a> <a href='b'>About us and the news</a></div>"
+    for text in (
+        "\u0412 \u043d\u0430\u0447\u0430\u043b\u0435 \u0431\u044b\u043b\u043e \u0441\u043b\u043e\u0432\u043e, \u0438 \u0441\u043b\u043e\u0432\u043e \u0431\u044b\u043b\u043e \u0443 \u043d\u0435\u0433\u043e. " * 6,
+        "Litwo, ojczyzno moja, ty jeste\u015b jak zdrowie, ile ci\u0119 trzeba ceni\u0107, ten tylko si\u0119 dowie. " * 4,
+        "\u543e\u8f29\u306f\u732b\u3067\u3042\u308b\u3002\u540d\u524d\u306f\u307e\u3060\u7121\u3044\u3002" * 6,
+    ):
+        text = text.strip()
+        found = main_text.main_text(f"{menu}<div><p>{text}</p><p>{text[:30]}</p><p>{text}</p></div>{menu}", reader, stops)
+        assert found == "\n".join((text, " ".join(text[:30].split()), text))
+    notice = "This is the page of the club, and it is for all of the members that are here and in the town."
+    foreign = ("Litwo, ojczyzno moja, ty jeste\u015b jak zdrowie. " * 6).strip()
+    assert foreign in main_text.main_text(f"<p>{notice}</p><p>{foreign}</p>", reader, stops)
+    prose = ("It was the best of times and it was the worst of times. " * 5).strip()
+    page = f"{menu}<article><p>Read more of the story</p></article><div><p>{prose}</p><p>{prose}</p></div>"
+    assert main_text.main_text(page, reader, stops).split("\n")[-2:] == [prose, prose]
+    # a list of words among prose that the stop words know stays out
+    tags = "red green blue white black " * 10
+    assert main_text.main_text(f"<p>{prose}</p><div>{tags}</div><p>{prose}</p>", reader, stops) == f"{prose}\n{prose}"
+
+
 def jaccard_groups(texts, k):
     sets = {}
     for i, t in texts.items():
