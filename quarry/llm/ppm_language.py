@@ -6,14 +6,16 @@ probability of a byte is taken in its longest known context; a byte never seen
 there costs an escape (distinct followers / (followers + distinct followers))
 and is then looked for in the next shorter context, down to a uniform
 distribution over 256 values. The statistics are frozen after training, so the
-exact code length of (context, byte) is a constant. All of them are tabulated
-for the union of the trees, and a text's code length under every language is a
-sum of table entries: the shortest code names the language.
+exact code length of (context, byte) is a constant. They are tabulated for
+each pair that occurs in a training text, ``GROUP`` languages to a hash table,
+and a text's code length under every language is a sum of table entries and
+escapes: the shortest code names the language. The trees are whole, no count is
+dropped; every group of languages is collected and broadcast by itself, and its
+size follows from its training texts.
 
 Training takes about ``ROWS_PER_LANGUAGE`` labelled rows of each language, the
 ones with the smallest hash of the identifier (all rows of a language that has
-fewer). That bound and ``TABLE_BYTES``, which bounds the broadcast table, are
-parameters; scoring always reads whole texts of all rows.
+fewer). That bound is a parameter; scoring always reads whole texts of all rows.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0;
 so is every text if there is nothing to learn from. Equal texts get equal
@@ -24,7 +26,7 @@ other than identifier, text and label are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,43 +38,130 @@ from quarry.llm.wordhash import runs_of_rows, utf8
 
 DEPTH = 4
 ROWS_PER_LANGUAGE = 400
-GRAMS = 600_000
-TABLE_BYTES = 24 << 20
+GROUP = 8
 UNKNOWN = "und"
 PIECE = 1 << 18
 
 
+class Places:
+    """Hash table from distinct keys, none of them 0, to their places."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(len(keys) * 2).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.places = np.zeros(1 << self.bits, np.int32)
+        left, at = np.arange(len(keys), dtype=np.int32), self._slot(keys)
+        while len(left):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[left[free]]
+            put = self.keys[at] == keys[left]
+            self.places[at[put]] = left[put]
+            left, at = left[~put], (at[~put] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (((keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 for a key that isn't there."""
+        at = self._slot(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, self.places[at], np.int32(-1))
+        left = np.flatnonzero((held != keys) & (held != 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & ((1 << self.bits) - 1)
+            held = self.keys[at]
+            same = held == keys[left]
+            out[left[same]] = self.places[at[same]]
+            on = ~same & (held != 0)
+            left, at = left[on], at[on]
+        return out
+
+
+def _low(packed: np.ndarray, size: int) -> np.ndarray:
+    """The last ``size`` packed bytes."""
+    return packed & np.uint64((1 << 8 * size) - 1)
+
+
+class Trees:
+    """Context trees of a group of languages: ``cost[gram, language]``, ``escape[context, language]``.
+
+    A gram is a context and a byte, packed; a context is packed like the byte before it was one.
+    """
+
+    def __init__(self, language: np.ndarray, gram: np.ndarray, n: np.ndarray, languages: int):
+        grams, where = np.unique(gram, return_inverse=True)
+        count = np.zeros((len(grams), languages))
+        np.add.at(count, (where, language), n)
+        size, body = (grams >> np.uint64(56)).astype(np.int64), _low(grams, 7)
+        contexts, node = np.unique((body >> np.uint64(8)) | (grams & np.uint64(0xFF << 56)), return_inverse=True)
+        starts = np.searchsorted(node, np.arange(len(contexts)))
+        distinct = np.add.reduceat((count > 0).astype(np.float64), starts, axis=0)
+        total = np.add.reduceat(count, starts, axis=0) + distinct
+        known = distinct > 0
+        escape = np.zeros(total.shape)
+        escape[known] = -np.log2(distinct[known] / total[known])
+        has = count > 0
+        cost = np.zeros(count.shape)
+        cost[has] = -np.log2(count[has] / total[node][has])
+        for s in range(1, DEPTH + 2):  # a language without the gram escapes to the shorter one
+            at = np.flatnonzero(size == s)
+            shorter = 8.0
+            if s > 1:
+                shorter = cost[np.searchsorted(grams, _low(body[at], s - 1) | np.uint64((s - 1) << 56))]
+            cost[at] += np.where(has[at], 0.0, escape[node[at]] + shorter)
+        self.grams, self.contexts = Places(grams), Places(contexts)
+        self.cost, self.escape = cost.astype(np.float32), escape.astype(np.float32)
+
+    def bits(self, packed: np.ndarray, depth: np.ndarray) -> np.ndarray:
+        """Bits of each byte under each language; ``packed``: the byte after those before it, ``depth``: how many of these count."""
+        out = np.zeros((len(packed), self.cost.shape[1]), np.float32)
+        left = np.arange(len(packed))
+        for k in range(DEPTH, -1, -1):
+            deep = depth[left] >= k
+            here, mark = left[deep], np.uint64((k + 1) << 56)
+            place = self.grams.find(_low(packed[here], k + 1) | mark)
+            hit = place >= 0
+            out[here[hit]] += self.cost[place[hit]]
+            missed = here[~hit]
+            place = self.contexts.find(_low(packed[missed] >> np.uint64(8), k) | mark)
+            out[missed[place >= 0]] += self.escape[place[place >= 0]]
+            left = np.concatenate([missed, left[~deep]])
+        out[left] += np.float32(8.0)
+        return out
+
+
 @dataclass
 class Model:
-    """Tables over tree nodes: ``step[node, byte class]`` and ``cost[node, byte class, language]``."""
+    """The languages, in groups of ``GROUP``, and the trees of each group."""
 
     languages: list[str]
-    classes: np.ndarray  # byte -> class; the class after the last one stands before each text
-    step: np.ndarray
-    cost: np.ndarray
+    trees: list[Trees]
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each text under each language; a long text is summed piece by piece."""
-        width, out = self.step.shape[1], np.zeros((len(offsets) - 1, len(self.languages)))
-        step, cost = self.step.ravel(), self.cost.reshape(-1, len(self.languages))
+        out = np.zeros((len(offsets) - 1, len(self.languages)))
         long = np.flatnonzero(np.diff(offsets) > PIECE)
         cuts = np.unique(np.concatenate([offsets, *(np.arange(offsets[r], offsets[r + 1], PIECE) for r in long)]))
         row = np.searchsorted(offsets, cuts[:-1], side="right") - 1
         for lo, hi in runs_of_rows(cuts, PIECE):
             at = cuts[lo : hi + 1] - cuts[lo]
-            # DEPTH marks before each text end the contexts there; a later piece has the bytes before it instead
-            seen = np.full(int(at[-1]) + DEPTH * (hi - lo), width - 1, np.int32)
-            place = np.arange(int(at[-1])) + DEPTH * np.repeat(np.arange(1, hi - lo + 1), np.diff(at))
-            seen[place] = self.classes[data[cuts[lo] : cuts[hi]]]
-            if lo < len(row) and cuts[lo] > offsets[row[lo]]:
-                seen[:DEPTH] = self.classes[data[cuts[lo] - DEPTH : cuts[lo]]]
-            node = np.zeros(len(place), np.int32)
-            for back in range(1, DEPTH + 1):
-                node = step[node * width + seen[place - back]]
-            node %= len(self.cost)
-            bits = cost[node * width + seen[place]]
-            for k in range(len(self.languages)):
-                np.add.at(out[:, k], row[lo:hi], np.add.reduceat(bits[:, k], at[:-1], dtype=np.float64))
+            n = int(at[-1])
+            if not n:
+                continue
+            depth = np.minimum(np.arange(cuts[lo], cuts[hi]) - np.repeat(offsets[row[lo:hi]], np.diff(at)), DEPTH)
+            bytes_ = np.zeros(n + DEPTH, np.uint64)
+            before = min(DEPTH, int(cuts[lo]))
+            bytes_[DEPTH - before :] = data[cuts[lo] - before : cuts[hi]]
+            packed = np.zeros(n, np.uint64)
+            for j in range(DEPTH + 1):
+                packed = packed << np.uint64(8) | bytes_[j : j + n]
+            first = 0
+            for trees in self.trees:
+                bits = trees.bits(packed, depth)
+                for k in range(bits.shape[1]):
+                    np.add.at(out[:, first + k], row[lo:hi], np.add.reduceat(bits[:, k], at[:-1], dtype=np.float64))
+                first += bits.shape[1]
         return out
 
 
@@ -118,56 +207,26 @@ def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     )
 
 
-def build(languages: list[str], rows: list[tuple[str, int, int]], table_bytes: int = TABLE_BYTES) -> Model:
-    """Tabulate the code lengths from (language, gram, count)."""
-    index = {name: i for i, name in enumerate(languages)}
-    follow: dict[bytes, list[tuple[int, int, int]]] = {}
-    for name, gram, n in rows:
-        size = gram >> 56
-        raw = (gram & ((1 << 56) - 1)).to_bytes(7, "big")[7 - size :]
-        follow.setdefault(raw[:-1], []).append((index[name], raw[-1], n))
-    used = sorted({byte for found in follow.values() for _, byte, _ in found})
-    classes = np.full(256, len(used), np.int32)  # one class for the bytes never seen: they all cost the same
-    classes[used] = np.arange(len(used))
-    width = len(used) + 2
-    most = max(1, table_bytes // (4 * width * (len(languages) + 2)))
-    # most frequent contexts first; one can only stand where its shorter form does
-    order = sorted(follow, key=lambda c: (-sum(n for _, _, n in follow[c]) if c else -(1 << 62), len(c), c))
-    node: dict[bytes, int] = {}
-    for context in order:
-        if len(node) < most and (not context or context[1:] in node):
-            node[context] = len(node)
-    node = {c: i for i, c in enumerate(sorted(node, key=lambda c: (len(c), c)))} or {b"": 0}
-    nodes = len(node)
-    # a state past ``nodes`` is a finished one: it has no longer context and stays
-    step = np.repeat(np.arange(2 * nodes, dtype=np.int32)[:, None] % nodes + nodes, width, axis=1)
-    for context, i in node.items():
-        if context:
-            step[node[context[1:]], classes[context[0]]] = i
-    cost = np.full((nodes, width, len(languages)), 8.0, np.float32)
-    for context, i in node.items():
-        if context:
-            cost[i] = cost[node[context[1:]]]
-        total, distinct = np.zeros(len(languages)), np.zeros(len(languages))
-        for k, _, n in follow.get(context, ()):
-            total[k] += n
-            distinct[k] += 1
-        known = total > 0
-        cost[i][:, known] += -np.log2(distinct[known] / (total[known] + distinct[known]))
-        for k, byte, n in follow.get(context, ()):
-            cost[i, classes[byte], k] = -np.log2(n / (total[k] + distinct[k]))
-    cost[:, width - 1, :] = 0
-    return Model(languages, classes, step, cost)
+def build(languages: list[str], rows: list[tuple[str, int, int]]) -> Model:
+    """The model of (language, gram, count)."""
+    trees = []
+    for lo in range(0, len(languages), GROUP):
+        index = {name: i for i, name in enumerate(languages[lo : lo + GROUP])}
+        own = [r for r in rows if r[0] in index]
+        trees.append(Trees(
+            np.array([index[r[0]] for r in own]), np.array([r[1] for r in own], np.uint64), np.array([r[2] for r in own], float), len(index)
+        ))
+    return Model(languages, trees)
 
 
 def train(
     docs: DataFrame, id_col: str, text_col: str, label_col: str, learn: Column,
-    rows_per_language: int = ROWS_PER_LANGUAGE, grams: int = GRAMS, table_bytes: int = TABLE_BYTES,
+    rows_per_language: int = ROWS_PER_LANGUAGE,
 ) -> Model | None:
     """Fit on a bounded sample of the rows where ``learn`` holds and the label is not NULL.
 
-    The label counts (one row per language) and at most ``grams`` gram counts
-    come to the driver; texts stay on the executors.
+    The label counts (one row per language) and the gram counts of the sample,
+    ``GROUP`` languages at a time, come to the driver; texts stay on the executors.
     """
     rows = docs.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(F.col(label_col)).count().collect()}
@@ -180,22 +239,36 @@ def train(
     sample = rows.where(keep).select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
     found = (
         sample.mapInArrow(grams_of, "label string, gram long, n long")
-        .groupBy("label", "gram").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "label", "gram").limit(grams)
+        .groupBy("label", "gram").agg(F.sum("n").alias("n")).checkpoint()
     )
-    learned = found.toArrow()
-    if not learned.num_rows:
+    languages = sorted(r[0] for r in found.select("label").distinct().collect())
+    if not languages:
         return None
-    rows = zip(*(learned.column(c).to_pylist() for c in ("label", "gram", "n")))
-    return build(sorted(set(learned.column("label").to_pylist())), list(rows), table_bytes)
+    trees = []
+    for lo in range(0, len(languages), GROUP):
+        group = languages[lo : lo + GROUP]
+        index = F.array_position(F.array(*map(F.lit, group)), F.col("label")).cast("int") - 1
+        learned = found.where(F.col("label").isin(group)).select(index.alias("i"), "gram", "n").toArrow()
+        i, gram, n = (learned.column(c).to_numpy() for c in range(3))
+        trees.append(Trees(i, gram.astype(np.uint64), n.astype(float), len(group)))
+    return Model(languages, trees)
+
+
+def share(docs: DataFrame, model: Model | None) -> Callable[[], Model | None]:
+    """Broadcasts a model, each group of languages by itself; the function gives the model inside a task."""
+    if model is None:
+        return lambda: None
+    languages, parts = model.languages, [docs.sparkSession.sparkContext.broadcast(t) for t in model.trees]
+    kind = Model
+    return lambda: kind(languages, [p.value for p in parts])
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score, bits_per_byte) of every row; the last is NULL for empty texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared()
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             sizes, letters = np.diff(offsets), has_letter(data, offsets)
@@ -224,11 +297,11 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 def with_language(docs: DataFrame, model: Model | None, text_col: str = "text", most_bits: float = 8.0) -> DataFrame:
     """The rows of ``docs``, unchanged, whose text has a letter and a language that
     codes it in fewer than ``most_bits`` bits a byte. Without a model only the letter counts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs, model)
     place = docs.columns.index(text_col)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared()
         for batch in batches:
             data, offsets = utf8(batch.column(place))
             good = has_letter(data, offsets)

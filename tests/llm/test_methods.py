@@ -65,6 +65,27 @@ def test_code_lengths_are_exact(monkeypatch):
     assert np.allclose(model.code_lengths(data, offsets), want, rtol=1e-5)
 
 
+def test_trees_stay_whole_with_many_languages():
+    rng = np.random.default_rng(5)
+    rows, samples = [], {}
+    for i in range(30):
+        name, text = f"l{i:02}", bytes(rng.integers(0, 250, 4000 if i else 60).astype(np.uint8).tolist())
+        samples[name] = text
+        counts = Counter(text[j : j + k + 1] for k in range(ppm_language.DEPTH + 1) for j in range(len(text) - k))
+        rows += [(name, int.from_bytes(g, "big") | len(g) << 56, n) for g, n in counts.items()]
+    model = ppm_language.build(sorted(samples), rows)
+    data = np.frombuffer(b"".join(samples[n][:60] for n in model.languages), np.uint8)
+    bits = model.code_lengths(data, np.arange(0, len(data) + 1, 60))
+    assert [model.languages[i] for i in bits.argmin(axis=1)] == model.languages
+    for i, name in enumerate(model.languages):
+        text, want = samples[name], 0.0
+        for p in range(60):  # every gram of the text is in its own tree, at full depth
+            context = text[max(0, p - ppm_language.DEPTH) : p]
+            after = [text[j + len(context)] for j in range(len(text) - len(context)) if text.startswith(context, j)]
+            want -= math.log2(after.count(text[p]) / (len(after) + len(set(after))))
+        assert abs(bits[i, i] - want) < 1e-3 * want
+
+
 def test_language_accuracy_on_rows_not_learned_from(spark):
     rows = E.queries()["op1_language_id"](spark, MID).join(spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "lang"), "doc_id")
     right = rows.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
