@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import (
     decontaminate,
+    divergence,
     exact_dedup,
     main_text,
     mixing,
@@ -77,6 +78,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the terms of each source are from other sources and from their language."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES["op1_language_id"] = op1_language_id
 QUERIES["op2_url_filter"] = op2_url_filter
 ORACLES["op2_url_filter"] = url_lists.ORACLE_SQL
@@ -90,3 +96,5 @@ QUERIES["op7_main_text"] = op7_main_text
 QUERIES["op8_minhash_near_dedup"] = op8_minhash_near_dedup
 QUERIES["op9_decontaminate"] = op9_decontaminate
 QUERIES["op10_token_counts"] = op10_token_counts
+QUERIES["op11_source_divergence"] = op11_source_divergence
+ORACLES["op11_source_divergence"] = divergence.ORACLE_SQL
