@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm import (
+    conversations,
     decontaminate,
     divergence,
     exact_dedup,
+    line_dedup,
     main_text,
     mixing,
     near_duplicates,
@@ -83,6 +86,18 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged reproducibly, with its cheapest repair."""
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.digests(conversations.repair(damaged, copies=F.col("copies")))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand in three documents or more, but for their owner's."""
+    lines = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES["op1_language_id"] = op1_language_id
 QUERIES["op2_url_filter"] = op2_url_filter
 ORACLES["op2_url_filter"] = url_lists.ORACLE_SQL
@@ -98,3 +113,6 @@ QUERIES["op9_decontaminate"] = op9_decontaminate
 QUERIES["op10_token_counts"] = op10_token_counts
 QUERIES["op11_source_divergence"] = op11_source_divergence
 ORACLES["op11_source_divergence"] = divergence.ORACLE_SQL
+QUERIES["op12_conversation_repair"] = op12_conversation_repair
+QUERIES["op13_line_dedup"] = op13_line_dedup
+ORACLES["op13_line_dedup"] = line_dedup.ORACLE_SQL
