@@ -1,30 +1,28 @@
 """Source divergence audit (operator 11): iceberg prefix refinement, then integer divergences.
 
-Kept terms are found without a full table of terms:
+Kept terms are found without a table of all terms:
 
 1. One scan counts, in every task, how many documents hold each term and each
-   of its byte prefixes of ``FIRST``, 2 * ``FIRST``, 4 * ``FIRST``, ... bytes.
-   A document lies in one task, so the counts of tasks add up to the numbers of
-   distinct documents; only these partial counts leave a task.
-2. Level by level, prefixes are summed and those below ``min_docs`` documents
-   are discarded; a longer prefix goes on only if the one before it survived.
-   Survivors are marked in a table of ``SLOTS`` words of 64 bits (one hash
-   each), the one thing that is broadcast: its size does not grow. Two prefixes
-   that share a bit let some rows through that their own count then discards,
-   so the table saves shuffles and never decides.
-3. Complete terms whose longest prefix survived are summed by source; those in
-   ``min_docs`` documents of their language are kept.
+   of its byte prefixes of ``FIRST``, 2 * ``FIRST``, 4 * ``FIRST``, ... bytes, and how
+   often each source uses each term. A document lies in one task, so the counts
+   of tasks add up to the numbers of distinct documents. The counts leave a
+   task as packed blocks, one per language and bucket of a term's first
+   ``FIRST`` bytes; a frequent term is one entry of one block per task.
+2. The blocks of a bucket meet in one place, which holds whole subtrees of
+   prefixes. It refines them level by level: prefixes below ``min_docs``
+   documents are discarded, longer ones are read only below survivors, and
+   complete terms only below the last survivor. What is discarded is never
+   held as a term. Terms in ``min_docs`` documents of their language are kept,
+   again as packed blocks with their counts by source.
+3. Kept blocks are read once more for the sums: all sources of a language side
+   by side, a block of terms at a time. Tasks send on sums of pairs and the
+   ``top`` terms of each source.
 
 Shares are integers: p = 1 + floor(10^9 * (count + 1) / (N + V)) for a term's
 count in a group, N the group's occurrences of kept terms, V the number of kept
 terms of the language. f(p, q) = floor((p - q)^2 / q).
 
 * ``pair``: the sum of f over all V terms for each two sources of a language.
-  A group's terms without occurrence all have the same share, so the sum is
-  taken from histograms (how many terms of a source occur n times) as if no term
-  were common to both, and corrected for the terms that are. Corrections are
-  summed in the tasks, by block of terms; pairs of sources leave a task, terms
-  don't.
 * ``term``: f of each term of a source against its language where its share is
   above the language's, the ``top`` largest.
 
@@ -37,21 +35,23 @@ are not read.
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MIN_DOCS, TOP = 3, 200
-FIRST = 4  # bytes of the first level
-SLOTS = 1 << 16  # 64-bit words of the survivor table
-ENTRIES = 400_000  # counts a task holds before it sends them on
+FIRST = 8  # bytes of the first level
+BUCKETS = 1024  # per language
+ENTRIES = 400_000  # terms a task counts before it sends them on
 PIECE = 4 << 20
-CELLS = 1 << 20  # shares in one block of terms
-SCALE = 1_000_000_000
+CELLS = 1 << 19  # shares in one block of terms
+SCALE = 10**9
 
 LETTERS = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -81,229 +81,240 @@ def levels_of(terms: set[bytes]) -> Iterator[tuple[int, set[bytes]]]:
 
 def parent_length(n: int) -> int:
     """The longest level below ``n`` bytes, 0 if there is none."""
-    return 0 if n <= FIRST else 1 << ((n - 1).bit_length() - 1)
-
-
-def partial_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, level, key, up, docs, n) of a task's documents.
-
-    Level 0 is a complete term of a source with its occurrences ``n``; other
-    levels are prefixes of that many bytes. ``up`` is the length of the prefix
-    before it.
+    length = FIRST
+    while 2 * length < n:
+        length *= 2
+    return length if n > FIRST else 0
+
+
+def bucket_of(key: bytes) -> int:
+    return zlib.crc32(key[:FIRST]) % BUCKETS
+
+
+class Counts:
+    """What one task has counted of one language."""
+
+    def __init__(self) -> None:
+        self.docs, self.levels, self.uses = Counter(), {}, {}
+
+    def add(self, source: str, text: bytes) -> int:
+        """Count a document; the number of its distinct terms."""
+        uses, distinct = self.uses.setdefault(source, Counter()), set()
+        for terms in terms_of(text):
+            uses.update(terms)
+            distinct.update(terms)
+        self.docs.update(distinct)
+        for length, prefixes in levels_of(distinct):
+            self.levels.setdefault(length, Counter()).update(prefixes)
+        return len(distinct)
+
+    def blocks(self) -> Iterator[tuple[int, bytes]]:
+        """(bucket, packed counts) of all that was counted."""
+        terms, sources = list(self.docs), list(self.uses)
+        number = {t: i for i, t in enumerate(terms)}
+        docs = np.fromiter(self.docs.values(), np.int64, len(terms))
+        place = np.fromiter(map(bucket_of, terms), np.int64, len(terms))
+        of = [np.fromiter(map(number.__getitem__, uses), np.int64, len(uses)) for uses in self.uses.values()]
+        n = [np.fromiter(uses.values(), np.int64, len(uses)) for uses in self.uses.values()]
+        term, count = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (of, n))
+        source = np.repeat(np.arange(len(sources)), [len(x) for x in of])
+        nodes: dict[int, dict[int, tuple[list, list]]] = {}
+        for length, counts in self.levels.items():
+            for key, k in counts.items():
+                keys, ks = nodes.setdefault(bucket_of(key), {}).setdefault(length, ([], []))
+                keys.append(key)
+                ks.append(k)
+        order = np.argsort(place, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        use_order = np.argsort(rank[term], kind="stable")
+        term, source, count = rank[term][use_order], source[use_order], count[use_order]
+        starts = np.flatnonzero(np.diff(place[order], prepend=-1))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
+            bucket = int(place[order[a]])
+            lo, hi = np.searchsorted(term, (a, b))
+            packed = ([terms[i] for i in order[a:b].tolist()], docs[order[a:b]].tobytes(), (term[lo:hi] - a).tobytes(),
+                      source[lo:hi].tobytes(), count[lo:hi].tobytes(), sources, nodes.get(bucket, {}))
+            yield bucket, zlib.compress(pickle.dumps(packed), 1)
+
+
+def _sent(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def task_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, bucket, block) of (lang, source, text)."""
+    schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("block", pa.binary())])
+    held: dict[str, Counts] = {}
+    entries = 0
+
+    def sent() -> Iterator[pa.RecordBatch]:
+        for lang, counts in held.items():
+            yield _sent([(lang, bucket, block) for bucket, block in counts.blocks()], schema)
+        held.clear()
+
+    for batch in batches:
+        langs, sources, texts = (batch.column(i) for i in range(3))
+        for lang, source, text in zip(langs.to_pylist(), sources.to_pylist(), texts):
+            entries += held.setdefault(lang, Counts()).add(source, text.as_buffer().to_pybytes())
+            if entries > ENTRIES:
+                entries = sum(len(c.docs) for c in held.values())
+                if entries > ENTRIES // 2:
+                    yield from sent()
+                    entries = 0
+    yield from sent()
+
+
+def refined(blocks: list[tuple], min_docs: int) -> tuple[list[bytes], list[str], np.ndarray]:
+    """(kept terms, sources, occurrences by term and source) of one bucket's blocks.
+
+    The levels are gone through from the shortest; a prefix counts only where
+    the one before it survived, a term only below its last surviving prefix.
     """
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("level", pa.int32()), ("key", pa.binary()),
-                        ("up", pa.int32()), ("docs", pa.int64()), ("n", pa.int64())])
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, Counter] = {}
-        uses: dict[tuple, Counter] = {}
-
-        def counter(of: dict, key: tuple) -> Counter:
-            found = of.get(key)
-            if found is None:
-                found = of[key] = Counter()
-            return found
-
-        def sent() -> Iterator[pa.RecordBatch]:
-            for (lang, source, level), counts in held.items():
-                keys, n = list(counts), len(counts)
-                ups = [level // 2 if level > FIRST else 0] * n if level else [parent_length(len(k)) for k in keys]
-                used = [uses[lang, source][k] for k in keys] if level == 0 else [0] * n
-                for i in range(0, n, 50_000):
-                    part = keys[i : i + 50_000]
-                    m = len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, f.type) for x, f in zip(
-                            ([lang] * m, [source] * m, [level] * m, part, ups[i : i + m],
-                             [counts[k] for k in part], used[i : i + m]), schema)],
-                        schema=schema,
-                    )
-            held.clear()
-            uses.clear()
-
-        entries = 0
-        for batch in batches:
-            langs, sources, texts = (batch.column(i) for i in range(3))
-            for lang, source, text in zip(langs.to_pylist(), sources.to_pylist(), texts):
-                used, distinct = counter(uses, (lang, source)), set()
-                for terms in terms_of(text.as_buffer().to_pybytes()):
-                    used.update(terms)
-                    distinct.update(terms)
-                counter(held, (lang, source, 0)).update(distinct)
-                for length, prefixes in levels_of(distinct):
-                    counter(held, (lang, "", length)).update(prefixes)
-                entries += len(distinct)
-                if entries > ENTRIES:
-                    entries = sum(map(len, held.values()))
-                    if entries > ENTRIES // 2:
-                        yield from sent()
-                        entries = 0
-        yield from sent()
-
-    return docs.mapInArrow(scan, "lang string, source string, level int, key binary, up int, docs long, n long")
-
-
-def _place(length: Column | str, key: Column) -> Column:
-    return F.xxhash64(F.lit(0) + F.col("level") if length is None else length, F.col("lang"), key)
-
+    alive: dict[int, set[bytes]] = {}
+    for length in sorted({n for b in blocks for n in b[6]}):
+        before, found = alive.get(length // 2), Counter()
+        for b in blocks:
+            for key, n in zip(*b[6].get(length, ((), ()))):
+                if length == FIRST or (before and key[: length // 2] in before):
+                    found[key] += n
+        alive[length] = {k for k, n in found.items() if n >= min_docs}
+    number: dict[bytes, int] = {}
+    at = []
+    for b in blocks:
+        here = np.full(len(b[0]), -1, np.int64)
+        for i, term in enumerate(b[0]):
+            up = parent_length(len(term))
+            if not up or term[:up] in alive[up]:
+                here[i] = number.setdefault(term, len(number))
+        at.append(here)
+    docs = np.zeros(len(number), np.int64)
+    for b, here in zip(blocks, at):
+        docs[here[here >= 0]] += np.frombuffer(b[1], np.int64)[here >= 0]  # a term stands once in a block
+    keep = np.append(docs >= min_docs, False)  # place -1: a term that was passed over
+    row = np.cumsum(keep) - 1
+    sources = sorted({s for b in blocks for s in b[5]})
+    column = {s: i for i, s in enumerate(sources)}
+    counts = np.zeros((int(keep.sum()), len(sources)), np.int64)
+    for b, here in zip(blocks, at):
+        term, source, n = (np.frombuffer(x, np.int64) for x in b[2:5])
+        term = here[term]
+        use = keep[term]
+        names = np.asarray([column[s] for s in b[5]], np.int64)
+        np.add.at(counts, (row[term[use]], names[source[use]]), n[use])
+    return [t for t, k in zip(number, keep.tolist()) if k], sources, counts
+
+
+def kept_blocks(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
+                min_docs: int = MIN_DOCS) -> DataFrame:
+    """(lang, v, sources, totals, block): the kept terms, packed, with the occurrences per source."""
+    rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang_col, source_col, text_col)])
+    schema = pa.schema([("lang", pa.string()), ("v", pa.int64()), ("sources", pa.list_(pa.string())),
+                        ("totals", pa.list_(pa.int64())), ("block", pa.binary())])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, blocks = None, []
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            terms, sources, counts = refined(blocks, min_docs)
+            term, source = np.nonzero(counts)
+            used = np.unique(source)
+            totals = counts.sum(axis=0)[used].tolist()
+            packed = terms, [sources[i] for i in used], term.tobytes(), np.searchsorted(used, source).tobytes(), counts[term, source].tobytes()
+            if terms:
+                yield _sent([(now[0], len(terms), packed[1], totals, zlib.compress(pickle.dumps(packed), 1))], schema)
 
-def _slot(place: Column) -> Column:
-    return place.bitwiseAND(F.lit(SLOTS - 1))
-
-
-def _bit(place: Column) -> Column:
-    return F.shiftrightunsigned(place, 58).cast("int")
-
-
-def surviving(rows: DataFrame, bits: DataFrame) -> DataFrame:
-    """The rows whose prefix of ``up`` bytes is marked, and those without one."""
-    place = _place(F.col("up"), F.expr("substring(key, 1, up)"))
-    # at most SLOTS rows: the size of the broadcast side has a fixed bound
-    marked = rows.withColumn("__place", place).withColumn("__slot", _slot(F.col("__place"))).join(
-        F.broadcast(bits.select(F.col("slot").alias("__slot"), F.col("bits").alias("__bits"))), "__slot", "left"
-    )
-    is_set = F.expr("shiftrightunsigned(__bits, cast(shiftrightunsigned(__place, 58) as int)) & 1") == 1
-    return marked.where((F.col("up") == 0) | is_set).select(rows.columns)
-
-
-def marks(survivors: DataFrame) -> DataFrame:
-    """(slot, bits) of (lang, level, key)."""
-    place = _place(None, F.col("key"))
-    one = F.expr("shiftleft(1L, bit)")
-    return survivors.select(_slot(place).alias("slot"), _bit(place).alias("bit")).groupBy("slot").agg(F.bit_or(one).alias("bits"))
-
-
-def kept_terms(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
-               min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, term, docs, by_source) of every term in ``min_docs`` documents of its language.
-
-    ``by_source`` holds (source, n) of the sources where it occurs.
-    """
-    rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
-                         for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    partial = partial_counts(rows).checkpoint()
-    bits = rows.sparkSession.createDataFrame([], "slot long, bits long")
-    level = FIRST
-    while True:
-        found = (
-            surviving(partial.where(F.col("level") == level), bits)
-            .groupBy("lang", "level", "key").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
-        )
-        fresh = marks(found).checkpoint()
-        if fresh.isEmpty():
-            break
-        bits = bits.union(fresh).groupBy("slot").agg(F.bit_or("bits").alias("bits")).checkpoint()
-        level *= 2
-    return (
-        surviving(partial.where("level = 0"), bits)
-        .groupBy("lang", "source", "key").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-        .groupBy("lang", "key").agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("by_source"))
-        .where(F.col("docs") >= min_docs)
-        .select("lang", F.col("key").cast("string").alias("term"), "docs", "by_source")
-    )
-
-
-def _share(count: str, total: str, kinds: str) -> Column:
-    """1 + floor(10^9 * (count + 1) / (total + kinds)); the product has 30 digits at most."""
-    return F.expr(
-        f"1L + cast(({SCALE}BD * cast({count} + 1 as decimal(20,0))) div cast({total} + {kinds} as decimal(20,0)) as bigint)"
-    )
-
-
-def _f(p: str, q: str) -> str:
-    return f"(({p} - {q}) * ({p} - {q}) div {q})"
-
-
-def corrections(shares: DataFrame) -> DataFrame:
-    """(lang, s, t, value) from (lang, list of (source, p, p0)): what terms common to two sources change."""
-
-    def f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-        return (p - q) * (p - q) // q
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: Counter = Counter()
         for batch in batches:
-            by_lang: dict[str, list[int]] = {}
-            for i, lang in enumerate(batch.column(0).to_pylist()):
-                by_lang.setdefault(lang, []).append(i)
-            for lang, picked in by_lang.items():
-                lists = batch.column(1).take(pa.array(picked))
-                flat, ends = lists.flatten(), np.asarray(lists.value_lengths())
-                row = np.repeat(np.arange(len(picked)), ends)
-                names, where = np.unique(np.asarray(flat.field("source").to_pylist(), object), return_inverse=True)
-                base = np.ones(len(names), np.int64)
-                base[where] = flat.field("p0").to_numpy()
-                p = flat.field("p").to_numpy()
-                step = max(1, CELLS // len(names))
-                for lo in range(0, len(picked), step):
-                    inside = (row >= lo) & (row < lo + step)
-                    dense = np.repeat(base[None, :], min(step, len(picked) - lo), axis=0)
-                    dense[row[inside] - lo, where[inside]] = p[inside]
-                    for t, name in enumerate(names):
-                        changed = f(dense, dense[:, t : t + 1]) - f(dense, base[t]) - f(base, dense[:, t : t + 1]) + f(base, base[t])
-                        for s, value in zip(names, changed.sum(axis=0).tolist()):
-                            if value and s != name:
-                                totals[lang, s, name] += value
-                    if len(totals) > ENTRIES:
-                        yield sent(totals)
-                        totals.clear()
-        yield sent(totals)
-
-    def sent(totals: Counter) -> pa.RecordBatch:
-        langs, ss, ts = zip(*totals) if totals else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(ss, pa.string()), pa.array(ts, pa.string()),
-             pa.array([str(v) for v in totals.values()], pa.string())], names=["lang", "s", "t", "value"])
-
-    found = shares.mapInArrow(summed, "lang string, s string, t string, value string")
-    return found.select("lang", "s", "t", F.col("value").cast("decimal(38,0)").alias("value"))
+            for lang, bucket, block in zip(*(c.to_pylist() for c in batch.columns)):
+                if (lang, bucket) != now:
+                    yield from finished() if blocks else ()
+                    now, blocks = (lang, bucket), []
+                blocks.append(pickle.loads(zlib.decompress(block)))
+        yield from finished() if blocks else ()
+
+    dealt = rows.mapInArrow(task_blocks, "lang string, bucket int, block binary")
+    return dealt.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket").mapInArrow(
+        merge, "lang string, v long, sources array<string>, totals array<bigint>, block binary")
+
+
+def share(count: np.ndarray, total: np.ndarray | int) -> np.ndarray:
+    """1 + floor(10^9 * (count + 1) / total) without leaving 64 bits, three digits at a time."""
+    rest = count + 1
+    out = rest // total
+    for _ in range(3):
+        rest = rest % total * 1000
+        out = out * 1000 + rest // total
+    return out + 1
+
+
+def f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    d = p - q
+    return d * d // q
+
+
+def _sums(batches: Iterator[pa.RecordBatch], top: int) -> Iterator[pa.RecordBatch]:
+    """Partial sums of pairs, and the candidates for the top terms, of (lang, block, groups)."""
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("part", pa.string()), ("item", pa.string()), ("value", pa.string())])
+    pairs: dict[str, tuple[list[str], np.ndarray]] = {}
+    best: dict[tuple[str, str], list[tuple[int, bytes]]] = {}
+    for batch in batches:
+        for lang, block, groups in zip(*(c.to_pylist() for c in batch.columns)):
+            names = sorted(g["source"] for g in groups)
+            total = np.asarray([g["total"] for g in sorted(groups, key=lambda g: g["source"])], np.int64)
+            v, whole = groups[0]["v"], int(total.sum())
+            terms, sources, term, source, n = pickle.loads(zlib.decompress(block))
+            column = {s: i for i, s in enumerate(names)}
+            source = np.asarray([column[s] for s in sources], np.int64)[np.frombuffer(source, np.int64)]
+            term, n = np.frombuffer(term, np.int64), np.frombuffer(n, np.int64)
+            sums = pairs.setdefault(lang, (names, np.zeros((len(names), len(names)), object)))[1]
+            step = max(1, CELLS // len(names))
+            for lo in range(0, len(terms), step):
+                counts = np.zeros((min(step, len(terms) - lo), len(names)), np.int64)
+                inside = slice(*np.searchsorted(term, (lo, lo + step)))
+                counts[term[inside] - lo, source[inside]] = n[inside]
+                p = share(counts, total + v)
+                for t in range(len(names)):
+                    sums[:, t] += f(p, p[:, t : t + 1]).sum(axis=0).tolist()
+                q = share(counts.sum(axis=1), whole + v)[:, None]
+                row, col = np.nonzero((counts > 0) & (p > q))
+                values = f(p, q)[row, col]
+                for s in np.unique(col).tolist():
+                    mine = np.flatnonzero(col == s)
+                    if len(mine) > top:  # ties with the last one stay in
+                        least = np.partition(values[mine], len(mine) - top)[len(mine) - top]
+                        mine = mine[values[mine] >= least]
+                    found = best.setdefault((lang, names[s]), [])
+                    found += [(-x, terms[lo + r]) for x, r in zip(values[mine].tolist(), row[mine].tolist())]
+                    if len(found) > 4 * top:
+                        found.sort()
+                        del found[top:]
+    for lang, (names, sums) in pairs.items():
+        yield _sent([(lang, a, "pair", b, str(sums[i, j])) for i, a in enumerate(names) for j, b in enumerate(names) if i != j], schema)
+    for (lang, source), found in best.items():
+        yield _sent([(lang, source, "term", t.decode(), str(-x)) for x, t in sorted(found)[:top]], schema)
 
 
 def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
                min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
     """(lang, source, part, item, value, rank) of every source of every language."""
-    kept = kept_terms(docs, lang_col, source_col, text_col, min_docs).checkpoint()
-    kinds = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    counts = kept.select("lang", "term", F.explode("by_source").alias("o")).select("lang", "term", "o.source", "o.n")
+    kept = kept_blocks(docs, lang_col, source_col, text_col, min_docs).checkpoint()
     names = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
                           for c, n in ((lang_col, "lang"), (source_col, "source"))]).distinct()
-    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("seen"))
-    groups = (
-        names.join(sums, ["lang", "source"], "left").join(kinds, "lang", "left")
-        .select("lang", "source", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("total", "seen", "v")])
-        .withColumn("p0", F.when(F.col("v") > 0, _share("0", "total", "v")))
-    ).checkpoint()
-
-    with_group = counts.join(groups.select("lang", "source", "total", "v", "p0"), ["lang", "source"]).withColumn(
-        "p", _share("n", "total", "v"))
-
-    # pairs as if no term were common: histograms of counts against the other source's empty share
-    histogram = counts.groupBy("lang", "source", "n").agg(F.count(F.lit(1)).alias("terms")).join(
-        groups.select("lang", "source", "total", "v", "p0"), ["lang", "source"]).withColumn("p", _share("n", "total", "v"))
-    others = groups.select("lang", F.col("source").alias("other"), F.col("p0").alias("q0"))
-    apart = histogram.join(others, "lang").where("source <> other").select(
-        "lang", F.explode(F.array(
-            F.struct(F.col("source").alias("s"), F.col("other").alias("t"),
-                     F.expr(f"cast(terms as decimal(19,0)) * {_f('p', 'q0')}").cast("decimal(38,0)").alias("value")),
-            F.struct(F.col("other").alias("s"), F.col("source").alias("t"),
-                     F.expr(f"cast(terms as decimal(19,0)) * {_f('q0', 'p')}").cast("decimal(38,0)").alias("value")),
-        )).alias("x")).select("lang", "x.*").groupBy("lang", "s", "t").agg(F.sum("value").cast("decimal(38,0)").alias("value"))
-    left = groups.select("lang", F.col("source").alias("s"), F.col("p0").alias("p"), F.col("seen").alias("a"), "v")
-    right = groups.select("lang", F.col("source").alias("t"), F.col("p0").alias("q"), F.col("seen").alias("b"))
-    empty = left.join(right, "lang").where("s <> t").select(
-        "lang", "s", "t", F.coalesce(F.expr(f"cast(v - a - b as decimal(19,0)) * {_f('p', 'q')}"), F.lit(0)).cast("decimal(38,0)").alias("value"))
-    lists = with_group.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p", "p0")).alias("l")).where("size(l) > 1")
-    pairs = empty.union(apart).union(corrections(lists.select("lang", "l"))).groupBy("lang", "s", "t").agg(F.sum("value").alias("value"))
-    pairs = pairs.select("lang", F.col("s").alias("source"), F.lit("pair").alias("part"), F.col("t").alias("item"),
-                         F.col("value").cast("long").alias("value"))
-
-    whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("all_n"))
-    sizes = counts.groupBy("lang").agg(F.sum("n").alias("all_total"))
-    terms = (
-        with_group.join(whole, ["lang", "term"]).join(sizes, "lang")
-        .withColumn("q", _share("all_n", "all_total", "v")).where("p > q")
-        .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr(_f("p", "q")).alias("value"))
-    )
+    kinds = kept.groupBy("lang").agg(F.sum("v").alias("v"))
+    totals = kept.select("lang", F.explode(F.arrays_zip("sources", "totals")).alias("o")).groupBy(
+        "lang", F.col("o.sources").alias("source")).agg(F.sum("o.totals").alias("total"))
+    groups = names.join(totals, ["lang", "source"], "left").join(kinds, "lang").select(
+        "lang", "source", F.coalesce("total", F.lit(0)).cast("long").alias("total"), "v")
+    lists = groups.groupBy("lang").agg(F.collect_list(F.struct("source", "total", "v")).alias("groups"))  # a language's sources
+    partial = kept.select("lang", "block").join(lists, "lang").mapInArrow(
+        lambda batches: _sums(batches, top), "lang string, source string, part string, item string, value string")
+    found = partial.select("lang", "source", "part", "item", F.col("value").cast("decimal(38,0)").alias("value")).checkpoint()
+    pairs = found.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    every = names.join(names.select("lang", F.col("source").alias("item")), "lang").where("source <> item")  # all ranks are asked for
+    pairs = every.join(pairs, ["lang", "source", "item"], "left").select(
+        "lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).cast("long").alias("value"))
+    terms = found.where("part = 'term'").select("lang", "source", "part", "item", F.col("value").cast("long"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = F.row_number().over(order).alias("rank")
     return pairs.select("*", ranked).union(terms.select("*", ranked).where(F.col("rank") <= top))
