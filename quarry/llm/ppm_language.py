@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.scratch import ship
 from quarry.llm.wordhash import runs_of_rows, utf8
 
 DEPTH = 4
@@ -258,9 +259,9 @@ def share(docs: DataFrame, model: Model | None) -> Callable[[], Model | None]:
     """Broadcasts a model, each group of languages by itself; the function gives the model inside a task."""
     if model is None:
         return lambda: None
-    languages, parts = model.languages, [docs.sparkSession.sparkContext.broadcast(t) for t in model.trees]
+    languages, parts = model.languages, [ship(docs.sparkSession, t) for t in model.trees]
     kind = Model
-    return lambda: kind(languages, [p.value for p in parts])
+    return lambda: kind(languages, [part() for part in parts])
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

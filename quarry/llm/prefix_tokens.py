@@ -29,6 +29,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from quarry.llm.scratch import ship
+
 LIMIT = 1024
 CACHED_PIECES = 400_000
 NEVER = 1 << 60
@@ -246,10 +248,10 @@ def token_counts(
     depend on the data) is broadcast.
     """
     with open(vocabulary_path, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(f.read()))
+        shared = ship(docs.sparkSession, Vocabulary(f.read()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = shared.value, {}
+        vocabulary, known = shared(), {}
         for batch in batches:
             sizes, tokens = [], []
             for start in range(0, batch.num_rows, 256):

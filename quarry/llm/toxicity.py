@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.scratch import ship
 from quarry.llm.wordhash import WordHasher, ascii_lower, runs_of_rows, utf8
 
 TERMS = 1 << 18
@@ -173,10 +174,10 @@ def train(
 
 def score(docs: DataFrame, machine: Machine | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = ship(docs.sparkSession, machine)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, machine = term_words(), shared.value
+        hasher, machine = term_words(), shared()
         for batch in batches:
             out = []
             data, offsets = utf8(batch.column(1))
