@@ -1,9 +1,9 @@
 """Near duplicates (operator 8): circulant MinHash, banding, exact verification.
 
 1. Texts become sets of word shingles (64-bit hashes). Rows with the same word
-   sequence have the same set, so only the smallest identifier of each
-   sequence goes on as its representative; a group of exact copies, however
-   large, is one row from here on.
+   sequence have the same set; the digest of the sequence is what is compared
+   from here on, so a group of exact copies, however large, is one item. Each
+   task sends on the bands of a sequence once.
 2. Two permutations make all coordinates of a signature. The first one (a
    bijection of 64-bit hashes) scatters the shingles over ``WIDTH`` positions;
    the second one is a table of ``WIDTH`` ranks that coordinate ``k`` reads
@@ -11,20 +11,26 @@
    one slice of the table, and a signature is the minimum of slices.
 3. ``bands`` keys of ``rows`` coordinates each are grouped. With 24 bands of 4
    rows a pair of similarity 0.8 shares a band but for 3 pairs in a million.
-4. Pairs are pruned by an exact bound before any set is read. Each set has a
+4. Bands are gone through in batches of 1, 3 and all others. In every bucket
+   that holds several components all members are compared with the smallest
+   one (its hub), confirmed links are contracted to components, and the same is
+   done again with the members that are left, without the hub. Near copies are
+   joined by the first band or two, so later bands find hardly a bucket that is
+   not one component already: a pair inside a component, which changes nothing,
+   is not made, and no pair that shares a band and could join two components is
+   skipped.
+5. Links are confirmed on the full sets. When a round of hubs no longer halves
+   the pairs that are left in its buckets (members that are truly dissimilar),
+   these pairs are compared directly, after an exact bound. Each set has a
    parity sketch: bit ``i`` is the parity of the number of its shingles that
    hash to ``i``. Every bit in which two sketches differ needs a shingle that
    only one of the sets has, so more differing bits than a similar pair may
    have such shingles rule a link out.
-5. Links are confirmed on the full sets. In every bucket all members are
-   compared with the smallest one (its hub) and confirmed links are contracted
-   to components. While more than ``FEW`` pairs a member are left between
-   different components of the buckets, the same is done again without the
-   hub (as long as that at least halves them); then those pairs are compared
-   directly. So a bucket filled by
-   one group costs one comparison a member, pairs inside a component (which
-   change nothing) are not made, and no pair that shares a band and could
-   join two components is skipped.
+6. Rows that repeat an identifier with another text join the components of
+   their texts.
+
+Tables between rounds are Parquet in the shared folder, deleted once the next
+round's are written.
 
 Defined cases: a text that is NULL or has no words has no shingles and is
 linked with nothing; a text with fewer words than a shingle is one shingle; a
@@ -46,13 +52,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.graph import components
+from quarry.llm.scratch import Scratch
 from quarry.llm.wordhash import mix, plain_words, runs_of_rows, utf8
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 80, 24, 4
 WIDTH = 1 << 18
 SEED = 20240607
 SKETCH_LONGS = 32
-FEW = 1000  # pairs a bucket row that are compared directly
+BATCHES = (1, 3)  # bands of the first batches; the last one has the others
+SEEN = 1 << 20  # sequences a task remembers
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[bytes | None, np.ndarray]]:
@@ -109,68 +117,84 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
-    """(id, sequence, n, bands, sketch): NULL sequence and no bands where there are no words."""
+    """(id, sequence, n, bands): NULL sequence where there are no words; a task gives the
+    bands of a sequence with its first identifier only."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(bands * rows)
+        signer, seen = Signer(bands * rows), set()
         for batch in batches:
-            sequences, sizes, signed, sketches = [], [], [], []
-            for sequence, shingles in shingle_sets(batch.column(1), words):
+            sequences, sizes, signed, first = [], [], [], []
+            for identifier, (sequence, shingles) in zip(batch.column(0), shingle_sets(batch.column(1), words)):
                 sequences.append(sequence)
                 sizes.append(len(shingles))
-                signed.append(signer.sign(shingles))
-                sketches.append(parity_sketch(shingles))
+                first.append(sequence is not None and identifier.is_valid and sequence not in seen)
+                if first[-1]:
+                    signed.append(signer.sign(shingles))
+                    seen.add(sequence)
+            if len(seen) > SEEN:
+                seen.clear()
             keys = band_keys(np.asarray(signed, np.uint32).reshape(-1, bands * rows), bands, rows)
-            full = np.asarray(sizes, np.int64) > 0
-            ends = np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)
+            ends = np.concatenate([[0], np.cumsum(np.asarray(first, np.int64) * bands)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sequences, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[full].ravel(), pa.int64())),
-                 pa.ListArray.from_arrays(
-                     pa.array(np.arange(len(sketches) + 1, dtype=np.int32) * SKETCH_LONGS),
-                     pa.array(np.asarray(sketches, np.int64).ravel(), pa.int64()))],
-                names=["id", "sequence", "n", "bands", "sketch"],
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel(), pa.int64()))],
+                names=["id", "sequence", "n", "bands"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(sign, f"id {kind}, sequence binary, n long, bands array<bigint>, sketch array<bigint>")
+    return docs.select(id_col, text_col).mapInArrow(sign, f"id {kind}, sequence binary, n long, bands array<bigint>")
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: DataFrame) -> DataFrame:
-    """(id, shingles) of the rows whose identifier is in ``wanted`` (id)."""
+    """(node, shingles, sketch) of the rows whose identifier is in ``wanted`` (id)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):  # the sets are larger than the texts
                 part = batch.slice(start, 512)
-                found = [s for _, s in shingle_sets(part.column(1), words)]
+                nodes, found = zip(*shingle_sets(part.column(1), words))
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
+                sketches = np.concatenate([parity_sketch(s) for s in found])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(
-                        pa.array(ends), pa.array(np.concatenate(found).astype(np.int64), pa.int64()))],
-                    names=["id", "shingles"],
+                    [pa.array(nodes, pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int64), pa.int64())),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * SKETCH_LONGS), pa.array(sketches, pa.int64()))],
+                    names=["node", "shingles", "sketch"],
                 )
 
-    kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.join(wanted.hint("shuffle_hash"), "id", "left_semi").mapInArrow(sets, f"id {kind}, shingles array<bigint>")
+    found = rows.join(wanted.hint("shuffle_hash"), "id", "left_semi").mapInArrow(sets, "node binary, shingles array<bigint>, sketch array<bigint>")
+    return found.where("node IS NOT NULL")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) with 100 * |intersection| >= similarity * |union|."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def sizes_allow(na: str, nb: str, similarity: int) -> Column:
+    return 100 * F.least(na, nb) >= similarity * F.greatest(na, nb)
+
+
 def may_link(na: str, nb: str, sa: str, sb: str, similarity: int) -> Column:
     """An exact bound: false only where the two sets can't reach the similarity."""
     apart = reduce(add, (F.bit_count(F.col(sa)[i].bitwiseXOR(F.col(sb)[i])) for i in range(SKETCH_LONGS)))
-    return (100 * F.least(na, nb) >= similarity * F.greatest(na, nb)) & (
-        (100 + similarity) * apart <= (100 - similarity) * (F.col(na) + F.col(nb))
-    )
+    return sizes_allow(na, nb, similarity) & ((100 + similarity) * apart <= (100 - similarity) * (F.col(na) + F.col(nb)))
+
+
+def batches_of(bands: int) -> list[tuple[int, int]]:
+    """(first band, number of bands) of every batch."""
+    out, at = [], 0
+    for size in (*BATCHES, bands):
+        size = min(size, bands - at)
+        if size:
+            out.append((at, size))
+        at += size
+    return out
 
 
 def near_duplicates(
@@ -183,61 +207,75 @@ def near_duplicates(
     or through others; ``kept`` marks the row that is its component's smallest
     identifier.
     """
-    signed = signatures(docs, id_col, text_col, words, bands, rows).checkpoint()
-    with_words = signed.where("sequence IS NOT NULL AND id IS NOT NULL")
-    smallest = with_words.groupBy("sequence").agg(F.min("id").alias("id"))
-    chosen = with_words.join(smallest.select("sequence", F.col("id").alias("rep")), "sequence").where("id = rep")
-    chosen = chosen.dropDuplicates(["sequence"]).select("rep", "n", "bands", "sketch").checkpoint()
-    keys = chosen.select("rep", F.explode("bands").alias("key"))
+    scratch = Scratch(docs.sparkSession, "near")
+    signed = scratch.keep(signatures(docs, id_col, text_col, words, bands, rows))
+    held = signed.where("sequence IS NOT NULL AND id IS NOT NULL").select("id", "sequence")
+    smallest = held.groupBy("sequence").agg(F.min("id").alias("id"))
+    items = signed.where("size(bands) > 0").select(F.col("sequence").alias("node"), "n", "bands")
     # only buckets with company matter
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    members = keys.join(shared, "key").withColumn("part", F.col("rep")).checkpoint()
-    # what is asked again and again is worked out once, for the rows that share a bucket only
-    reps = members.select("rep").distinct()
-    about = chosen.join(reps, "rep").select("rep", "n", "sketch").dropDuplicates(["rep"]).checkpoint()
-    sets = full_sets(docs, id_col, text_col, words, reps.withColumnRenamed("rep", "id")).checkpoint()
-    total, before, edges = members.count(), None, None
-    parts = smallest.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
-    while total:
-        # buckets that hold several components, and the pairs between these
-        sizes = members.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"))
-        mixed = sizes.groupBy("key").agg(
-            F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count(F.lit(1)).alias("parts")
-        ).where("parts > 1")
-        members = members.join(mixed.select("key"), "key").checkpoint()
-        left = mixed.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0))).first()[0]
-        if not left:
-            break
-        last = before is not None and (left <= FEW * total or left > before / 2)
-        before = left
-        if last:
-            a = members.join(about, "rep")
-            b = a.select("key", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("nb"), F.col("sketch").alias("sketch_b"))
-            pairs = a.withColumnRenamed("rep", "a").join(b, "key").where(
-                (F.col("a") > F.col("b")) & (F.col("part") != F.col("part_b")) & may_link("n", "nb", "sketch", "sketch_b", similarity)
-            ).select("a", "b").distinct()
-        else:
-            hub = members.groupBy("key").agg(F.min(F.struct("rep", "part")).alias("h")).select("key", "h.rep", "h.part")
-            hub = hub.toDF("key", "b", "part_b")
-            pairs = members.join(hub, "key").where("rep <> b AND part <> part_b").select(F.col("rep").alias("a"), "b").distinct()
-            one = about.toDF("a", "n", "sketch")
-            pairs = pairs.join(one, "a").join(one.toDF("b", "nb", "sketch_b"), "b")
-            pairs = pairs.where(may_link("n", "nb", "sketch", "sketch_b", similarity)).select("a", "b")
-            members = members.join(hub, "key").where("rep <> b").select("key", "rep", "part")
-        pairs = pairs.checkpoint()
-        links = confirmed(pairs, sets, similarity)
-        edges = (links if edges is None else edges.union(links)).checkpoint()
-        parts = components(edges)
-        if last:
-            break
-        members = (
-            members.drop("part").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("key", "rep", F.coalesce("component", "rep").alias("part"))
-        ).checkpoint()
-    groups = (
-        smallest.join(parts.withColumnRenamed("node", "id"), "id", "left")
-        .select("sequence", F.coalesce("component", "id").alias("component_id"))
-    )
+    keys = items.select("node", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
+    company = scratch.keep(keys.join(shared, "key").select("node").distinct())
+    items = scratch.keep(items.join(company, "node", "left_semi"))
+    wanted = company.join(smallest, company["node"] == smallest["sequence"]).select("id").distinct()
+    sets = scratch.keep(full_sets(docs, id_col, text_col, words, wanted))
+    nothing = docs.sparkSession.createDataFrame([], "a binary, b binary")
+    edges, parts = nothing, nothing.toDF("node", "component")
+
+    def joined(links: DataFrame) -> None:
+        """Contract the components once more, with new links."""
+        nonlocal edges, parts
+        before = edges, parts
+        edges = scratch.keep(edges.union(links))
+        parts = scratch.keep(components(edges))
+        scratch.release(*before)
+
+    def with_parts(rows: DataFrame) -> DataFrame:
+        return rows.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+
+    for first, size in batches_of(bands):
+        members = with_parts(items).select(
+            F.explode(F.slice("bands", first + 1, size)).alias("key"), "node", "n", "part")
+        stored, before = None, None
+        while True:
+            mixed = scratch.keep(
+                members.groupBy("key").agg(F.min(F.struct("part", "node", "n")).alias("h"), F.max("part").alias("last"))
+                .where("h.part <> last").select("key", F.col("h.node").alias("b"), F.col("h.part").alias("part_b"), F.col("h.n").alias("nb"))
+            )
+            if mixed.isEmpty():
+                scratch.release(mixed, stored)
+                break
+            near = scratch.keep(members.join(mixed, "key"))
+            pairs = scratch.keep(
+                near.where((F.col("part") != F.col("part_b")) & sizes_allow("n", "nb", similarity))
+                .select(F.col("node").alias("a"), "b").distinct()
+            )
+            # those that are left in these buckets, without the hub
+            rest = scratch.keep(near.where("node <> b").select("key", "node", "n").distinct())
+            joined(confirmed(pairs, sets, similarity))
+            scratch.release(pairs, near, mixed, stored)
+            members, stored = with_parts(rest), rest
+            sizes = members.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+                F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("same"))
+            left = sizes.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0))).first()[0]
+            if before is not None and left > before / 2:
+                about = sets.select("node", "sketch").dropDuplicates(["node"])
+                a = members.join(about, "node")
+                b = a.select("key", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("nb"), F.col("sketch").alias("sketch_b"))
+                pairs = scratch.keep(a.withColumnRenamed("node", "a").join(b, "key").where(
+                    (F.col("a") > F.col("b")) & (F.col("part") != F.col("part_b")) & may_link("n", "nb", "sketch", "sketch_b", similarity)
+                ).select("a", "b").distinct())
+                joined(confirmed(pairs, sets, similarity))
+                scratch.release(pairs, stored)
+                break
+            before = left
+    # the texts of one identifier belong together
+    several = held.groupBy("id").agg(F.min("sequence").alias("b"), F.max("sequence").alias("last")).where("b < last")
+    joined(held.join(several, "id").where("sequence <> b").select(F.col("sequence").alias("a"), "b").distinct())
+    own = with_parts(smallest.withColumnRenamed("sequence", "node"))
+    least = own.groupBy("part").agg(F.min("id").alias("component_id"))
+    groups = scratch.keep(own.join(least, "part").select(F.col("node").alias("sequence"), "component_id"))
+    scratch.release(items, company, sets, edges, parts)
     out = signed.select("id", "sequence", "n").join(groups, "sequence", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(

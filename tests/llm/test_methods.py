@@ -263,12 +263,38 @@ def test_near_duplicates_around_the_threshold(spark, monkeypatch):
         copy = [rng.choice(words) if rng.random() < (i % 7) * 0.02 else w for w in base]
         texts[1000 - i] = " ".join(copy)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    for few in (1000, 0):
-        monkeypatch.setattr(near_duplicates, "FEW", few)
+    for batches in ((1, 3), (), (2,)):
+        monkeypatch.setattr(near_duplicates, "BATCHES", batches)
         rows = near_duplicates.near_duplicates(docs, words=2).collect()
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == jaccard_groups(texts, 2)
 
 
+def test_near_duplicates_of_many_rows(spark, duck):
+    texts = dict(duck.execute(f"SELECT doc_id, text FROM '{MID}/documents.parquet'").fetchall())
+    rows = near_duplicates.near_duplicates(spark.read.parquet(f"{MID}/documents.parquet"), words=2).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == jaccard_groups(texts, 2)
+
+
+def test_identifiers_with_several_texts_keep_all_links(spark):
+    rng = random.Random(4)
+
+    def text():
+        return [f"w{rng.randrange(10_000)}" for _ in range(80)]
+
+    rows, linked = [], {}
+    for i in range(20):
+        for j, other in enumerate((100 + i, 200 + i)):
+            words = text()
+            rows += [(i, " ".join(words)), (other, " ".join([*words[:-1], "changed"]))]
+        linked |= {i: i, 100 + i: i, 200 + i: i}
+    rows += [(300, rows[0][1]), (301, " ".join(text())), (302, " ".join(text()))]  # an exact copy, two of their own
+    linked |= {300: 0, 301: 301, 302: 302}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = near_duplicates.near_duplicates(docs, words=2).collect()
+    assert len(found) == len(rows) and {r["doc_id"]: r["component_id"] for r in found} == linked
+    assert {r["doc_id"] for r in found if r["kept"]} == {i for i, c in linked.items() if i == c}
+
+
 def test_parity_bound_never_rules_out_a_link():
     rng = np.random.default_rng(2)
     for _ in range(200):
