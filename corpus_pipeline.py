@@ -11,6 +11,9 @@ but the last return the columns of ``docs``. The order:
 4. mixing: rows are repeated or left out so that sources meet their targets;
 5. sharding: shard and slot of every row left, beside its columns.
 
+:func:`run` writes what each stage keeps as Parquet into the shared folder, and
+the next stage reads that: no stage is worked out twice.
+
 Defined cases: rows with a NULL text go in the first stage; rows with a NULL
 identifier can't be linked or flagged and stay in the stages 2 and 3; rows that
 repeat an identifier are kept or dropped alike; an empty table stays empty.
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate, mixing, near_duplicates, ppm_language, sharding
 from quarry.session import checkpoint_dir, table
+from quarry.sources.stage import stage_path, write_stage
 
 UNIFORM_BITS = 8.0
 
@@ -70,6 +74,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     checkpoint_dir(spark)
     docs = table(spark, sf_dir, "documents")
-    for _name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = write_stage(stage(spark, docs, sf_dir), stage_path(spark, name))
+        docs = spark.read.schema(docs.schema).parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
