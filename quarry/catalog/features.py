@@ -508,3 +508,13 @@ def _b5(spark, sf):
     c = table(spark, sf, "customer")
     m = B.bootstrap_moments(c, "c_custkey", "c_acctbal", 200, seed=11)
     return m.select("rep", F.col("n").cast("int").alias("n"), rnd("mean").alias("mean"), rnd("sd").alias("sd"))
+
+
+@query("t3_one_hot_sparse", """WITH l AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT o_custkey AS v FROM orders WHERE o_custkey IS NOT NULL))
+    SELECT o_orderkey, CAST(code AS INTEGER) AS position, 1.0::DOUBLE AS value FROM orders JOIN l ON l.v = o_custkey WHERE o_custkey <> (SELECT min(o_custkey) FROM orders)""")
+def _t3_sparse(spark, sf):
+    """One level per customer: far more levels than columns could hold; the first one is the reference."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    first = o.agg(F.min("o_custkey")).first()[0]
+    v = T.one_hot_sparse(o, T.fit_codes(o, "o_custkey"), "o_custkey", "v", reference=first)
+    return T.sparse_entries(v, "o_orderkey", "v")

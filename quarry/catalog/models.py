@@ -6,9 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.catalog.registry import query
+from quarry.functions.rounding import rnd, rnd_sql as R
+from quarry.operators import crossval as C
 from quarry.operators import evaluation as E
 from quarry.operators import models as M
+from quarry.operators import trees as T
 from quarry.operators.features import ordinal
+from quarry.operators.ordering import hash_unit, hash_unit_sql
 from quarry.operators.sampling import hash_split, stratified_folds
 from quarry.session import table
 from quarry.sources.stage import stage_path
@@ -281,3 +285,139 @@ def _k3(spark, sf):
     v = M.vectorize(data.withColumn("y", (F.col("status") == 0).cast("int")), ORDER_FEATURES, "y")
     model = M.decision_tree("gini", 3, 5).fit(v)
     return M.tree_nodes(model, stage_path(spark, "tree"), ORDER_FEATURES)
+
+
+# ---- trees grown from histograms: L1, K3, L8, L11 ------------------------------------------
+
+_ORDERS_SQL = f"""SELECT o_orderkey AS rid, o_totalprice, list_position([{', '.join(f"'{p}'" for p in PRIORITIES)}], o_orderpriority) - 1 AS priority,
+  month(o_orderdate) AS month, (dayofweek(o_orderdate) + 6) % 7 AS weekday, CAST(o_orderstatus = 'F' AS INTEGER) AS y0,
+  {hash_unit_sql('o_orderkey', 17)} AS u FROM orders"""
+_TREE = {"impurity": "entropy", "max_depth": 4, "min_leaf": 10, "min_split": 60}
+_TREE_CTES = T.tree_ctes(
+    f"SELECT rid, {', '.join(ORDER_FEATURES)}, y0, CASE WHEN u >= 0.2 THEN y0 END AS y, NULL::INTEGER AS fold FROM ({_ORDERS_SQL})",
+    ORDER_FEATURES, [_TREE], [None], [0, 1])
+
+
+def _fitted_tree(spark, sf):
+    data = order_features(spark, sf).withColumn("y", (F.col("status") == 0).cast("int"))
+    return data, T.fit_tree(data.where(F.col("split") == "train"), ORDER_FEATURES, "y", **_TREE)
+
+
+@query("l1_tree_split_limits", f"""WITH {_TREE_CTES}
+  SELECT w.rid AS o_orderkey, src.y0 AS actual, pr.prediction AS predict FROM w JOIN src USING (rid) JOIN pr ON pr.node = w.node WHERE src.y IS NULL""")
+def _l1_limits(spark, sf):
+    data, tree = _fitted_tree(spark, sf)
+    return data.where(F.col("split") == "test").select("o_orderkey", F.col("y").alias("actual"), tree.predict().alias("predict"))
+
+
+@query("k3_tree_node_table", f"""WITH {_TREE_CTES},
+  th AS (SELECT f, e FROM ed)
+  SELECT pr.node, pr.depth, CASE sp.f {' '.join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(ORDER_FEATURES))} END AS feature,
+    th.e[sp.b + 1] AS threshold, c0 + c1 AS n, c0, c1, {R('-(CASE WHEN c0 > 0 THEN c0 / (c0 + c1) * ln(c0 / (c0 + c1)) ELSE 0 END + CASE WHEN c1 > 0 THEN c1 / (c0 + c1) * ln(c1 / (c0 + c1)) ELSE 0 END)', 8)} AS impurity,
+    {R('sp.gain', 8)} AS gain, CAST(pr.prediction AS VARCHAR) AS prediction
+  FROM pr LEFT JOIN sp ON sp.node = pr.node LEFT JOIN th ON th.f = sp.f""")
+def _k3_native(spark, sf):
+    _, tree = _fitted_tree(spark, sf)
+    return tree.node_table(spark).select(
+        "node", "depth", "feature", "threshold", "n", F.col("counts")[0].alias("c0"), F.col("counts")[1].alias("c1"),
+        (rnd("impurity", 8) + 0.0).alias("impurity"), rnd("gain", 8).alias("gain"), "prediction")
+
+
+_GRIDS = [{"impurity": ["gini", "entropy"], "max_depth": [2, 3], "min_leaf": [5]}, {"max_depth": [3], "min_split": [2, 400]}]
+_POINTS = T.combinations(_GRIDS)
+_GRID_CTES = T.tree_ctes(
+    f"""SELECT rid, {', '.join(ORDER_FEATURES)}, y0, y0 AS y, CAST((row_number() OVER (PARTITION BY y0 ORDER BY {hash_unit_sql('rid', 23)}, rid) - 1) % 3 AS INTEGER) AS fold
+    FROM ({_ORDERS_SQL})""", ORDER_FEATURES, [p for p in _POINTS for _ in range(3)], [0, 1, 2] * len(_POINTS), [0, 1])
+
+
+def _grid_sql():
+    points = ", ".join(f"({i}, '{p['impurity']}', {p['max_depth']}, {p['min_leaf']}, {p['min_split']})" for i, p in enumerate(_POINTS))
+    rates = {"accuracy": "(tp + tn) / n", "precision": "tp / nullif(tp + fp, 0)", "recall": "tp / nullif(tp + fn, 0)",
+             "f1": "2 * tp / nullif(2 * tp + fp + fn, 0)", "specificity": "tn / nullif(tn + fp, 0)"}
+    means = ", ".join(f"{R(f'avg({m})')} AS mean_{m}, {R(f'stddev_samp({m})')} AS sd_{m}" for m in rates)
+    return f"""WITH {_GRID_CTES},
+      cf AS (SELECT w.tree, count(*)::DOUBLE AS n, {', '.join(f"count(*) FILTER (WHERE y0 = {y} AND prediction = {p})::DOUBLE AS {c}"
+             for c, y, p in (('tp', 1, 1), ('fp', 0, 1), ('fn', 1, 0), ('tn', 0, 0)))}
+        FROM w JOIN src USING (rid) JOIN tr USING (tree) JOIN pr ON pr.tree = w.tree AND pr.node = w.node WHERE src.fold = tr.held GROUP BY w.tree),
+      m AS (SELECT tree // 3 AS combo, {', '.join(f'{e} AS {m}' for m, e in rates.items())} FROM cf),
+      r AS (SELECT combo, {means}, ROUND(avg(f1) * 1e10) AS score FROM m GROUP BY combo),
+      p(combo, impurity, max_depth, min_leaf, min_split) AS (VALUES {points})
+      SELECT p.*, {', '.join(f'mean_{m}, sd_{m}' for m in rates)}, CAST(row_number() OVER (ORDER BY score DESC, combo) AS INTEGER) AS rank FROM p JOIN r USING (combo)"""
+
+
+@query("l11_grid_search_trees", _grid_sql())
+def _l11_trees(spark, sf):
+    data = order_features(spark, sf).withColumn("y", (F.col("status") == 0).cast("int"))
+    data = stratified_folds(data, "o_orderkey", "y", 3, seed=23)
+    results, _, _ = T.grid_search(data, ORDER_FEATURES, "y", "fold", 3, _GRIDS, refit="f1")
+    return results.withColumns({f"{p}_{m}": rnd(f"{p}_{m}") for m in T.METRICS for p in ("mean", "sd")})
+
+
+# ---- cross-validation by complement: L9, L10 -------------------------------------------------
+
+_CV = [("wide", NB_FEATURES), ("narrow", ["l_discount", "l_tax"])]
+_FOLD_SQL = f"CAST(floor({hash_unit_sql(['l_orderkey', 'l_linenumber'], 31)} * 4) AS INTEGER)"
+
+
+def _folded(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", *NB_FEATURES)
+    return li.withColumn("fold", F.floor(hash_unit("l_orderkey", "l_linenumber", seed=31) * 4).cast("int"))
+
+
+def _cv_ctes(features, tag):
+    """Separate fits: every training set is grouped by itself."""
+    stats = ", ".join(f"avg({f}) AS mu_{f}, var_pop({f}) AS var_{f}" for f in features)
+    ll = " + ".join(f"(-0.5 * ln(2 * pi() * (var_{f} + eps)) - ({f} - mu_{f}) * ({f} - mu_{f}) / (2 * (var_{f} + eps)))" for f in features)
+    return f"""tr{tag} AS (SELECT f.fold AS held, b.* FROM b JOIN (SELECT DISTINCT fold FROM b) f ON b.fold <> f.fold),
+      e{tag} AS (SELECT held, count(*) AS n, 1e-9 * greatest({', '.join(f'var_pop({f})' for f in features)}) AS eps FROM tr{tag} GROUP BY held),
+      c{tag} AS (SELECT held, l_returnflag AS c, count(*) AS nc, {stats} FROM tr{tag} GROUP BY held, l_returnflag),
+      p{tag} AS (SELECT b.rid, b.fold, any_value(b.l_returnflag) AS y, arg_max(c, (ln(nc / n) + {ll}, -ascii(c))) AS p
+        FROM b JOIN c{tag} ON c{tag}.held = b.fold JOIN e{tag} ON e{tag}.held = b.fold GROUP BY ALL),
+      q{tag} AS (SELECT fold, c, count(*) FILTER (WHERE y = c) AS a, count(*) FILTER (WHERE p = c) AS s, count(*) FILTER (WHERE y = c AND p = c) AS h
+        FROM p{tag}, (SELECT DISTINCT l_returnflag AS c FROM b) GROUP BY fold, c HAVING count(*) FILTER (WHERE y = c OR p = c) > 0),
+      m{tag} AS (UNPIVOT (SELECT fold, sum(h) / sum(a)::DOUBLE AS accuracy, avg(coalesce(h / nullif(s, 0), 0)) AS precision, avg(coalesce(h / nullif(a, 0), 0)) AS recall,
+        avg(2 * h / (s + a)) AS f1 FROM q{tag} GROUP BY fold) ON accuracy, precision, recall, f1 INTO NAME metric VALUE value)"""
+
+
+_CV_SRC = f"b AS (SELECT *, row_number() OVER () AS rid, {_FOLD_SQL} AS fold FROM lineitem)"
+
+
+@query("l9_naive_bayes_folds", f"WITH {_CV_SRC}, {_cv_ctes(NB_FEATURES, 0)} SELECT fold, metric, {R('value', 9)} AS value FROM m0")
+def _l9_folds(spark, sf):
+    return C.cross_validate_nb(_folded(spark, sf), NB_FEATURES, "l_returnflag", "fold", 4).withColumn("value", rnd("value", 9))
+
+
+@query("l9_metric_means", f"""WITH {_CV_SRC}, {_cv_ctes(NB_FEATURES, 0)}
+    SELECT metric, count(*) AS folds, {R('avg(value)', 9)} AS mean, {R('stddev_samp(value)', 9)} AS sd, {R('min(value)', 9)} AS min, {R('max(value)', 9)} AS max FROM m0 GROUP BY metric""")
+def _l9_means(spark, sf):
+    s = C.metric_summary(C.cross_validate_nb(_folded(spark, sf), NB_FEATURES, "l_returnflag", "fold", 4))
+    return s.withColumns({c: rnd(c, 9) for c in ("mean", "sd", "min", "max")})
+
+
+def _l10_sql():
+    from quarry.catalog.inference import t_p_sql
+
+    return f"""WITH {_CV_SRC}, {_cv_ctes(_CV[0][1], 0)}, {_cv_ctes(_CV[1][1], 1)},
+      s AS (SELECT metric, avg(m0.value) AS a, avg(m1.value) AS b, var_samp(m0.value) / 4 AS va, var_samp(m1.value) / 4 AS vb FROM m0 JOIN m1 USING (fold, metric) GROUP BY metric),
+      t AS (SELECT metric, a, b, (a - b) / sqrt(va + vb) AS t, pow(va + vb, 2) / (pow(va, 2) / 3 + pow(vb, 2) / 3) AS df FROM s)
+      SELECT metric, {R('a', 9)} AS mean1, {R('b', 9)} AS mean2, {R('t', 4)} AS t, {R('df', 4)} AS df, {R(t_p_sql('t', 'df'), 7)} AS p FROM t"""
+
+
+@query("l10_compare_naive_bayes", _l10_sql())
+def _l10_nb(spark, sf):
+    rows = _folded(spark, sf)
+    folds = {n: C.cross_validate_nb(rows, fs, "l_returnflag", "fold", 4) for n, fs in _CV}
+    t = C.compare_models(folds, "wide", "narrow")
+    return t.withColumns({"mean1": rnd("mean1", 9), "mean2": rnd("mean2", 9), "t": rnd("t", 4), "df": rnd("df", 4), "p": rnd("p", 7)})
+
+
+_CV_Y, _CV_X = "l_extendedprice", "l_quantity"
+
+
+@query("l9_regression_folds", f"""WITH {_CV_SRC},
+    f AS (SELECT t.fold AS held, regr_slope({_CV_Y}, {_CV_X}) AS s, regr_intercept({_CV_Y}, {_CV_X}) AS i FROM b JOIN (SELECT DISTINCT fold FROM b) t ON b.fold <> t.fold GROUP BY held),
+    e AS (SELECT fold, {_CV_Y} AS y, {_CV_Y} - i - s * {_CV_X} AS e FROM b JOIN f ON f.held = b.fold),
+    w AS (SELECT fold, avg(e * e) AS mse, avg(abs(e)) AS mae, 1 - avg(e * e) / var_pop(y) AS r2, 1 - var_pop(e) / var_pop(y) AS explained_variance FROM e GROUP BY fold)
+    SELECT fold, metric, {R('value', 3)} AS value FROM (UNPIVOT w ON mse, mae, r2, explained_variance INTO NAME metric VALUE value)""")
+def _l9_regression(spark, sf):
+    return C.cross_validate_ols(_folded(spark, sf), _CV_Y, [_CV_X], "fold", 4).withColumn("value", rnd("value", 3))

@@ -10,8 +10,10 @@ from quarry.functions import distributions as D
 from quarry.functions.rounding import rnd, rnd_sql as R
 from quarry.operators import charts as CH
 from quarry.operators import evaluation as E
+from quarry.operators import sampling as B
 from quarry.operators import stats as X
 from quarry.operators.ordering import hash_unit_sql
+from quarry.operators.sampling import bootstrap_frequency_sql
 from quarry.session import table
 
 LI4 = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -515,3 +517,50 @@ def _e8(spark, sf):
     t = E.comparison_table({"chars": a1, "words": a2}).unionByName(
         E.comparison_table({"chars": acc1, "words": acc2}))
     return t.withColumn("value", rnd("value"))
+
+
+# ---- X2, B5, X11, X12 from frequency tables ------------------------------------------------------
+
+_PHI = ["l_returnflag", "l_linestatus", "l_linenumber"]
+
+
+def _phi_sql():
+    parts = []
+    for i, x in enumerate(_PHI):
+        for y in _PHI[i + 1:]:
+            parts.append(f"""SELECT '{x}' AS var1, CAST(a.v AS VARCHAR) AS level1, '{y}' AS var2, CAST(b.v AS VARCHAR) AS level2, count(*) FILTER (WHERE {x} = a.v AND {y} = b.v) AS n,
+              corr(CAST({x} = a.v AS INTEGER), CAST({y} = b.v AS INTEGER)) AS phi
+              FROM lineitem, (SELECT DISTINCT {x} AS v FROM lineitem) a, (SELECT DISTINCT {y} AS v FROM lineitem) b GROUP BY a.v, b.v HAVING count(*) FILTER (WHERE {x} = a.v AND {y} = b.v) > 0""")
+    return f"SELECT var1, level1, var2, level2, n, {R('phi')} AS phi FROM ({' UNION ALL '.join(parts)})"
+
+
+@query("x2_phi_of_levels", _phi_sql())
+def _x2_levels(spark, sf):
+    return X.phi_coefficients(table(spark, sf, "lineitem"), _PHI).withColumn("phi", rnd("phi"))
+
+
+def _qty():
+    return F.col("__v").cast("int").cast("string")
+
+_FREQ_SQL = bootstrap_frequency_sql("lineitem", "l_quantity", "CAST(l_quantity AS INTEGER)", 1000, 19, ["l_returnflag"])
+
+
+@query("b5_bootstrap_frequencies", f"""SELECT l_returnflag, CAST(rep AS INTEGER) AS rep, CAST(n AS BIGINT) AS n, {R('mean')} AS mean, {R('sd', 5)} AS sd FROM ({_FREQ_SQL})""")
+def _b5_frequencies(spark, sf):
+    b = B.bootstrap_frequency_moments(table(spark, sf, "lineitem"), "l_quantity", 1000, 19, ["l_returnflag"], key=_qty())
+    return b.withColumns({"mean": rnd("mean"), "sd": rnd("sd", 5)})
+
+
+@query("x11_bootstrap_ci_10000", f"""WITH b AS ({bootstrap_frequency_sql('lineitem', 'l_quantity', 'CAST(l_quantity AS INTEGER)', 10000, 23)})
+    SELECT count(*) AS replicates, {', '.join(f"{R(f'avg({c})', 5)} AS {c}_est, {R(f'quantile_cont({c}, 0.025)', 5)} AS {c}_lo, {R(f'quantile_cont({c}, 0.975)', 5)} AS {c}_hi" for c in ('mean', 'sd'))} FROM b""")
+def _x11_many(spark, sf):
+    return round_doubles(X.bootstrap_frequency_ci(table(spark, sf, "lineitem"), "l_quantity", 10000, 23, key=_qty()), 5)
+
+
+@query("x12_bootstrap_t_10000", f"""WITH b AS ({bootstrap_frequency_sql("(SELECT * FROM lineitem WHERE l_returnflag IN ('A', 'R'))", 'l_quantity', 'CAST(l_quantity AS INTEGER)', 10000, 29, ['l_returnflag'])}),
+    g AS (SELECT l_returnflag AS f, count(*) AS n, avg(l_quantity) AS m, var_samp(l_quantity) AS v FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1),
+    o AS (SELECT a.m - b.m AS gap, (a.m - b.m) / sqrt(a.v / a.n + b.v / b.n) AS t FROM g a, g b WHERE a.f = 'A' AND b.f = 'R'),
+    s AS (SELECT x.rep, (x.mean - y.mean - gap) / sqrt(x.sd * x.sd / x.n + y.sd * y.sd / y.n) AS ts FROM b x JOIN b y ON x.rep = y.rep AND x.l_returnflag = 'A' AND y.l_returnflag = 'R', o)
+    SELECT {R('any_value(t)')} AS t_obs, {R('avg(CASE WHEN abs(ts) >= abs(t) THEN 1.0 ELSE 0.0 END)')} AS p, count(*) AS replicates FROM s, o""")
+def _x12_many(spark, sf):
+    return round_doubles(X.bootstrap_frequency_t_test(table(spark, sf, "lineitem"), "l_quantity", "l_returnflag", "A", "R", 10000, 29, key=_qty()))

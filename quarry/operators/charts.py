@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import distributions as D
 from quarry.operators.aggregates import group_quantiles
+from quarry.operators.ordering import join_null_safe
 from quarry.operators.sampling import hash_sample
 
 
@@ -38,7 +39,8 @@ def box_stats(df: DataFrame, group: str, value: str, exact: bool = True) -> Data
     quart = group_quantiles(df, [group], [value], [0.25, 0.5, 0.75], exact).select(
         group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     # value frequencies, not raw rows, meet the quartiles: a hot group is pre-aggregated
-    j = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("__n")).join(quart, group)
+    freq = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
+    j = join_null_safe(freq, quart, [group])
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     inside = (F.col(value) >= lo_f) & (F.col(value) <= hi_f)
@@ -84,22 +86,24 @@ def kde(df: DataFrame, col: str, group: str, points: int = 64, bins: int = 1024)
     bins of the group's range; the grid (``points`` per group, generated with
     ``explode(sequence)``) is joined to that table on the group, so the work
     is groups x points x bins whatever the row count. Bandwidth: Scott's rule
-    sd * n^(-1/5).
+    sd * n^(-1/5). Frequencies of values, not raw rows, meet the group table; a
+    NULL group is a group; the density of a constant or one-row group is NULL.
     """
     g = df.groupBy(group).agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.stddev_samp(col).alias("sd"),
                               F.count(col).alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
-    x = df.where(F.col(col).isNotNull()).select(group, col).join(g.select(group, "lo", "hi"), group)
+    freq = df.where(F.col(col).isNotNull()).groupBy(group, col).agg(F.count(F.lit(1)).alias("__c"))
+    x = join_null_safe(freq, g.select(group, "lo", "hi"), [group])
     b = F.least(F.floor((F.col(col) - F.col("lo")) / F.when(width == 0, F.lit(1.0)).otherwise(width)),
                 F.lit(bins - 1))
-    vals = x.groupBy(group, b.alias("__bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("c")).select(
+    vals = x.groupBy(group, b.alias("__bin"), "lo", "hi").agg(F.sum("__c").alias("c")).select(
         group, (F.col("lo") + (F.col("__bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins).alias("__centre"), "c")
     g = g.withColumn("h", F.col("sd") * F.pow(F.col("n"), -0.2)).withColumn(
         "i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     g = g.withColumn("x", F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / (points - 1))
-    j = g.join(vals, group)
-    k = F.col("c") * F.exp(-0.5 * ((F.col("x") - F.col("__centre")) / F.col("h")) ** 2)
-    return j.groupBy(group, "i", "x").agg((F.sum(k) / (F.first("n") * F.first("h") * F.lit(2.5066282746310002)))
+    j = join_null_safe(g, vals, [group])
+    k = F.col("c") * F.exp(-0.5 * F.try_divide(F.col("x") - F.col("__centre"), F.col("h")) ** 2)
+    return j.groupBy(group, "i", "x").agg(F.try_divide(F.sum(k), F.first("n") * F.first("h") * F.lit(2.5066282746310002))
                                           .alias("density"))
 
 

@@ -89,6 +89,36 @@ def drop_reference(df: DataFrame, prefix: str, level: str) -> DataFrame:
     return df.drop(f"{prefix}_{level}")
 
 
+def one_hot_sparse(df: DataFrame, codes: DataFrame, col: str, name: str | None = None, reference: object = None) -> DataFrame:
+    """T3 / T4 for any number of levels: a sparse vector column instead of one column per level.
+
+    ``codes`` is the level index of :func:`fit_codes`; it is joined, never
+    collected. The vector of a level has a 1 at its code; NULL and unseen levels,
+    and the named ``reference`` level (T4), have no entry. The size is the number
+    of levels, one aggregate.
+    """
+    from pyspark.ml.feature import OneHotEncoderModel, OneHotEncoder
+
+    name = name or f"{col}_vec"
+    levels = codes.count()
+    known = codes.select(F.col(col).alias("__level"), F.col("code").cast("double").alias("__code"))
+    out = df.join(known, df[col] == known["__level"], "left").drop("__level")
+    dropped = F.col("__code").isNull()
+    if reference is not None:
+        dropped = dropped | (F.col(col) == F.lit(reference))
+    out = out.withColumn("__code", F.when(dropped, F.lit(float(levels))).otherwise(F.col("__code")))
+    sizes = df.sparkSession.createDataFrame([(float(levels),)], "__code double")  # the last category is the empty one
+    encoder: OneHotEncoderModel = OneHotEncoder(inputCols=["__code"], outputCols=[name], dropLast=True).fit(sizes)
+    return encoder.transform(out).drop("__code")
+
+
+def sparse_entries(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, position, value) of the entries that a sparse vector column stores."""
+    v = F.unwrap_udt(F.col(vector))
+    cells = F.explode(F.arrays_zip(v["indices"].alias("position"), v["values"].alias("value"))).alias("e")
+    return df.select(key, cells).select(key, F.col("e").getField("position").alias("position"), F.col("e").getField("value").alias("value"))
+
+
 def ordinal(col: Column | str, ordered_levels: Sequence[str]) -> Column:
     """T5: position in an ordered level list (0-based); unknown / NULL -> -1."""
     c = F.col(col) if isinstance(col, str) else col

@@ -18,13 +18,17 @@ from pyspark.sql import functions as F
 from quarry.operators.ordering import global_row_number
 
 
+BROADCAST_ROWS = 100_000
+
+
 def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str], bounded: bool = False) -> DataFrame:
     """Left outer equi-join to a lookup table.
 
-    ``bounded=True`` asserts that ``dim`` has a fixed size (for example a
-    literal code list); only then is it broadcast explicitly.
+    ``bounded=True`` says that ``dim`` should be small (for example a code
+    list). It is counted, up to ``BROADCAST_ROWS``, and broadcast only if it is.
     """
-    right = F.broadcast(dim) if bounded else dim
+    small = bounded and dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    right = F.broadcast(dim) if small else dim
     return df.join(right, on, "left")
 
 

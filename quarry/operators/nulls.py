@@ -74,7 +74,7 @@ def hot_deck(
     spread by their value and can be picked like the others; flagged rows
     without a key share one draw.
     """
-    marked = df.withColumn("__flag", flagged)
+    marked = df.withColumn("__flag", F.coalesce(flagged, F.lit(False)))
     identity = F.coalesce(F.col("__dkey").cast("string"), F.col("__dval").cast("string"), F.lit(""))
     donors = marked.where(~F.col("__flag")).select(
         F.col(key).alias("__dkey"), F.col(col).alias("__dval")
@@ -87,17 +87,11 @@ def hot_deck(
     numbered = numbered.join(F.broadcast(offsets.drop("__n")), "__b").select(
         (F.col("__r") - 1 + F.col("__off")).alias("__donor"), "__dval"
     )
-    # unflagged rows get distinct negative keys that never match: NULL keys
-    # would all hash to one reducer of the join (one task for most rows)
-    spread = -(F.lit(1) + F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30))).cast("long")
-    picks = marked.withColumn(
-        "__donor", F.when(F.col("__flag"), F.floor(hash_unit(F.coalesce(F.col(key).cast("string"), F.lit("")), seed=seed) * n_donors).cast("long"))
-        .otherwise(spread)
-    )
-    out = picks.join(numbered, "__donor", "left")
-    return out.withColumn(col, F.when(F.col("__flag"), F.col("__dval")).otherwise(F.col(col))).drop(
-        "__flag", "__donor", "__dval"
-    )
+    # only flagged rows meet the donors; all others pass by without a shuffle
+    draw = hash_unit(F.coalesce(F.col(key).cast("string"), F.lit("")), seed=seed)
+    picks = marked.where("__flag").withColumn("__donor", F.floor(draw * n_donors).cast("long"))
+    replaced = picks.join(numbered, "__donor", "left").withColumn(col, F.col("__dval").cast(df.schema[col].dataType))
+    return marked.where("NOT __flag").select(*df.columns).union(replaced.select(*df.columns))
 
 
 def recode_unknown(df: DataFrame, col: str, tokens: Sequence[str], to: str = "Unknown") -> DataFrame:

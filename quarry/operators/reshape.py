@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pivot_counts(df: DataFrame, row: str, col: str, levels: Sequence) -> DataFrame:
+def _other(col: str, levels: Sequence) -> Column:
+    return ~F.coalesce(F.col(col).isin(list(levels)), F.lit(False))
+
+
+def pivot_counts(df: DataFrame, row: str, col: str, levels: Sequence, other: str | None = None) -> DataFrame:
     """Counts of ``col`` levels per ``row`` value, zero filled.
 
     The level list is fixed by the caller (column order of the result), so
-    Spark does not run a separate job to discover it.
+    Spark does not run a separate job to discover it. ``other`` names a column
+    that counts the rows of all other values, NULL included; without it these
+    rows are not counted, but their ``row`` value stays.
     """
-    out = df.groupBy(row).pivot(col, list(levels)).count()
     names = [str(v) for v in levels]
+    if other is not None:
+        counts = [F.count_if(F.col(col) == F.lit(v)).alias(n) for v, n in zip(levels, names)]
+        return df.groupBy(row).agg(*counts, F.count_if(_other(col, levels)).alias(other))
+    out = df.groupBy(row).pivot(col, list(levels)).count()
     return out.na.fill(0, subset=names).select(row, *[F.col(n).cast("long").alias(n) for n in names])
 
 
@@ -29,8 +38,12 @@ def pivot_values(df: DataFrame, key: str, level_col: str, value: str, levels: Se
     )
 
 
-def pivot_stats(df: DataFrame, row: str, col: str, value: str, levels: Sequence) -> DataFrame:
-    """Statistics table to wide, one column per (level, statistic)."""
+def pivot_stats(df: DataFrame, row: str, col: str, value: str, levels: Sequence, other: str | None = None) -> DataFrame:
+    """Statistics table to wide, one column per (level, statistic); ``other`` names the
+    level that stands for all values outside the list, NULL included."""
+    if other is not None:
+        merged = F.when(_other(col, levels), F.lit(other)).otherwise(F.col(col).cast("string"))
+        return pivot_stats(df.withColumn(col, merged), row, col, value, [*map(str, levels), other])
     return df.groupBy(row).pivot(col, list(levels)).agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std")
     )

@@ -10,23 +10,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True, sep: str = ",",
-             null_value: str | None = None, comment: str | None = None) -> DataFrame:
+             null_value: str | None = None, comment: str | None = None, corrupt: str | None = None) -> DataFrame:
     """Delimited text with a given schema.
 
     ``sep`` may be several characters (S3); ``null_value`` maps one token to
-    NULL (S4); ``comment`` skips lines starting with it (S6). Gzip input is
+    NULL (S4); ``comment`` skips lines starting with it (S6); ``corrupt`` adds a
+    column with the text of lines that don't fit the schema. Gzip input is
     read natively (S7): one task per file, so repartition after the scan when
     a few large .gz files feed a wide job.
     """
+    if corrupt is not None:
+        fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        schema = StructType([*fields.fields, StructField(corrupt, StringType())])
     r = spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
     if null_value is not None:
         r = r.option("nullValue", null_value)
     if comment is not None:
         r = r.option("comment", comment)
+    if corrupt is not None:
+        r = r.option("columnNameOfCorruptRecord", corrupt)
     return r.csv(path)
 
 
@@ -42,13 +48,52 @@ def null_tokens(df: DataFrame, cols: Sequence[str], tokens: Sequence[str]) -> Da
         for c in cols})
 
 
-def read_skipping(spark: SparkSession, path: str, schema: StructType, skip_pattern: str, sep: str = ",") -> DataFrame:
-    """Spark's CSV reader has no ``skiprows``; scan as text, drop the lines
-    matching ``skip_pattern`` (e.g. a banner line), parse the rest with ``from_csv``."""
-    lines = spark.read.text(path).where(~F.col("value").rlike(skip_pattern))
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, __file, __head, __id): lines with their file; ``__head``: in the file's first block.
+
+    Lines of a block are read in order by one task, so ids of a block are consecutive.
+    """
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("__file"), (F.col("_metadata.file_block_start") == 0).alias("__head"),
+        F.monotonically_increasing_id().alias("__id"))
+
+
+def _parsed(lines: DataFrame, schema: StructType, sep: str, corrupt: str | None) -> DataFrame:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = lines.select(F.from_csv("value", ddl, {"sep": sep}).alias("r"))
-    return parsed.select("r.*")
+    options = {"sep": sep, "mode": "PERMISSIVE"}
+    if corrupt is not None:
+        ddl += f", `{corrupt}` string"
+        options["columnNameOfCorruptRecord"] = corrupt
+    return lines.select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
+
+
+def read_skipping(spark: SparkSession, path: str, schema: StructType, skip_pattern: str, sep: str = ",",
+                  corrupt: str | None = None) -> DataFrame:
+    """Skip the lines that match ``skip_pattern`` at the head of each file (a banner).
+
+    Spark's CSV reader has no ``skiprows``: lines are read as text, the first
+    line of each file that doesn't match is found (one row per file), and only
+    matching lines before it go. A data line that looks like a banner stays.
+    ``corrupt`` names a column that holds the text of malformed lines.
+    """
+    lines = _placed_lines(spark, path)
+    begins = lines.where(F.col("__head") & ~F.col("value").rlike(skip_pattern)).groupBy("__file").agg(F.min("__id").alias("__first"))
+    banner = F.col("__head") & F.col("value").rlike(skip_pattern) & F.coalesce(F.col("__id") < F.col("__first"), F.lit(True))
+    return _parsed(lines.join(begins, "__file", "left").where(~banner), schema, sep, corrupt)
+
+
+def read_after_lines(spark: SparkSession, path: str, schema: StructType, skip: int, sep: str = ",",
+                     corrupt: str | None = None) -> DataFrame:
+    """Skip the first ``skip`` lines of each file, whatever they hold (they must lie in its first block)."""
+    lines = _placed_lines(spark, path)
+    begins = lines.where("__head").groupBy("__file").agg(F.min("__id").alias("__first"))
+    leading = F.col("__head") & (F.col("__id") - F.col("__first") < skip)
+    return _parsed(lines.join(begins, "__file", "left").where(~leading), schema, sep, corrupt)
+
+
+def malformed_rows(df: DataFrame, corrupt: str) -> DataFrame:
+    """How many rows were read and how many of them did not fit the schema."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(corrupt).alias("n_malformed"))
 
 
 def parse_datetime_columns(df: DataFrame, date_col: str, time_col: str, fmt: str, name: str) -> DataFrame:
