@@ -7,9 +7,15 @@ left out, with all they hold. The first pass classifies every block by length,
 link density and stop-word density as good, bad or undecided (short, or few
 stop words). In the second pass undecided blocks inherit the label of the
 nearest decided blocks before and after them; if those differ, a heading goes
-with what follows and any other block is good only between good ones.
+with what follows and any other block is good only between good ones. A heading
+that is kept counts as decided for the short blocks below it; after the last
+decided block the one decided neighbour is the one before. Where no block at
+all is decided good, the undecided ones are the text.
 
-The edges of a page count as bad.
+An element that is furniture by its class, id or role alone, or is a form, is
+read after all if it holds the page's ``article`` or ``main``, or more than half of
+the text outside links; one that names reader comments never is. Words such as
+``has-sidebar`` or ``no-comments`` speak about the page and hide nothing.
 
 The stop words are those of four languages. On a page where the blocks with
 stop words hold less than half of the text that is not linked and not short,
@@ -35,6 +41,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -57,6 +64,7 @@ HINTS = (
     "comments commentlist disqus respond reply replies share sharing social related recommended newsletter subscribe signup "
     "widget toolbar skip pagination pager"
 ).split()
+REMARKS = "comment comments commentlist disqus respond reply replies".split()  # of the hints, never the main part
 STOP_WORDS = (
     "the of and to in a is that it for was on are as with be this by at from or an not have has but they which you we his her "
     "der die das und in den von zu mit sich des auf ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach "
@@ -72,8 +80,9 @@ TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 PAIRED = re.compile(r"<(/?)(" + "|".join(HIDDEN) + r")(?![\w:-])", re.IGNORECASE)
-MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+MARK = re.compile(r"(?<![\w:.-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
+LAYOUT = re.compile(r"(?:has|have|no|not|with|without|is|show|hide|hidden)[-_].*")  # has-sidebar: about the page, not the element
 LATIN = re.compile(r"[A-Za-z\u00aa-\u024f\u1e00-\u1eff]")
 LETTER = re.compile(r"[^\W\d_]")
 WIDE = re.compile(r"[\u1100-\u115f\u2e80-\ua4cf\uac00-\ud7a3\uf900-\ufaff\uff00-\uff60\U00020000-\U0003fffd]")
@@ -106,18 +115,33 @@ class Reader:
 
     def __init__(self) -> None:
         self.concealed, self.furniture, self.blocks_at, self.void = set(HIDDEN), set(FURNITURE), set(BLOCKS), set(VOID)
-        self.hints = set(HINTS)
+        self.hints, self.remarks = set(HINTS), set(REMARKS)
 
-    def furniture_named(self, attributes: str) -> bool:
+    def named(self, attributes: str, hints: set[str]) -> bool:
         return any(
-            not self.hints.isdisjoint(NAME.findall((m[1] or m[2] or m[3] or "").lower())) for m in MARK.finditer(attributes)
+            not hints.isdisjoint(NAME.findall(token))
+            for m in MARK.finditer(attributes) for token in (m[1] or m[2] or m[3] or "").lower().split() if not LAYOUT.fullmatch(token)
         )
 
     def read(self, page: str) -> tuple[list[tuple[str, float, bool, bool]], bool]:
-        """([(text, link density, is a heading, inside the main part)], has a main part with most of the text)."""
+        """([(text, link density, is a heading, inside the main part)], has a main part with most of the text).
+
+        Elements that only their names or being a form make furniture are read
+        after all if they hold more than half of the text outside links.
+        """
+        found, has_main, whole = self.pass_over(page, frozenset())
+        return self.pass_over(page, whole)[:2] if whole else (found, has_main)
+
+    def pass_over(self, page: str, whole: frozenset[int]) -> tuple[list[tuple[str, float, bool, bool]], bool, frozenset[int]]:
+        """The blocks, and the places of elements named like furniture that hold most of the text; those in ``whole`` are read."""
         out: list[Block] = []
         block, at = Block(False), 0
-        open_tags: list[tuple[str, bool]] = []  # (name, starts furniture or a hidden element)
+        # name, starts furniture or a hidden element, is so by its name only, place, characters read or hidden before it
+        open_tags: list[tuple[str, bool, bool, int, int]] = []
+        opened: Counter = Counter()  # how many of each name are open
+        hard = 0  # open furniture and hidden elements that are so by their element
+        plain = 0  # characters outside links, hard furniture left out
+        large: list[tuple[int, int]] = []  # (place, characters) of elements hidden by their name
         closed = closed_tags(page)
         unclosed = 0  # open hidden elements without an end tag, named "" in open_tags: they end at the next block
         hidden = links = mains = 0
@@ -129,7 +153,23 @@ class Reader:
                 out.append(block)
             block = Block(mains > 0)
 
+        def leave() -> str:
+            """Close the innermost open tag."""
+            nonlocal hidden, hard, links, mains, unclosed
+            n, starts, soft, place, seen = open_tags.pop()
+            opened[n] -= 1
+            hidden -= starts
+            hard -= starts and not soft
+            links -= n == "a"
+            unclosed -= n == ""
+            if soft:
+                large.append((place, plain - seen))
+            return n
+
         def text(piece: str) -> None:
+            nonlocal plain
+            if not hard and not links and piece:
+                plain += len(piece.strip())
             if not hidden and piece:
                 decoded = html.unescape(piece)
                 block.parts.append(decoded)
@@ -152,40 +192,40 @@ class Reader:
                 text(" ")
             if name in self.blocks_at:
                 while unclosed:
-                    n, starts = open_tags.pop()
-                    hidden -= starts
-                    links -= n == "a"
-                    unclosed -= n == ""
+                    leave()
                 close()
             if name in self.void or m[4].endswith("/") and not ends and name not in self.blocks_at:
                 continue
             if ends:
-                if any(n == name for n, _ in open_tags):
+                if opened[name] > 0:
                     while open_tags:
-                        n, starts = open_tags.pop()
-                        hidden -= starts
-                        links -= n == "a"
+                        n = leave()
                         mains -= n in ("article", "main")
-                        unclosed -= n == ""
                         if n == name:
                             break
                 block.inside = mains > 0
                 continue
-            if name in ("p", "li") and any(n == name for n, _ in open_tags[-3:]):
+            if name in ("p", "li") and any(t[0] == name for t in open_tags[-3:]):
                 while open_tags:  # a new paragraph ends the open one
-                    n, starts = open_tags.pop()
-                    hidden -= starts
-                    links -= n == "a"
-                    if n == name:
+                    if leave() == name:
                         break
-            starts = name in self.concealed or name in self.furniture or (name == "header" and not mains) or (
-                name not in ("html", "body", "article", "main") and self.furniture_named(m[4])
-            )
+            starts = name in self.concealed or name in self.furniture and name != "form" or (name == "header" and not mains) or (
+                name not in ("html", "body", "article", "main") and self.named(m[4], self.remarks))
+            named = name not in ("html", "body", "main") and (name == "form" or self.named(m[4], self.hints))
+            if name == "article":
+                named = named and hidden > 0  # a comment among comments, not the article of the page
+            soft = named and not starts and m.start() not in whole
+            if name in ("article", "main") and hidden and not hard and not has_main and not named:
+                # what holds the main part is no furniture, whatever its name
+                open_tags = [(n, s and not f, False, p, c) for n, s, f, p, c in open_tags]
+                hidden = 0
             if name in self.concealed and m.start() not in closed:
                 name = ""
                 unclosed += 1
-            open_tags.append((name, starts))
-            hidden += starts
+            open_tags.append((name, starts or soft, soft, m.start(), plain))
+            opened[name] += 1
+            hidden += starts or soft
+            hard += starts
             links += name == "a"
             if name in ("article", "main"):
                 mains += 1
@@ -202,9 +242,12 @@ class Reader:
             if words:
                 found.append((words, b.linked / len(words), b.heading, b.inside))
                 free[b.inside] += max(0, len(words) - b.linked)
+        while open_tags:
+            leave()
+        most = frozenset(place for place, size in large if 2 * size > plain) if not whole and not has_main else frozenset()
         if has_main and free[0] > free[1]:
-            return [(words, links, heading, False) for words, links, heading, _ in found], False
-        return found, has_main
+            return [(words, links, heading, False) for words, links, heading, _ in found], False, most
+        return found, has_main, most
 
 
 def latin(words: str) -> bool:
@@ -246,16 +289,23 @@ def classify(blocks: list[tuple[str, float, bool, bool]], has_main: bool, stops:
     for x, (_, _, _, inside) in zip(label, blocks):
         before.append(last)
         last = x if x is not None and (inside or not has_main) else last
-    out, follow = [False] * len(blocks), None
+    out, after, follow = [False] * len(blocks), [False] * len(blocks), None
     for i in range(len(blocks) - 1, -1, -1):
         _, _, heading, inside = blocks[i]
         here = label[i]
+        after[i] = follow is True or follow is None and before[i] is True
         if here is None:
             # in the main part only link lists are bad, and they don't spoil what stands beside them
-            here = (has_main and inside) or follow is True and (heading or before[i] is True)
+            here = (has_main and inside) or follow is True and (heading or before[i] is True) or not heading and follow is None and before[i] is True
         elif inside or not has_main:
             follow = here
         out[i] = here
+    if not has_main:
+        if not any(out):  # only short blocks: nothing speaks against those that are undecided
+            return [x is None for x in label]
+        for i in range(1, len(blocks)):  # a heading that is kept is a decided neighbour of what it stands above
+            if label[i] is None and not out[i] and out[i - 1] and (blocks[i - 1][2] or label[i - 1] is None) and after[i]:
+                out[i] = True
     return out
 
 
