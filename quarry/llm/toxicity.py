@@ -10,8 +10,12 @@ pass: ``((sum of factors)**2 - sum of squared factors) / 2``.
 The machine is fitted on at most about ``ROWS`` labelled rows, those with the
 smallest hash of the identifier. That bound is a parameter; scoring reads whole
 texts of all rows. Terms in fewer than ``LEAST_ROWS`` of the fitted rows, and
-terms that the labels don't tell apart, keep weight 0, so a long text doesn't
-pile up chance weights.
+terms that tell the labels apart neither alone nor in a pair, keep weight 0, so a
+long text doesn't pile up chance weights. A term is told apart alone by its share
+among the labels (``LEAST_Z`` standard errors), in a pair by the share of rows
+that hold both (``PAIR_Z``): terms that say nothing by themselves are learned if
+they do together. Pairs are counted among the telling terms and the ``PAIR_TERMS``
+most frequent others of the fitted rows, a parameter of the fit.
 
 Defined cases: a NULL or empty text has the score of the bias alone; without
 labelled rows every score is 0; labels other than 0 and 1 and rows without an
@@ -37,6 +41,7 @@ FACTORS = 4
 STEMS = (4, 6)
 ROWS = 12_000
 LEAST_ROWS, LEAST_Z = 4, 5.0
+PAIR_TERMS, PAIR_Z = 2048, 20.0
 PASSES, LEAST_STEPS = 5, 1500
 BATCH = 64
 CUT = 0.7
@@ -92,12 +97,53 @@ def telling(terms: np.ndarray, label: np.ndarray, labels: np.ndarray) -> np.ndar
     return (rows >= LEAST_ROWS) & (np.abs(with_one / ones - (rows - with_one) / zeros) >= LEAST_Z * spread)
 
 
+def telling_pairs(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Terms in a pair whose joint share differs between the labels by ``PAIR_Z`` standard errors.
+
+    The pairs of ``alone`` and the most frequent other terms, from the two
+    co-occurrence matrices; what the shares of both terms alone would make of a
+    pair is taken off, so a telling term does not drag in all others.
+    """
+    n, ones = len(labels), labels.sum()
+    out = np.zeros(TERMS, bool)
+    if not 0 < ones < n:
+        return out
+    rows = np.bincount(terms, minlength=TERMS)
+    common = np.argsort(-np.where(alone, 0, rows), kind="stable")[:PAIR_TERMS]
+    chosen = np.unique(np.concatenate([np.flatnonzero(alone)[:PAIR_TERMS], common[rows[common] >= LEAST_ROWS]]))
+    place = np.full(TERMS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    row = np.repeat(np.arange(n), np.diff(ends, prepend=0))
+    use = place[terms] >= 0
+    row, column = row[use], place[terms[use]]
+    both = [np.zeros((len(chosen), len(chosen)), np.float32) for _ in range(2)]
+    for lo in range(0, n, 1024):
+        inside = slice(*np.searchsorted(row, (lo, lo + 1024)))
+        dense = np.zeros((min(1024, n - lo), len(chosen)), np.float32)
+        dense[row[inside] - lo, column[inside]] = 1.0
+        for k, of in enumerate((labels[lo : lo + 1024] == 0, labels[lo : lo + 1024] == 1)):
+            both[k] += dense[of].T @ dense[of]
+    sizes = (n - ones, ones)
+    shares = [b / s for b, s in zip(both, sizes)]
+    single = [np.diag(s).copy() for s in shares]
+    gap = (shares[1] - np.outer(single[1], single[1])) - (shares[0] - np.outer(single[0], single[0]))
+    joint = (both[0] + both[1]) / n
+    spread = np.sqrt(np.maximum(joint * (1 - joint), 1.0 / n) * (1 / sizes[0] + 1 / sizes[1]))
+    found = np.abs(gap) >= PAIR_Z * spread
+    np.fill_diagonal(found, False)
+    # words and their stems always stand together: such a pair says nothing that one of them doesn't
+    alike = joint >= 0.9 * np.minimum(np.diag(joint)[:, None], np.diag(joint)[None, :])
+    out[chosen[(found & ~alike).any(axis=1)]] = True
+    return out
+
+
 def fit(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, factors: int = FACTORS, passes: int = PASSES,
         rate: float = 0.05, decay: float = 2e-5, seed: int = 7) -> Machine:
     """Adaptive gradient steps on the logistic loss, in mini-batches."""
     n = len(labels)
     begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     used = telling(terms, np.repeat(labels, ends - begins), labels)
+    used |= telling_pairs(terms, ends, labels, used)
     rng = np.random.Generator(np.random.PCG64(seed))
     table = np.zeros((TERMS, 1 + factors), np.float32)
     table[used, 1:] = rng.normal(0, 0.01, (int(used.sum()), factors))

@@ -423,3 +423,56 @@ def test_functions_travel_without_the_package():
 
     payload = cloudpickle.dumps(near_duplicates.shingle_sets)
     assert b"runs_of_rows" in payload
+
+
+def test_machine_learns_balanced_terms_that_differ_as_a_pair():
+    rng = np.random.default_rng(1)
+    held = rng.random((6000, 2)) < 0.5
+    fill = [f"filler{i}" for i in range(200)]
+    texts = [" ".join([*rng.choice(fill, 8), *(["alpha"] if a else []), *(["omega"] if b else [])]) for a, b in held]
+    labels = (held[:, 0] != held[:, 1]).astype(float)
+    hasher = toxicity.term_words()
+    learned, rest = (toxicity.terms_of(hasher, *utf8(pa.array(part))) for part in (texts[:4000], texts[4000:]))
+    machine = toxicity.fit(*learned, labels[:4000])
+    assert ((machine.score(*rest) > 0.5) == (labels[4000:] == 1)).mean() > 0.95
+    none = toxicity.telling_pairs(*learned, np.zeros(4000), np.zeros(toxicity.TERMS, bool))
+    assert not none.any()
+
+
+PROSE = "The cat sat on the mat and it was the best of all the days that we had. " * 4
+
+
+@pytest.mark.parametrize("page", [
+    "<div class=\"layout has-sidebar\"><article><p>{}</p></article></div>",
+    "<div class=\"no-comments\"><article><p>{}</p></article></div>",
+    "<form id=\"aspnetForm\"><nav>Menu</nav><article><p>{}</p></article></form>",
+    "<form id=\"aspnetForm\"><nav>Menu</nav><div><p>{}</p></div></form>",
+    "<article><div data-id=\"social\"><p>{}</p></div></article>",
+    "<div id=\"sidebar-wrap\"><main><p>{}</p></main></div>",
+    "<div class=\"widget\"><p>{}</p></div><div class=\"ad\">Buy it now</div>",
+    "<p>{}</p><div id=\"comments\"><article><p>I like the cat and it is the best of all.</p></article></div>",
+])
+def test_layout_words_hide_no_page(page):
+    reader, stops = main_text.Reader(), set(main_text.STOP_WORDS)
+    assert main_text.main_text(f"<html><body>{page.format(PROSE)}</body></html>", reader, stops) == PROSE.strip()
+
+
+def test_pages_without_article_tags_read_the_same(duck):
+    reader, stops = main_text.Reader(), set(main_text.STOP_WORDS)
+    hit = wrong = missed = 0
+    for (page,) in duck.execute("SELECT html FROM pages").fetchall():
+        plain = re.sub(r"<(/?)(?:article|main)\b", r"<\1div", page)
+        tagged, found = (set(main_text.main_text(p, reader, stops).split("\n")) for p in (page, plain))
+        hit, wrong, missed = hit + len(tagged & found), wrong + len(found - tagged), missed + len(tagged - found)
+    assert hit / (hit + missed) > 0.95 and hit / (hit + wrong) > 0.95
+
+
+def test_stray_end_tags_take_linear_time():
+    import time
+
+    reader, stops, took = main_text.Reader(), set(main_text.STOP_WORDS), []
+    for n in (5_000, 40_000):
+        began = time.perf_counter()
+        main_text.main_text("<b>" * n + "x" + "</i>" * n, reader, stops)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 30 * max(took[0], 0.02)
