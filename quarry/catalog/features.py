@@ -518,3 +518,39 @@ def _t3_sparse(spark, sf):
     first = o.agg(F.min("o_custkey")).first()[0]
     v = T.one_hot_sparse(o, T.fit_codes(o, "o_custkey"), "o_custkey", "v", reference=first)
     return T.sparse_entries(v, "o_orderkey", "v")
+
+
+_CLS = ["F", "O", "P"]
+
+
+@query("t7_class_encoding", f"""WITH tr AS (SELECT o_orderpriority, o_orderstatus FROM orders WHERE {_TE_TRAIN}),
+    pr AS (SELECT {', '.join(f"avg(CAST(o_orderstatus = '{c}' AS DOUBLE)) AS p{c}" for c in _CLS)} FROM tr),
+    st AS (SELECT o_orderpriority, count(*) AS n, {', '.join(f"avg(CAST(o_orderstatus = '{c}' AS DOUBLE)) AS m{c}" for c in _CLS)} FROM tr GROUP BY 1),
+    e AS (SELECT o_orderpriority, {', '.join(f"CASE WHEN n = 1 THEN p{c} ELSE p{c} * (1 - 1 / (1 + exp(-(n - 1) / 1.0))) + m{c} / (1 + exp(-(n - 1) / 1.0)) END AS e{c}" for c in _CLS)} FROM st, pr)
+    SELECT o_orderkey, {', '.join(f'{R(f"coalesce(e{c}, p{c})")} AS "o_orderpriority_{c}"' for c in _CLS)} FROM orders LEFT JOIN e USING (o_orderpriority), pr WHERE NOT ({_TE_TRAIN})""")
+def _t7_classes(spark, sf):
+    o = table(spark, sf, "orders")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    enc = T.fit_class_encoding(o.where(F.col("o_orderdate") < cut), "o_orderpriority", "o_orderstatus", _CLS)
+    test = o.where(~(F.col("o_orderdate") < cut)).select("o_orderkey", "o_orderpriority")
+    out = T.apply_class_encoding(test, enc, "o_orderpriority", _CLS)
+    return out.select("o_orderkey", *[rnd(f"o_orderpriority_{c}").alias(f"o_orderpriority_{c}") for c in _CLS])
+
+
+_ROW = ["l_quantity", "l_discount", "l_tax"]
+
+
+@query("t2_scale_rows", f"""WITH m AS (SELECT *, (l_quantity + l_discount + l_tax) / 3 AS m FROM lineitem),
+    s AS (SELECT *, sqrt((pow(l_quantity - m, 2) + pow(l_discount - m, 2) + pow(l_tax - m, 2)) / 3) AS s FROM m)
+    SELECT l_orderkey, l_linenumber, {', '.join(f'{R(f"({c} - m) / s")} AS {c}_r' for c in _ROW)} FROM s""")
+def _t2_rows(spark, sf):
+    out = T.scale_rows(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *_ROW), _ROW, "_r")
+    return out.select("l_orderkey", "l_linenumber", *[rnd(f"{c}_r").alias(f"{c}_r") for c in _ROW])
+
+
+@query("j6_columns_of_the_same_row", "SELECT p_partkey, p_retailprice, CAST(p_type = 'PROMO' AS INTEGER) AS promo, p_retailprice / 2 AS half FROM part")
+def _j6(spark, sf):
+    from quarry.operators.joins import add_columns_same_rows
+
+    p = table(spark, sf, "part").select("p_partkey", "p_retailprice", "p_type")
+    return add_columns_same_rows(p, {"promo": (F.col("p_type") == "PROMO").cast("int"), "half": F.col("p_retailprice") / 2}).drop("p_type")

@@ -421,3 +421,34 @@ _CV_Y, _CV_X = "l_extendedprice", "l_quantity"
     SELECT fold, metric, {R('value', 3)} AS value FROM (UNPIVOT w ON mse, mae, r2, explained_variance INTO NAME metric VALUE value)""")
 def _l9_regression(spark, sf):
     return C.cross_validate_ols(_folded(spark, sf), _CV_Y, [_CV_X], "fold", 4).withColumn("value", rnd("value", 3))
+
+
+# ---- kernel machines: L5, L6 -----------------------------------------------------------------
+
+
+def _scaled_orders(spark, sf):
+    from quarry.operators.features import apply_zscore, fit_zscore
+
+    data = order_features(spark, sf).withColumn("y", (F.col("status") == 0).cast("int"))
+    data = apply_zscore(data, fit_zscore(data.where(F.col("split") == "train"), ORDER_FEATURES), ORDER_FEATURES).checkpoint()
+    return data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+
+
+@query("l5_kernel_table")
+def _l5_table(spark, sf):
+    """Polynomial kernels of degree 1 to 4 and RBF, each with and without class weights."""
+    from quarry.operators.kernels import Kernel, kernel_table
+
+    train, test = _scaled_orders(spark, sf)
+    kernels = [Kernel("poly", 0.25, d, 1.0) for d in (1, 2, 3, 4)] + [Kernel("rbf", 0.25)]
+    return kernel_table(train, test, ORDER_FEATURES, "o_orderkey", "y", kernels, m=10, tolerance=1e-2)
+
+
+@query("l6_kernel_regression")
+def _l6_kernel(spark, sf):
+    from quarry.operators.kernels import Kernel, Nystroem, fit_regressor
+
+    train, test = _scaled_orders(spark, sf)
+    features = Nystroem.fit(train, ["priority", "month", "weekday"], "o_orderkey", Kernel("rbf", 0.5), 10)
+    model = fit_regressor(features.apply(train), "phi", "o_totalprice", epsilon=0.1, tolerance=1e-2)
+    return features.apply(test).select("o_orderkey", F.col("o_totalprice").alias("actual"), model.score().alias("predict"))

@@ -331,7 +331,7 @@ def _w4(spark, sf):
     FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY ALL)""")
 def _w5(spark, sf):
     freq = A.value_counts(table(spark, sf, "orders"), "o_orderpriority", sort=None)
-    return W.rank_by(freq, [], [F.desc("n")])
+    return W.global_rank(freq, [("n", False)])
 
 
 @query("o1_sort", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")

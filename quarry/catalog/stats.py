@@ -564,3 +564,22 @@ def _x11_many(spark, sf):
     SELECT {R('any_value(t)')} AS t_obs, {R('avg(CASE WHEN abs(ts) >= abs(t) THEN 1.0 ELSE 0.0 END)')} AS p, count(*) AS replicates FROM s, o""")
 def _x12_many(spark, sf):
     return round_doubles(X.bootstrap_frequency_t_test(table(spark, sf, "lineitem"), "l_quantity", "l_returnflag", "A", "R", 10000, 29, key=_qty()))
+
+
+_HIST = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query("x21_profile_histograms", " UNION ALL ".join(f"""SELECT '{c}' AS "column", CAST(least(floor(({c} - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bin,
+      {R('lo + bin * ((hi - lo) / 10)', 4)} AS lo, {R('lo + (bin + 1) * ((hi - lo) / 10)', 4)} AS hi, count(*) AS count
+      FROM lineitem, (SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM lineitem) r GROUP BY ALL""" for c in _HIST))
+def _x21_histograms(spark, sf):
+    h = X.profile_histograms(table(spark, sf, "lineitem"), _HIST)
+    return h.withColumns({"lo": rnd("lo", 4), "hi": rnd("hi", 4)})
+
+
+@query("w5_rank_of_all_rows", "SELECT o_orderkey, CAST(rank() OVER (ORDER BY o_orderpriority DESC, o_orderdate) AS INTEGER) AS rank FROM orders")
+def _w5_all(spark, sf):
+    from quarry.operators.windows import global_rank
+
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    return global_rank(o, [("o_orderpriority", False), ("o_orderdate", True)]).select("o_orderkey", "rank")

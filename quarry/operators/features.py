@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.aggregates import group_quantiles
-from quarry.operators.ordering import global_row_number
+from quarry.operators.ordering import global_row_number, join_null_safe
 
 
 def _params(params: DataFrame) -> Column:
@@ -57,6 +57,20 @@ def apply_zscore(df: DataFrame, params: DataFrame, cols: Sequence[str], suffix:
     return df.withColumns(out)
 
 
+def scale_rows(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
+    """T2 across a row: each value less the row's mean, over its population sd.
+
+    A row of equal values maps to 0; NULL cells stay NULL and don't count.
+    """
+    cells = F.filter(F.array(*[F.col(c).cast("double") for c in cols]), lambda v: v.isNotNull())
+    total = F.aggregate(cells, F.lit(0.0), lambda s, v: s + v)
+    out = df.withColumn("__c", cells).withColumn("__m", F.try_divide(total, F.size("__c").cast("double")))
+    squares = F.aggregate("__c", F.lit(0.0), lambda s, v: s + (v - F.col("__m")) * (v - F.col("__m")))
+    out = out.withColumn("__s", F.sqrt(F.try_divide(squares, F.size("__c").cast("double"))))
+    scaled = {f"{c}{suffix}": F.when(F.col("__s") == 0, F.when(F.col(c).isNotNull(), 0.0)).otherwise((F.col(c) - F.col("__m")) / F.col("__s")) for c in cols}
+    return out.withColumns(scaled).drop("__c", "__m", "__s")
+
+
 # ---- T3 - T6 encodings --------------------------------------------------------------
 
 def fit_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list:
@@ -168,6 +182,34 @@ def apply_target_encoding(df: DataFrame, enc: DataFrame, col: str, name: str | N
     return joined.withColumn(name, F.coalesce(F.col("__enc"), prior)).drop("__enc")
 
 
+def fit_class_encoding(df: DataFrame, col: str, target: str, classes: Sequence, min_samples_leaf: int = 1,
+                       smoothing: float = 1.0) -> DataFrame:
+    """T7 per class: for every level the share of each class, shrunk to the class's prior.
+
+    One aggregate over the levels gives all classes; a level seen once, and a
+    NULL level, has its own row. Result columns: level, n, ``enc_{class}`` and
+    ``prior_{class}``. Rows without a label don't count.
+    """
+    rows = df.where(F.col(target).isNotNull())
+    shares = {c: F.avg((F.col(target) == F.lit(c)).cast("double")) for c in classes}
+    prior = rows.agg(F.struct(*[e.alias(f"p{i}") for i, e in enumerate(shares.values())])).scalar()
+    stats = rows.groupBy(col).agg(F.count(F.lit(1)).alias("n"), *[e.alias(f"__m{i}") for i, e in enumerate(shares.values())])
+    w = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("n") - F.lit(min_samples_leaf)) / F.lit(float(smoothing))))
+    w = F.when(F.col("n") == 1, F.lit(0.0)).otherwise(w)
+    return stats.select(
+        col, "n", *[(prior[f"p{i}"] * (F.lit(1.0) - w) + F.col(f"__m{i}") * w).alias(f"enc_{c}") for i, c in enumerate(classes)],
+        *[prior[f"p{i}"].alias(f"prior_{c}") for i, c in enumerate(classes)])
+
+
+def apply_class_encoding(df: DataFrame, enc: DataFrame, col: str, classes: Sequence) -> DataFrame:
+    """T7 per class, apply: ``{col}_{class}`` columns; an unseen level gets the priors."""
+    prior = enc.agg(F.struct(*[F.first(f"prior_{c}").alias(f"p{i}") for i, c in enumerate(classes)])).scalar()
+    known = enc.select(col, F.lit(True).alias("__known"), *[F.col(f"enc_{c}").alias(f"__e{i}") for i, c in enumerate(classes)])
+    joined = join_null_safe(df, known, [col], "left")
+    return joined.withColumns({f"{col}_{c}": F.when(F.col("__known"), F.col(f"__e{i}")).otherwise(prior[f"p{i}"])
+                               for i, c in enumerate(classes)}).drop("__known", *[f"__e{i}" for i in range(len(classes))])
+
+
 # ---- T8 - T10 binning --------------------------------------------------------------------
 
 def fit_quantile_edges(df: DataFrame, col: str, n_bins: int, exact: bool = True) -> DataFrame:

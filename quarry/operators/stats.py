@@ -605,6 +605,24 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return stats.join(top, "column", "left")
 
 
+def profile_histograms(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """X21 histogram part: (column, bin, lo, hi, count) of every numeric column in one pass.
+
+    Each column has ``bins`` equal parts of its own range (one aggregate); empty
+    bins have no row, a constant column has one bin.
+    """
+    r = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c) for c in cols]).select(F.struct(*cols)).scalar()
+    cells = []
+    for c in cols:
+        width = (r[c]["hi"] - r[c]["lo"]) / bins
+        place = F.when(width == 0, 0).otherwise(F.least(F.floor(F.try_divide(F.col(c).cast("double") - r[c]["lo"], width)), F.lit(bins - 1)))
+        cells.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column"), place.cast("int").alias("bin"), r[c]["lo"].alias("low"), width.alias("width"))))
+    long = df.select(F.explode(F.array(*cells)).alias("c")).where("c IS NOT NULL").select("c.*")
+    out = long.groupBy("column", "bin", "low", "width").agg(F.count(F.lit(1)).alias("count"))
+    return out.select("column", "bin", (F.col("low") + F.col("bin") * F.col("width")).alias("lo"),
+                      (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("hi"), "count")
+
+
 def correlation_warnings(df: DataFrame, cols: Sequence[str], threshold: float = 0.9) -> DataFrame:
     """X21 warning part: pairs of numeric columns with |Pearson r| above ``threshold``."""
     c = correlation_long(df, cols)

@@ -50,11 +50,26 @@ def cumulative_contribution(items: DataFrame, key: str, weight: str, share: floa
 
 
 def rank_by(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """Rank (ties share a rank) within groups of a bounded result table."""
+    """Rank (ties share a rank) within groups, or over a bounded result table (see :func:`global_rank`)."""
     w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
     return df.withColumn(name, F.rank().over(w))
 
 
+def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], name: str = "rank") -> DataFrame:
+    """W5 over a whole table of any size: rank by (column, ascending) pairs, ties share a rank.
+
+    Rows are counted per distinct order value; the running count of these
+    frequencies, one distributed sort, gives every value the position of its
+    first row, which is joined back. A NULL is a value, after all others.
+    """
+    keys = [c for c, _ in order]
+    freq = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    by = [F.asc_nulls_last(c) if up else F.desc_nulls_last(c) for c, up in order]
+    cum = global_running_sum(freq, by, "__n", "__cum")
+    first = cum.select(*keys, (F.col("__cum") - F.col("__n") + 1).cast("int").alias(name))
+    return join_null_safe(df, first, keys).select(*df.columns, name)
+
+
 def sort(df: DataFrame, cols: Sequence[Column | str]) -> DataFrame:
     """O1."""
     return df.orderBy(*cols)

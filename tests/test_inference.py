@@ -303,3 +303,79 @@ def test_a_hundred_thousand_levels(spark):
     assert entries.where("id IN (-1, 7)").count() == 0 and v.count() == 100_001
     phi = X.phi_coefficients(df.withColumn("d", F.substring("c", 1, 7)), ["c", "d"])
     assert phi.count() == 100_000
+
+
+# --- kernels and small operators -------------------------------------------------
+
+
+def test_nystroem_features_give_the_kernel(spark):
+    from quarry.operators.kernels import Kernel, Nystroem
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(12, 3))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)] + [(99, None, 1.0, 1.0)], "id int, a double, b double, c double")
+    for kernel in (Kernel("rbf", 0.7), Kernel("poly", 0.5, 2, 1.0), Kernel("poly", 1.0, 1, 0.0)):
+        model = Nystroem.fit(df, ["a", "b", "c"], "id", kernel, m=12)
+        rows = model.apply(df).orderBy("id").collect()
+        phi = np.array([r.phi for r in rows[:12]])
+        assert phi @ phi.T == pytest.approx(kernel.matrix(x, x), abs=1e-6)
+        assert rows[12].phi is None
+
+
+def test_kernel_machines_converge(spark, labelled):
+    from quarry.operators.kernels import Kernel, Nystroem, fit_classifier, fit_regressor, minimise
+
+    df = labelled.select("o_orderkey", (F.col("p") / 100000).alias("p"), (F.col("m") / 6).alias("m"), "y")
+    features = Nystroem.fit(df, ["p", "m"], "o_orderkey", Kernel("rbf", 1.0), 10)
+    mapped = features.apply(df).checkpoint()
+    data = mapped.select("phi", "y", "p").collect()
+    phi, y, p = np.array([r.phi for r in data]), np.array([2.0 * r.y - 1 for r in data]), np.array([r.p for r in data])
+
+    def hinge(w):
+        short = np.maximum(1 - y * (phi @ w[:-1] + w[-1]), 0)
+        g = -2 * y * short
+        return (short**2).mean() + 5e-4 * w[:-1] @ w[:-1], np.append(phi.T @ g / len(y) + 1e-3 * w[:-1], g.mean())
+
+    _, best, _ = minimise(hinge, np.zeros(phi.shape[1] + 1), most=5000, tolerance=1e-9)
+    model = fit_classifier(mapped, "phi", F.col("y") == 1)
+    assert best <= model.objective <= 1.01 * best and model.evaluations < 100
+    right = mapped.agg(F.avg(((model.score() > 0) == (F.col("y") == 1)).cast("double"))).first()[0]
+    assert right > 0.85
+
+    def tube(w):
+        gap = p - phi @ w[:-1] - w[-1]
+        over = np.maximum(np.abs(gap) - 0.1, 0)
+        value = np.where(over < 0.1, over**2 / 0.2, over - 0.05).mean()
+        g = -np.sign(gap) * np.minimum(over / 0.1, 1)
+        return value + 5e-4 * w[:-1] @ w[:-1], np.append(phi.T @ g / len(p) + 1e-3 * w[:-1], g.mean())
+
+    _, best, _ = minimise(tube, np.zeros(phi.shape[1] + 1), most=5000, tolerance=1e-9)
+    assert best <= fit_regressor(mapped, "phi", "p").objective <= 1.01 * best
+    assert fit_classifier(mapped.limit(0), "phi", F.col("y") == 1).evaluations == 0
+
+
+def test_minimise_finds_the_bottom_of_a_valley():
+    from quarry.operators.kernels import minimise
+
+    def valley(x):
+        a, b = x
+        return (1 - a) ** 2 + 100 * (b - a * a) ** 2, np.array([-2 * (1 - a) - 400 * a * (b - a * a), 200 * (b - a * a)])
+
+    x, value, _ = minimise(valley, np.array([-1.2, 1.0]), most=500, tolerance=1e-9)
+    assert x == pytest.approx([1.0, 1.0], abs=1e-5) and value < 1e-9
+
+
+def test_small_operators_on_nulls_and_constants(spark):
+    from quarry.operators import windows as W
+
+    df = spark.createDataFrame([("a", "x", 1.0, 1.0), ("a", "y", 1.0, None), (None, "x", 3.0, 5.0), ("b", None, None, None)], "c string, y string, u double, v double")
+    enc = T.fit_class_encoding(df, "c", "y", ["x", "y"])
+    out = {r.c: (r.c_x, r.c_y) for r in T.apply_class_encoding(spark.createDataFrame([("a",), ("new",), (None,)], "c string"), enc, "c", ["x", "y"]).collect()}
+    assert out["new"] == pytest.approx((2 / 3, 1 / 3)) and out[None] == pytest.approx((2 / 3, 1 / 3)) and sum(out["a"]) == pytest.approx(1.0)
+    rows = [(r.u, r.v) for r in T.scale_rows(df.select("u", "v"), ["u", "v"]).collect()]
+    assert rows == [(0.0, 0.0), (0.0, None), (-1.0, 1.0), (None, None)]
+    ranks = sorted((str(r.c), r["rank"]) for r in W.global_rank(df.select("c"), [("c", True)]).collect())
+    assert ranks == [("None", 4), ("a", 1), ("a", 1), ("b", 3)]
+    hist = {(r.column, r.bin): (r.lo, r.hi, r["count"]) for r in X.profile_histograms(df, ["u", "v"], 2).collect()}
+    assert hist == {("u", 0): (1.0, 2.0, 2), ("u", 1): (2.0, 3.0, 1), ("v", 0): (1.0, 3.0, 1), ("v", 1): (3.0, 5.0, 1)}
+    assert X.profile_histograms(df.where("c = 'a'"), ["u"], 4).first()["count"] == 2
