@@ -263,8 +263,9 @@ def test_near_duplicates_around_the_threshold(spark, monkeypatch):
         copy = [rng.choice(words) if rng.random() < (i % 7) * 0.02 else w for w in base]
         texts[1000 - i] = " ".join(copy)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    for batches in ((1, 3), (), (2,)):
+    for batches, small in (((1, 3), 16), ((), 0), ((2,), 3)):
         monkeypatch.setattr(near_duplicates, "BATCHES", batches)
+        monkeypatch.setattr(near_duplicates, "SMALL", small)
         rows = near_duplicates.near_duplicates(docs, words=2).collect()
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == jaccard_groups(texts, 2)
 
@@ -476,3 +477,35 @@ def test_stray_end_tags_take_linear_time():
         main_text.main_text("<b>" * n + "x" + "</i>" * n, reader, stops)
         took.append(time.perf_counter() - began)
     assert took[1] < 30 * max(took[0], 0.02)
+
+
+def test_shards_and_slots_equal_brute_force(spark, texts):
+    import zlib
+
+    import xxhash
+
+    def hashed(*parts):
+        seed = 42  # of the engine's hash; every part seeds the next
+        for p in parts:
+            seed = xxhash.xxh64(p.encode() if isinstance(p, str) else p.to_bytes(8, "little", signed=True), seed=seed).intdigest()
+        return seed >> 16
+
+    def descend(key, node, path=""):
+        while node.children:
+            draws = [(-math.log((hashed(key, f"{path}/{i}") + 0.5) / 2**48) / c.weight, i) for i, c in enumerate(node.children)]
+            i = min(draws)[1]
+            node, path = node.children[i], f"{path}/{i}"
+        return node.shard
+
+    tree = sharding.even_tree()
+    rows = sharding.shard(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
+    assert len(rows) == len(texts) and {r["law"] for r in rows} == {"key"}
+    order = defaultdict(list)
+    for r in rows:
+        raw = (texts[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"]) == (len(raw) + 8, zlib.crc32(raw))
+        assert r["shard"] == descend(str(r["doc_id"]), tree)
+        assert r["grown_shard"] == descend(str(r["doc_id"]), sharding.grown(tree))
+        order[r["shard"]].append((hashed(str(r["doc_id"]), r["text_crc32"], r["size"], "slot"), r["slot"]))
+    for held in order.values():
+        assert [slot for _, slot in sorted(held)] == list(range(len(held)))
