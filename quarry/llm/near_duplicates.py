@@ -12,16 +12,18 @@
 3. ``bands`` keys of ``rows`` coordinates each are grouped. With 24 bands of 4
    rows a pair of similarity 0.8 shares a band but for 3 pairs in a million.
 4. Bands are gone through in batches of 1, 3 and all others. In every bucket
-   that holds several components all members are compared with the smallest
-   one (its hub), confirmed links are contracted to components, and the same is
-   done again with the members that are left, without the hub. Near copies are
-   joined by the first band or two, so later bands find hardly a bucket that is
-   not one component already: a pair inside a component, which changes nothing,
-   is not made, and no pair that shares a band and could join two components is
-   skipped.
-5. Links are confirmed on the full sets. When a round of hubs no longer halves
-   the pairs that are left in its buckets (members that are truly dissimilar),
-   these pairs are compared directly, after an exact bound. Each set has a
+   that holds several components the members of different components are
+   compared with each other if there are at most ``SMALL`` members, else all
+   with the smallest one (its hub); those linked to the hub count as its
+   component, and the same is done again with the members of large buckets,
+   without the hub. After each batch the links are contracted to components.
+   Near copies are joined by the first band or two, so later bands find hardly a
+   bucket that is not one component already: a pair inside a component, which
+   changes nothing, is not made, and no pair that shares a band and could join
+   two components is skipped.
+5. Links are confirmed on the full sets. When a round of hubs asks for more than
+   half as many comparisons as the one before it (members that are truly
+   dissimilar), the pairs that are left in its buckets are compared directly, after an exact bound. Each set has a
    parity sketch: bit ``i`` is the parity of the number of its shingles that
    hash to ``i``. Every bit in which two sketches differ needs a shingle that
    only one of the sets has, so more differing bits than a similar pair may
@@ -60,6 +62,7 @@ WIDTH = 1 << 18
 SEED = 20240607
 SKETCH_LONGS = 32
 BATCHES = (1, 3)  # bands of the first batches; the last one has the others
+SMALL = 16  # members of a bucket that are compared with each other at once
 SEEN = 1 << 20  # sequences a task remembers
 
 
@@ -219,63 +222,81 @@ def near_duplicates(
     items = scratch.keep(items.join(company, "node", "left_semi"))
     wanted = company.join(smallest, company["node"] == smallest["sequence"]).select("id").distinct()
     sets = scratch.keep(full_sets(docs, id_col, text_col, words, wanted))
-    nothing = docs.sparkSession.createDataFrame([], "a binary, b binary")
-    edges, parts = nothing, nothing.toDF("node", "component")
-
-    def joined(links: DataFrame) -> None:
-        """Contract the components once more, with new links."""
-        nonlocal edges, parts
-        before = edges, parts
-        edges = scratch.keep(edges.union(links))
-        parts = scratch.keep(components(edges))
-        scratch.release(*before)
-
-    def with_parts(rows: DataFrame) -> DataFrame:
-        return rows.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    parts = docs.sparkSession.createDataFrame([], "node binary, component binary")  # of every node that is not its component
+
+    def with_parts(rows: DataFrame, node: str = "node", part: str = "part") -> DataFrame:
+        known = parts.select(F.col("node").alias(node), F.col("component").alias("__component"))
+        return rows.join(known, node, "left").withColumn(part, F.coalesce("__component", node)).drop("__component")
+
+    def contract(links: DataFrame) -> None:
+        """Join the components of linked nodes; only the components that change are gone through."""
+        nonlocal parts
+        between = with_parts(with_parts(links, "a", "pa"), "b", "pb").where("pa <> pb")
+        fresh = scratch.keep(between.select(F.greatest("pa", "pb").alias("a"), F.least("pa", "pb").alias("b")).distinct())
+        if not fresh.isEmpty():
+            moved = scratch.keep(components(fresh))
+            into = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+            before, parts = parts, scratch.keep(
+                parts.join(into, "component", "left").select("node", F.coalesce("to", "component").alias("component")).union(moved))
+            scratch.release(before, moved)
+        scratch.release(fresh)
 
     for first, size in batches_of(bands):
         members = with_parts(items).select(
             F.explode(F.slice("bands", first + 1, size)).alias("key"), "node", "n", "part")
-        stored, before = None, None
+        stored, before, linked = None, None, []
         while True:
-            mixed = scratch.keep(
-                members.groupBy("key").agg(F.min(F.struct("part", "node", "n")).alias("h"), F.max("part").alias("last"))
-                .where("h.part <> last").select("key", F.col("h.node").alias("b"), F.col("h.part").alias("part_b"), F.col("h.n").alias("nb"))
+            mixed = (
+                members.groupBy("key").agg(
+                    F.min(F.struct("part", "node", "n")).alias("h"), F.max("part").alias("last"), F.count(F.lit(1)).alias("m"))
+                .where("h.part <> last")
+                .select("key", "m", F.col("h.node").alias("b"), F.col("h.part").alias("part_b"), F.col("h.n").alias("nb"))
             )
-            if mixed.isEmpty():
-                scratch.release(mixed, stored)
-                break
             near = scratch.keep(members.join(mixed, "key"))
-            pairs = scratch.keep(
-                near.where((F.col("part") != F.col("part_b")) & sizes_allow("n", "nb", similarity))
-                .select(F.col("node").alias("a"), "b").distinct()
+            scratch.release(stored)
+            large, other = F.col("m") > SMALL, F.col("part") != F.col("part_b")
+            found, asked = near.agg(F.count(F.lit(1)), F.count_if(large & other)).first()
+            if not found:
+                scratch.release(near)
+                break
+            few = near.where(~large)
+            fewer = few.select("key", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("nb"))
+            pairs = few.select("key", F.col("node").alias("a"), "part", "n").join(fewer, "key").where(
+                (F.col("a") > F.col("b")) & other & sizes_allow("n", "nb", similarity)).select("a", "b")
+            with_hub = near.where(large & other & sizes_allow("n", "nb", similarity)).select(F.col("node").alias("a"), "b")
+            links = scratch.keep(confirmed(pairs.union(with_hub).distinct(), sets, similarity).distinct())
+            linked.append(links)
+            if not asked:
+                scratch.release(near)
+                break
+            # those that are left in large buckets, without the hub; what is linked to it is of its component
+            hits = links.select(F.col("a").alias("node"), "b", F.lit(True).alias("hit"))
+            stored = members = scratch.keep(
+                near.where(large & (F.col("node") != F.col("b"))).join(hits, ["node", "b"], "left")
+                .select("key", "node", "n", F.when(F.col("hit"), F.col("part_b")).otherwise(F.col("part")).alias("part")).distinct()
             )
-            # those that are left in these buckets, without the hub
-            rest = scratch.keep(near.where("node <> b").select("key", "node", "n").distinct())
-            joined(confirmed(pairs, sets, similarity))
-            scratch.release(pairs, near, mixed, stored)
-            members, stored = with_parts(rest), rest
-            sizes = members.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-                F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("same"))
-            left = sizes.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0))).first()[0]
-            if before is not None and left > before / 2:
+            scratch.release(near)
+            if before is not None and asked > before / 2:
                 about = sets.select("node", "sketch").dropDuplicates(["node"])
                 a = members.join(about, "node")
                 b = a.select("key", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("nb"), F.col("sketch").alias("sketch_b"))
-                pairs = scratch.keep(a.withColumnRenamed("node", "a").join(b, "key").where(
-                    (F.col("a") > F.col("b")) & (F.col("part") != F.col("part_b")) & may_link("n", "nb", "sketch", "sketch_b", similarity)
-                ).select("a", "b").distinct())
-                joined(confirmed(pairs, sets, similarity))
-                scratch.release(pairs, stored)
+                pairs = a.withColumnRenamed("node", "a").join(b, "key").where(
+                    (F.col("a") > F.col("b")) & other & may_link("n", "nb", "sketch", "sketch_b", similarity)
+                ).select("a", "b").distinct()
+                linked.append(scratch.keep(confirmed(pairs, sets, similarity)))
+                scratch.release(stored)
                 break
-            before = left
+            before = asked
+        if linked:
+            contract(reduce(DataFrame.union, linked))
+            scratch.release(*linked)
     # the texts of one identifier belong together
     several = held.groupBy("id").agg(F.min("sequence").alias("b"), F.max("sequence").alias("last")).where("b < last")
-    joined(held.join(several, "id").where("sequence <> b").select(F.col("sequence").alias("a"), "b").distinct())
+    contract(held.join(several, "id").where("sequence <> b").select(F.col("sequence").alias("a"), "b").distinct())
     own = with_parts(smallest.withColumnRenamed("sequence", "node"))
     least = own.groupBy("part").agg(F.min("id").alias("component_id"))
     groups = scratch.keep(own.join(least, "part").select(F.col("node").alias("sequence"), "component_id"))
-    scratch.release(items, company, sets, edges, parts)
+    scratch.release(items, company, sets, parts)
     out = signed.select("id", "sequence", "n").join(groups, "sequence", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(
