@@ -11,13 +11,13 @@
    one slice of the table, and a signature is the minimum of slices.
 3. ``bands`` keys of ``rows`` coordinates each are grouped. With 24 bands of 4
    rows a pair of similarity 0.8 shares a band but for 3 pairs in a million.
-4. Bands are gone through in batches of 1, 3 and all others. In every bucket
+4. Bands are gone through in batches of 4 and all others. In every bucket
    that holds several components the members of different components are
    compared with each other if there are at most ``SMALL`` members, else all
    with the smallest one (its hub); those linked to the hub count as its
    component, and the same is done again with the members of large buckets,
    without the hub. After each batch the links are contracted to components.
-   Near copies are joined by the first band or two, so later bands find hardly a
+   Near copies are joined by the first bands, so the others find hardly a
    bucket that is not one component already: a pair inside a component, which
    changes nothing, is not made, and no pair that shares a band and could join
    two components is skipped.
@@ -61,7 +61,7 @@ WORDS, SIMILARITY, BANDS, ROWS = 5, 80, 24, 4
 WIDTH = 1 << 18
 SEED = 20240607
 SKETCH_LONGS = 32
-BATCHES = (1, 3)  # bands of the first batches; the last one has the others
+BATCHES = (4,)  # bands of the first batches; the last one has the others
 SMALL = 16  # members of a bucket that are compared with each other at once
 SEEN = 1 << 20  # sequences a task remembers
 
