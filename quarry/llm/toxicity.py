@@ -41,7 +41,7 @@ FACTORS = 4
 STEMS = (4, 6)
 ROWS = 12_000
 LEAST_ROWS, LEAST_Z = 4, 5.0
-PAIR_TERMS, PAIR_Z = 2048, 20.0
+PAIR_TERMS, PAIR_Z = 1024, 20.0
 PASSES, LEAST_STEPS = 5, 1500
 BATCH = 64
 CUT = 0.7
@@ -116,24 +116,25 @@ def telling_pairs(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, alone
     row = np.repeat(np.arange(n), np.diff(ends, prepend=0))
     use = place[terms] >= 0
     row, column = row[use], place[terms[use]]
-    both = [np.zeros((len(chosen), len(chosen)), np.float32) for _ in range(2)]
-    for lo in range(0, n, 1024):
-        inside = slice(*np.searchsorted(row, (lo, lo + 1024)))
-        dense = np.zeros((min(1024, n - lo), len(chosen)), np.float32)
-        dense[row[inside] - lo, column[inside]] = 1.0
-        for k, of in enumerate((labels[lo : lo + 1024] == 0, labels[lo : lo + 1024] == 1)):
-            both[k] += dense[of].T @ dense[of]
-    sizes = (n - ones, ones)
-    shares = [b / s for b, s in zip(both, sizes)]
-    single = [np.diag(s).copy() for s in shares]
-    gap = (shares[1] - np.outer(single[1], single[1])) - (shares[0] - np.outer(single[0], single[0]))
-    joint = (both[0] + both[1]) / n
-    spread = np.sqrt(np.maximum(joint * (1 - joint), 1.0 / n) * (1 / sizes[0] + 1 / sizes[1]))
-    found = np.abs(gap) >= PAIR_Z * spread
-    np.fill_diagonal(found, False)
-    # words and their stems always stand together: such a pair says nothing that one of them doesn't
-    alike = joint >= 0.9 * np.minimum(np.diag(joint)[:, None], np.diag(joint)[None, :])
-    out[chosen[(found & ~alike).any(axis=1)]] = True
+    held = np.zeros((n, len(chosen)), np.uint8)
+    held[row, column] = 1
+    sides, sizes = [labels == 0, labels == 1], (n - ones, ones)
+    single = [held[side].mean(axis=0, dtype=np.float64).astype(np.float32) for side in sides]
+    whole = held.mean(axis=0, dtype=np.float64).astype(np.float32)
+    for at in range(0, len(chosen), 256):  # a strip of pairs at a time
+        strip = slice(at, min(at + 256, len(chosen)))
+        both = [np.zeros((strip.stop - at, len(chosen)), np.float32) for _ in sides]
+        for lo in range(0, n, 1024):
+            dense = held[lo : lo + 1024].astype(np.float32)
+            for total, side in zip(both, sides):
+                of = side[lo : lo + 1024]
+                total += dense[of, strip].T @ dense[of]
+        gap = (both[1] / ones - np.outer(single[1][strip], single[1])) - (both[0] / (n - ones) - np.outer(single[0][strip], single[0]))
+        joint = (both[0] + both[1]) / n
+        spread = np.sqrt(np.maximum(joint * (1 - joint), 1.0 / n) * (1 / sizes[0] + 1 / sizes[1]))
+        # words and their stems always stand together: such a pair says nothing that one of them doesn't
+        alike = joint >= 0.9 * np.minimum(whole[strip][:, None], whole[None, :])
+        out[chosen[strip][((np.abs(gap) >= PAIR_Z * spread) & ~alike).any(axis=1)]] = True
     return out
 
 
