@@ -107,11 +107,21 @@ def hash_unit(*cols: Column | str, seed: int = 0) -> Column:
     md5 is used instead of Spark's murmur hash so that the same draw can be
     written in other SQL engines: 52 bits of the digest / 2^52 (exact in a double).
     """
+    return F.conv(F.substring(hash_digest(*cols, seed=seed), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def hash_digest(*cols: Column | str, seed: int = 0) -> Column:
+    """The md5 (hex) behind :func:`hash_unit`."""
     parts = [F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols]
     if seed is not None:
         parts.append(F.lit(str(seed)))
-    key = F.concat_ws("|", *parts) if len(parts) > 1 else parts[0]
-    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+    return F.md5(F.concat_ws("|", *parts) if len(parts) > 1 else parts[0])
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over as many tasks as the session shuffles to, and at least one per core."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
 def hash_unit_sql(key_sql: str | list[str], seed: int | None = 0) -> str:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import hash_unit, hash_unit_sql, join_null_safe, position_within
+from quarry.operators.ordering import hash_digest, hash_unit, hash_unit_sql, join_null_safe, position_within, spread_out
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
@@ -75,6 +75,20 @@ def poisson1(u: Column) -> Column:
     return expr
 
 
+def poisson1_of_digest(digest: Column) -> Column:
+    """:func:`poisson1` of :func:`hash_unit`, read off the md5's hex digits.
+
+    The draw is n / 2^52 with n the first 13 digits, so u < c where n < c * 2^52;
+    digits of equal length are ordered like their numbers, and those after the
+    13th only tell a longer text from its equal beginning, which is not less.
+    """
+    expr = F.lit(len(POISSON1_CDF))
+    for k, c in reversed(list(enumerate(POISSON1_CDF))):
+        n = math.ceil(c * (1 << 52))
+        expr = F.lit(k) if n >= 1 << 52 else F.when(digest < F.lit(f"{n:013x}"), F.lit(k)).otherwise(expr)
+    return expr
+
+
 def poisson1_sql(u: str) -> str:
     whens = " ".join(f"WHEN {u} < {c!r} THEN {k}" for k, c in enumerate(POISSON1_CDF))
     return f"(CASE {whens} ELSE {len(POISSON1_CDF)} END)"
@@ -85,15 +99,17 @@ def bootstrap_weights(df: DataFrame, key: str, replicates: int, seed: int = 0) -
 
     The replicate index is generated per row and consumed by the partial
     aggregate of the caller in the same task, so the R-fold expansion is CPU
-    only: it is never shuffled or stored.
+    only: it is never shuffled or stored. The rows are dealt out evenly before
+    it: a table of few bytes is read by few tasks, whatever the draws cost.
     """
-    x = df.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    # the draw is its own column: the CASE chain of poisson1 then reads it
-    # instead of re-evaluating the md5 in every branch
-    x = x.withColumn("__u", hash_unit(key, "rep", seed=seed))
+    spread = spread_out(df)
+    x = spread.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    # the draw is its own column: the CASE chain then reads it instead of
+    # re-evaluating the md5 in every branch
+    x = x.withColumn("__d", hash_digest(key, "rep", seed=seed))
     # zero weights are kept (they add nothing to weighted sums); a filter on w
     # would be pushed below the projection and evaluate the md5 a second time
-    return x.withColumn("w", poisson1(F.col("__u"))).drop("__u")
+    return x.withColumn("w", poisson1_of_digest(F.col("__d"))).drop("__d")
 
 
 def bootstrap_moments(df: DataFrame, key: str, value: str, replicates: int, seed: int = 0,
