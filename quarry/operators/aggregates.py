@@ -52,13 +52,16 @@ def sorted_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFra
     value->count map: the non-null values get their global position (range
     sort + checkpoint, see ``ordering``), the rows at the floor / ceiling of
     every position ``p * (n - 1)`` are kept (2 per quantile) and interpolated.
+    Equal values are put in the order of a hash of their row, so a value that
+    many rows share is sorted by many tasks.
     Returns one row per probability: (p, value).
     """
     from quarry.operators.ordering import global_row_number
 
-    x = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    tie = F.xxhash64(*[F.col(c) for c, t in df.dtypes if "map" not in t and "variant" not in t])
+    x = df.select(F.col(col).cast("double").alias("v"), tie.alias("tie")).where(F.col("v").isNotNull())
     n = x.agg(F.count(F.lit(1))).scalar()
-    numbered = global_row_number(x, [F.asc("v")], "rn")  # 1-based
+    numbered = global_row_number(x, [F.asc("v"), F.asc("tie")], "rn")  # 1-based
     spark = df.sparkSession
     ps = spark.range(len(probs)).select(
         F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("id").cast("int") + 1).alias("p"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.operators import aggregates as A
 from quarry.operators import ordering
 from quarry.operators import sampling as B
 
@@ -27,3 +28,17 @@ def test_bootstrap_weights_of_the_digest_are_those_of_the_number(spark):
     cuts = [int(c * (1 << 52)) + d for c in B.POISSON1_CDF for d in (-1, 0, 1, 2) if int(c * (1 << 52)) + d < 1 << 52]
     edge = spark.createDataFrame([(n / (1 << 52), f"{n:013x}" + tail) for n in cuts for tail in ("0" * 19, "f" * 19)], "u double, d string")
     assert edge.where(B.poisson1(F.col("u")) != B.poisson1_of_digest(F.col("d"))).count() == 0
+
+
+def test_sorted_quantiles_spread_a_value_that_all_rows_share(spark, monkeypatch):
+    rows = spark.range(4000).select("id", F.when(F.col("id") < 3900, 7.0).otherwise(9.0).alias("v"))
+    seen, numbered = [], ordering.global_row_number
+
+    def number(df, order, name):
+        seen.append(df.repartitionByRange(8, *order).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
+        return numbered(df, order, name)
+
+    monkeypatch.setattr(ordering, "global_row_number", number)
+    got = {r.p: r.value for r in A.sorted_quantiles(rows, "v", [0.0, 0.5, 0.99, 1.0]).collect()}
+    assert got == {0.0: 7.0, 0.5: 7.0, 0.99: 9.0, 1.0: 9.0}
+    assert seen[0] < 2000
