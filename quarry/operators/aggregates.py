@@ -8,6 +8,8 @@ aggregate used as a scalar subquery.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,7 +100,6 @@ def group_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], probs
     freq = long.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
     cum = global_running_sum(freq, [*keys, "__v"], "__n", "__cum")
     groups = cum.groupBy(*keys).agg(F.sum("__n").alias("__t"), F.min(F.col("__cum") - F.col("__n")).alias("__off"))
-    placed = join_null_safe(cum, groups, keys)
     last = F.col("__cum") - F.col("__off") - 1  # positions count from 0
     first = last - F.col("__n") + 1
     steps = F.array(*[F.lit(float(p)) for p in probs])
@@ -106,12 +107,15 @@ def group_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], probs
     def position(p: Column) -> Column:
         return p * (F.col("__t") - 1)
 
-    # entry 2i / 2i + 1: the positions below and above quantile i; a value keeps those inside its range
+    # entry 2i / 2i + 1: the positions below and above quantile i; they are worked out once per group,
+    # and a value keeps those inside its range
     ends = F.flatten(F.transform(steps, lambda p: F.array(F.floor(position(p)), F.ceil(position(p)))))
-    hits = F.filter(F.transform(ends, lambda at, i: F.struct(i.alias("i"), at.alias("at"))),
-                    lambda s: (first <= s["at"]) & (s["at"] <= last))
-    picked = placed.select(*keys, "__t", "__v", F.explode(hits).alias("__h")).groupBy(*keys, "__t").agg(
-        F.map_from_entries(F.collect_list(F.struct("__h.i", "__v"))).alias("__m"))  # two entries a quantile
+    asked = groups.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__t", "__off", F.posexplode(ends).alias("__i", "__at"))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys))
+    # without groups there is one row per column and probability
+    found = cum.join(asked if by else F.broadcast(asked), same & (first <= F.col("__at")) & (F.col("__at") <= last))
+    picked = found.groupBy(*keys, "__t").agg(
+        F.map_from_entries(F.collect_list(F.struct("__i", "__v"))).alias("__m"))  # two entries a quantile
 
     def between(p: Column, i: Column) -> Column:
         lo, hi, part = F.col("__m")[2 * i], F.col("__m")[2 * i + 1], position(p) - F.floor(position(p))

@@ -42,3 +42,11 @@ def test_sorted_quantiles_spread_a_value_that_all_rows_share(spark, monkeypatch)
     got = {r.p: r.value for r in A.sorted_quantiles(rows, "v", [0.0, 0.5, 0.99, 1.0]).collect()}
     assert got == {0.0: 7.0, 0.5: 7.0, 0.99: 9.0, 1.0: 9.0}
     assert seen[0] < 2000
+
+
+def test_quantile_positions_are_worked_out_once_per_group(spark):
+    rows = spark.createDataFrame([(g, float(i)) for g in ("a", None) for i in range(11)], "g string, v double")
+    for by in ([], ["g"]):
+        q = A.group_quantiles(rows, by, ["v"], [0.25, 0.5, 0.75])
+        assert "filter(transform(" not in _plan(q)
+        assert [list(r["q"]) for r in q.collect()] == ([[2.5, 5.0, 7.5]] * 2 if by else [[2.25, 5.0, 7.75]])
