@@ -153,10 +153,13 @@ def _l8(spark, sf):
     return _fit_eval(spark, sf, M.decision_tree("gini", 4, 5), binary=True)
 
 
-def _cv_scores(spark, sf, impurity):
+def _cv_folds(spark, sf):
+    """The folds are dealt once; every pass of every fit reads them from the checkpoint."""
     data = order_features(spark, sf).withColumn("y", (F.col("status") == 0).cast("int"))
-    folds = stratified_folds(data, "o_orderkey", "y", 5, seed=2)
+    return stratified_folds(data, "o_orderkey", "y", 5, seed=2).select(*ORDER_FEATURES, "y", "fold").checkpoint()
 
+
+def _cv_scores(folds, impurity):
     def fit_predict(train, test):
         from quarry.operators.features import apply_zscore, fit_zscore
 
@@ -176,13 +179,14 @@ def _cv_scores(spark, sf, impurity):
 
 @query("l9_cross_validation")
 def _l9(spark, sf):
-    return _cv_scores(spark, sf, "gini")
+    return _cv_scores(_cv_folds(spark, sf), "gini")
 
 
 @query("l10_compare_fold_scores")
 def _l10(spark, sf):
-    g = _cv_scores(spark, sf, "gini").withColumn("model", F.lit("gini"))
-    e = _cv_scores(spark, sf, "entropy").withColumn("model", F.lit("entropy"))
+    folds = _cv_folds(spark, sf)
+    g = _cv_scores(folds, "gini").withColumn("model", F.lit("gini"))
+    e = _cv_scores(folds, "entropy").withColumn("model", F.lit("entropy"))
     return M.compare_fold_scores(g.unionByName(e), "model", "gini", "entropy", "accuracy")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
+from conftest import SMALL
 from quarry.operators import aggregates as A
 from quarry.operators import ordering
 from quarry.operators import sampling as B
@@ -50,3 +52,17 @@ def test_quantile_positions_are_worked_out_once_per_group(spark):
         q = A.group_quantiles(rows, by, ["v"], [0.25, 0.5, 0.75])
         assert "filter(transform(" not in _plan(q)
         assert [list(r["q"]) for r in q.collect()] == ([[2.5, 5.0, 7.5]] * 2 if by else [[2.25, 5.0, 7.75]])
+
+
+def test_folds_are_dealt_once(spark):
+    p = _plan(E.queries()["l9_cross_validation"](spark, SMALL))
+    assert "md5(" not in p and "Window" not in p
+
+
+def test_fold_comparison_shares_its_folds(spark, monkeypatch):
+    from quarry.catalog import models
+
+    dealt, deal = [], models.stratified_folds
+    monkeypatch.setattr(models, "stratified_folds", lambda *a, **k: dealt.append(1) or deal(*a, **k))
+    p = _plan(E.queries()["l10_compare_fold_scores"](spark, SMALL))
+    assert len(dealt) == 1 and "md5(" not in p
