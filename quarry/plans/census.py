@@ -41,7 +41,8 @@ def census_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = T.fit_minmax(x.where(F.col("split") == "train"), num)
     x = T.apply_minmax(x, params, num)
     feats = [c for c in x.columns if c not in ("o_orderkey", "y", "split")]
-    v = M.vectorize(x, feats, "y")
+    # fits and scores read the joined, encoded rows from the checkpoint
+    v = M.vectorize(x.select(*feats, "y", "split").checkpoint(), feats, "y")
     train, test = v.where(F.col("split") == "train"), v.where(F.col("split") == "test")
     from pyspark.ml.functions import vector_to_array
 
@@ -49,7 +50,7 @@ def census_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, est in (("forest", M.random_forest(20, "gini", 6, seed=1)), ("bayes", M.gaussian_nb())):
         scored = est.fit(train).transform(test).select(
             F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("pred"),
-            vector_to_array("probability")[1].alias("score"))
+            vector_to_array("probability")[1].alias("score")).checkpoint()  # four readers
         roc = E.roc_table(scored, "y", "score")
         best = E.best_thresholds(roc).select("best_threshold", "best_sensitivity", "best_specificity")
         # one-row metric frames are stacked as (model, metric, value) rows: no keyless joins

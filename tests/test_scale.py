@@ -66,3 +66,8 @@ def test_fold_comparison_shares_its_folds(spark, monkeypatch):
     monkeypatch.setattr(models, "stratified_folds", lambda *a, **k: dealt.append(1) or deal(*a, **k))
     p = _plan(E.queries()["l10_compare_fold_scores"](spark, SMALL))
     assert len(dealt) == 1 and "md5(" not in p
+
+
+def test_census_joins_and_scores_once(spark):
+    p = _plan(E.queries()["census_flow"](spark, SMALL))
+    assert "customer.parquet" not in p and "md5(" not in p
