@@ -73,7 +73,8 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     w = counts.select(label, (tot.n / (tot.k * F.col("__nc"))).alias(name))
     from quarry.operators.ordering import join_null_safe
 
-    return join_null_safe(df, w, [label])
+    # one row per class: never the rows themselves are dealt out by a label with few values
+    return join_null_safe(df, F.broadcast(w), [label])
 
 
 def polynomial(df: DataFrame, degree: int, in_col: str = "features", out: str = "poly"):

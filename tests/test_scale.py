@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SMALL
 from quarry.operators import aggregates as A
+from quarry.operators import models as M
 from quarry.operators import ordering
 from quarry.operators import sampling as B
 
@@ -15,6 +16,20 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_class_weights_do_not_deal_rows_by_label(spark):
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 3).alias("y"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weighted = M.class_weights(rows, "y")
+        assert "SortMergeJoin" not in _plan(weighted) and "BroadcastHashJoin" in _plan(weighted)
+        want = {r.y: 1000 / (4 * r.n) for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+        got = weighted.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len(got) == 1000 and all(abs(r.weight - want[r.y]) < 1e-12 for r in got)
+
+
 def test_bootstrap_rows_are_spread_before_the_draws(spark):
     rows = spark.range(400).select(F.col("id").alias("k"), F.col("id").cast("double").alias("v")).coalesce(1)
     w = B.bootstrap_weights(rows, "k", 3, seed=5)
