@@ -14,20 +14,25 @@
 4. Bands are gone through in batches of 4 and all others. In every bucket
    that holds several components the members of different components are
    compared with each other if there are at most ``SMALL`` members, else all
-   with the smallest one (its hub); those linked to the hub count as its
-   component, and the same is done again with the members of large buckets,
-   without the hub. After each batch the links are contracted to components.
+   with the one that has most company in all its buckets (the hub, near the
+   middle of its group); those linked to the hub count as its component, and
+   the same is done again with the members of large buckets, without the hub.
+   After each batch the links are contracted to components.
    Near copies are joined by the first bands, so the others find hardly a
    bucket that is not one component already: a pair inside a component, which
    changes nothing, is not made, and no pair that shares a band and could join
    two components is skipped.
 5. Links are confirmed on the full sets. When a round of hubs asks for more than
-   half as many comparisons as the one before it (members that are truly
-   dissimilar), the pairs that are left in its buckets are compared directly, after an exact bound. Each set has a
-   parity sketch: bit ``i`` is the parity of the number of its shingles that
-   hash to ``i``. Every bit in which two sketches differ needs a shingle that
-   only one of the sets has, so more differing bits than a similar pair may
-   have such shingles rule a link out.
+   half as many comparisons as the one before it, what is left of its buckets is
+   dealt out in blocks of members, the largest component apart from the others.
+   Each two blocks meet in one cell (not two of the largest component), and a
+   cell gives the links of a spanning forest only, so a member has no more links
+   than cells, however many members it is similar to. Pairs whose components a
+   cell has joined already are not compared, others after an exact bound: bit
+   ``i`` of a parity sketch is the parity of the number of shingles that hash to
+   ``i``. Every bit in which two sketches differ needs a shingle that only one of
+   the sets has, so more differing bits than a similar pair may have such
+   shingles rule a link out.
 6. Rows that repeat an identifier with another text join the components of
    their texts.
 
@@ -46,7 +51,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +67,8 @@ SEED = 20240607
 SKETCH_LONGS = 32
 BATCHES = (4,)  # bands of the first batches; the last one has the others
 SMALL = 16  # members of a bucket that are compared with each other at once
+BLOCK = 1024  # members of a block
+BLOCK_SHINGLES = 1 << 19  # their shingles together
 SEEN = 1 << 20  # sequences a task remembers
 
 
@@ -105,9 +111,10 @@ class Signer:
         return out
 
 
-def parity_sketch(shingles: np.ndarray) -> np.ndarray:
-    bits = mix(shingles + np.uint64(SEED)) & np.uint64(64 * SKETCH_LONGS - 1)
-    return np.packbits(np.bincount(bits.astype(np.int64), minlength=64 * SKETCH_LONGS).astype(np.uint8) & 1).view(np.int64)
+def parity_sketch(shingles: np.ndarray, longs: int = SKETCH_LONGS) -> np.ndarray:
+    """``longs`` is a power of two."""
+    bits = mix(shingles + np.uint64(SEED)) & np.uint64(64 * longs - 1)
+    return np.packbits((np.bincount(bits.astype(np.int64), minlength=64 * longs) & 1).astype(np.uint8)).view(np.int64)
 
 
 def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -149,7 +156,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, bands: i
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: DataFrame) -> DataFrame:
-    """(node, shingles, sketch) of the rows whose identifier is in ``wanted`` (id)."""
+    """(node, shingles) of the rows whose identifier is in ``wanted`` (id)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,16 +164,14 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: D
                 part = batch.slice(start, 512)
                 nodes, found = zip(*shingle_sets(part.column(1), words))
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
-                sketches = np.concatenate([parity_sketch(s) for s in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int64), pa.int64())),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * SKETCH_LONGS), pa.array(sketches, pa.int64()))],
-                    names=["node", "shingles", "sketch"],
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int64), pa.int64()))],
+                    names=["node", "shingles"],
                 )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = rows.join(wanted.hint("shuffle_hash"), "id", "left_semi").mapInArrow(sets, "node binary, shingles array<bigint>, sketch array<bigint>")
+    found = rows.join(wanted.hint("shuffle_hash"), "id", "left_semi").mapInArrow(sets, "node binary, shingles array<bigint>")
     return found.where("node IS NOT NULL")
 
 
@@ -183,10 +188,78 @@ def sizes_allow(na: str, nb: str, similarity: int) -> Column:
     return 100 * F.least(na, nb) >= similarity * F.greatest(na, nb)
 
 
-def may_link(na: str, nb: str, sa: str, sb: str, similarity: int) -> Column:
-    """An exact bound: false only where the two sets can't reach the similarity."""
-    apart = reduce(add, (F.bit_count(F.col(sa)[i].bitwiseXOR(F.col(sb)[i])) for i in range(SKETCH_LONGS)))
-    return sizes_allow(na, nb, similarity) & ((100 + similarity) * apart <= (100 - similarity) * (F.col(na) + F.col(nb)))
+def alike(a: np.ndarray, b: np.ndarray, similarity: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if len(a) > len(b):
+        a, b = b, a
+    common = int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
+    return 100 * common >= similarity * (len(a) + len(b) - common)
+
+
+def forest(parts: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], similarity: int) -> list[tuple[int, int]]:
+    """Links that join ``parts`` as all links between the sides do (between any two if there is one side only)."""
+    sizes, parts, links = np.array([len(s) for s in sets]), parts.copy(), []
+    longs = SKETCH_LONGS
+    while 32 * longs < sizes.max() and longs < 1024:
+        longs *= 2
+    sketches = np.stack([parity_sketch(s, longs) for s in sets]).view(np.uint64)
+    first, second = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+    for at, i in enumerate(first):
+        others = second if len(second) else first[at + 1 :]
+        others = others[parts[others] != parts[i]]
+        n = sizes[others]
+        others = others[100 * np.minimum(n, sizes[i]) >= similarity * np.maximum(n, sizes[i])]
+        apart = np.bitwise_count(sketches[others] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        near = (100 + similarity) * apart <= (100 - similarity) * (sizes[others] + sizes[i])
+        others = others[near][np.argsort(apart[near], kind="stable")]
+        while len(others):
+            j, others = others[0], others[1:]
+            if alike(sets[i], sets[j], similarity):
+                links.append((i, j))
+                parts[parts == parts[j]] = parts[i]
+                others = others[parts[others] != parts[i]]
+    return links
+
+
+def dealt(members: DataFrame) -> DataFrame:
+    """(key, x, y, side, node, part) of ``members`` (key, node, n, part): any two members of a
+    bucket and of different components meet in a cell (key, x, y), on its two sides unless x = y.
+
+    Blocks of the bucket's largest component have negative numbers, they meet those of the others only.
+    """
+
+    def blocks(count: str, shingles: str) -> Column:
+        return F.ceil(F.greatest(F.expr(f"({count}) / {BLOCK}"), F.expr(f"({shingles}) / {BLOCK_SHINGLES}"))).cast("int")
+
+    by_part = members.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
+    by_key = by_part.groupBy("key").agg(F.max(F.struct("c", "w", "part")).alias("top"), F.sum("c").alias("c"), F.sum("w").alias("w"))
+    by_key = by_key.where("c > top.c").select(
+        "key", F.col("top.part").alias("largest"), blocks("top.c", "top.w").alias("in_largest"), blocks("c - top.c", "w - top.w").alias("in_others"))
+    apart = F.col("part") == F.col("largest")
+    own = F.pmod(F.xxhash64("node"), F.when(apart, F.col("in_largest")).otherwise(F.col("in_others"))).cast("int")
+    rows = members.join(by_key, "key").withColumn("own", own)
+
+    def cells(blocks: str, x: str, y: str, side: str) -> Column:
+        return F.expr(f"transform(sequence(0, {blocks} - 1), i -> struct(int({x}) AS x, int({y}) AS y, int({side}) AS side))")
+
+    cell = F.when(apart, cells("in_others", "i", "-1 - own", "1")).otherwise(
+        F.concat(cells("in_largest", "own", "-1 - i", "0"), cells("in_others", "least(own, i)", "greatest(own, i)", "own > i")))
+    return rows.select("key", "node", "part", F.explode(cell).alias("cell")).select("key", "cell.*", "node", "part")
+
+
+def forests(cells: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Confirmed links (a, b) that join the components of every cell."""
+
+    def links(cell: pa.Table) -> pa.Table:
+        nodes, sides = cell.column("node").combine_chunks(), cell.column("side").to_numpy()
+        parts = cell.column("part").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+        shingles = pa.concat_arrays(cell.column("shingles").chunks)
+        values, ends = shingles.values.to_numpy().view(np.uint64), shingles.offsets.to_numpy()
+        found = forest(parts, sides, [values[a:b] for a, b in zip(ends[:-1], ends[1:])], similarity)
+        return pa.table({k: nodes.take(pa.array([pair[at] for pair in found], pa.int64())) for at, k in enumerate("ab")})
+
+    rows = cells.join(sets.dropDuplicates(["node"]), "node")
+    return rows.groupBy("key", "x", "y").applyInArrow(links, "a binary, b binary").distinct()
 
 
 def batches_of(bands: int) -> list[tuple[int, int]]:
@@ -217,9 +290,9 @@ def near_duplicates(
     items = signed.where("size(bands) > 0").select(F.col("sequence").alias("node"), "n", "bands")
     # only buckets with company matter
     keys = items.select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
-    company = scratch.keep(keys.join(shared, "key").select("node").distinct())
-    items = scratch.keep(items.join(company, "node", "left_semi"))
+    shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m")
+    company = scratch.keep(keys.join(shared, "key").distinct().groupBy("node").agg(F.sum("m").alias("company")))
+    items = scratch.keep(items.join(company, "node").dropDuplicates(["node"]))
     wanted = company.join(smallest, company["node"] == smallest["sequence"]).select("id").distinct()
     sets = scratch.keep(full_sets(docs, id_col, text_col, words, wanted))
     parts = docs.sparkSession.createDataFrame([], "node binary, component binary")  # of every node that is not its component
@@ -243,13 +316,14 @@ def near_duplicates(
 
     for first, size in batches_of(bands):
         members = with_parts(items).select(
-            F.explode(F.slice("bands", first + 1, size)).alias("key"), "node", "n", "part")
+            F.explode(F.slice("bands", first + 1, size)).alias("key"), "node", "n", "company", "part")
         stored, before, linked = None, None, []
         while True:
             mixed = (
                 members.groupBy("key").agg(
-                    F.min(F.struct("part", "node", "n")).alias("h"), F.max("part").alias("last"), F.count(F.lit(1)).alias("m"))
-                .where("h.part <> last")
+                    F.max(F.struct("company", "node", "part", "n")).alias("h"), F.min("part").alias("least"), F.max("part").alias("last"),
+                    F.count(F.lit(1)).alias("m"))
+                .where("least <> last")
                 .select("key", "m", F.col("h.node").alias("b"), F.col("h.part").alias("part_b"), F.col("h.n").alias("nb"))
             )
             near = scratch.keep(members.join(mixed, "key"))
@@ -273,17 +347,11 @@ def near_duplicates(
             hits = links.select(F.col("a").alias("node"), "b", F.lit(True).alias("hit"))
             stored = members = scratch.keep(
                 near.where(large & (F.col("node") != F.col("b"))).join(hits, ["node", "b"], "left")
-                .select("key", "node", "n", F.when(F.col("hit"), F.col("part_b")).otherwise(F.col("part")).alias("part")).distinct()
+                .select("key", "node", "n", "company", F.when(F.col("hit"), F.col("part_b")).otherwise(F.col("part")).alias("part"))
             )
             scratch.release(near)
             if before is not None and asked > before / 2:
-                about = sets.select("node", "sketch").dropDuplicates(["node"])
-                a = members.join(about, "node")
-                b = a.select("key", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("nb"), F.col("sketch").alias("sketch_b"))
-                pairs = a.withColumnRenamed("node", "a").join(b, "key").where(
-                    (F.col("a") > F.col("b")) & other & may_link("n", "nb", "sketch", "sketch_b", similarity)
-                ).select("a", "b").distinct()
-                linked.append(scratch.keep(confirmed(pairs, sets, similarity)))
+                linked.append(scratch.keep(forests(dealt(members), sets, similarity)))
                 scratch.release(stored)
                 break
             before = asked

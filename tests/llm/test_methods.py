@@ -270,6 +270,67 @@ def test_near_duplicates_around_the_threshold(spark, monkeypatch):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == jaccard_groups(texts, 2)
 
 
+@pytest.mark.parametrize("block", [1024, 40])
+def test_near_duplicates_of_a_loose_group_make_few_pairs(spark, monkeypatch, block):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    base = rng.choices(words, k=150)
+    texts = {}
+    for i in range(800):
+        copy = list(base)
+        for j in rng.sample(range(150), rng.choice((3, 4, 5, 6))):  # a copy is linked to fewer than half of the others
+            copy[j] = rng.choice(words)
+        texts[i] = " ".join(copy)
+    made = Counter()
+
+    def counted(name):
+        real = getattr(near_duplicates, name)
+
+        def run(*given):
+            made["pairs"] += given[0].count() if name == "confirmed" else 0
+            out = real(*given).cache()
+            made["links", name] += out.count()
+            return out
+
+        monkeypatch.setattr(near_duplicates, name, run)
+
+    for name in ("confirmed", "forests"):
+        if hasattr(near_duplicates, name):
+            counted(name)
+    monkeypatch.setattr(near_duplicates, "SMALL", 4)
+    monkeypatch.setattr(near_duplicates, "BLOCK", block, raising=False)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    rows = near_duplicates.near_duplicates(docs, words=2).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == jaccard_groups(texts, 2)
+    assert made["pairs"] <= 6 * len(texts)
+    assert 0 < made["links", "forests"] <= 6 * len(texts)
+
+
+@pytest.mark.parametrize("size", [60, 1500])  # the larger ones need a longer sketch
+def test_forest_joins_what_all_links_join(size):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, size).astype(np.uint64)
+    sets = []
+    for i in range(60):
+        new = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        sets.append(np.unique(np.where(rng.random(size) < 0.02 + 0.02 * (i % 5), new, base)))
+    linked = {(i, j) for i, j in itertools.combinations(range(60), 2)
+              if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+
+    def groups(parts, links):
+        label = parts.tolist()
+        for i, j in links:
+            label = [label[i] if x == label[j] else x for x in label]
+        return {frozenset(np.flatnonzero(np.array(label) == x).tolist()) for x in label}
+
+    for sides in (np.zeros(60, np.int64), rng.integers(0, 2, 60)):
+        for parts in (np.arange(60), np.arange(60) // 2):
+            across = {(i, j) for i, j in linked if not sides.any() or sides[i] != sides[j]}
+            found = near_duplicates.forest(parts, sides, sets, 80)
+            assert {tuple(sorted(map(int, x))) for x in found} <= across
+            assert groups(parts, found) == groups(parts, across) and len(found) < 60 <= len(across)
+
+
 def test_near_duplicates_of_many_rows(spark, duck):
     texts = dict(duck.execute(f"SELECT doc_id, text FROM '{MID}/documents.parquet'").fetchall())
     rows = near_duplicates.near_duplicates(spark.read.parquet(f"{MID}/documents.parquet"), words=2).collect()
