@@ -258,7 +258,7 @@ def forests(cells: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
         found = forest(parts, sides, [values[a:b] for a, b in zip(ends[:-1], ends[1:])], similarity)
         return pa.table({k: nodes.take(pa.array([pair[at] for pair in found], pa.int64())) for at, k in enumerate("ab")})
 
-    rows = cells.join(sets.dropDuplicates(["node"]), "node")
+    rows = cells.join(sets.join(cells.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "node")
     return rows.groupBy("key", "x", "y").applyInArrow(links, "a binary, b binary").distinct()
 
 
@@ -351,7 +351,9 @@ def near_duplicates(
             )
             scratch.release(near)
             if before is not None and asked > before / 2:
-                linked.append(scratch.keep(forests(dealt(members), sets, similarity)))
+                cells = scratch.keep(dealt(members))
+                linked.append(scratch.keep(forests(cells, sets, similarity)))
+                scratch.release(cells)
                 scratch.release(stored)
                 break
             before = asked
