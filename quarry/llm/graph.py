@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+EDGES = 1 << 15  # edges of one checkpoint file
+
 
 def _state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("v", "u")), F.lit(0))).first()
@@ -18,7 +20,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     neighbour, then does the same with the smaller ones. Only minima per node
     are grouped (partial aggregation takes care of nodes with very many
     edges), lists of neighbours are never collected. Every round is cut with a
-    reliable checkpoint; it ends when a round changes nothing.
+    reliable checkpoint, in files as many as the edges before it need (a round
+    doesn't add any); it ends when a round changes nothing.
     """
     now = (
         edges.where(F.col(a) != F.col(b))
@@ -31,7 +34,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.where("y > x").join(least, "x").where("y <> m").select(F.col("y").alias("v"), F.col("m").alias("u")).distinct()
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        now = small.union(least.select("v", F.col("m").alias("u"))).distinct().checkpoint()
+        now = small.union(least.select("v", F.col("m").alias("u"))).distinct().coalesce(1 + state[0] // EDGES).checkpoint()
         before, state = state, _state(now)
         if before == state:
             break

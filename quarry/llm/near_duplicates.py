@@ -70,6 +70,7 @@ SMALL = 16  # members of a bucket that are compared with each other at once
 BLOCK = 1024  # members of a block
 BLOCK_SHINGLES = 1 << 19  # their shingles together
 SEEN = 1 << 20  # sequences a task remembers
+MEMBERS = 1 << 13  # members of buckets whose links are written to one file
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[bytes | None, np.ndarray]]:
@@ -338,7 +339,9 @@ def near_duplicates(
             pairs = few.select("key", F.col("node").alias("a"), "part", "n").join(fewer, "key").where(
                 (F.col("a") > F.col("b")) & other & sizes_allow("n", "nb", similarity)).select("a", "b")
             with_hub = near.where(large & other & sizes_allow("n", "nb", similarity)).select(F.col("node").alias("a"), "b")
-            links = scratch.keep(confirmed(pairs.union(with_hub).distinct(), sets, similarity).distinct())
+            # as many tasks as the sets need give few links, and each file costs a writer and, on a local disk, forked processes
+            links = confirmed(pairs.union(with_hub).distinct(), sets, similarity).distinct()
+            links = scratch.keep(links.repartition(1 + found // MEMBERS))
             linked.append(links)
             if not asked:
                 scratch.release(near)

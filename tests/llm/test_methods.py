@@ -357,6 +357,41 @@ def test_identifiers_with_several_texts_keep_all_links(spark):
     assert {r["doc_id"] for r in found if r["kept"]} == {i for i, c in linked.items() if i == c}
 
 
+def test_links_are_written_to_few_files(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    texts = {}
+    for i in range(60):
+        base = rng.choices(words, k=80)
+        for j in range(3):
+            texts[3 * i + j] = " ".join([*base[:-1], f"end{j}"])
+    kept, checkpoints, keep, real = [], [], near_duplicates.Scratch.keep, near_duplicates.components
+
+    def counted(self, df):
+        out = keep(self, df)
+        kept.append((tuple(out.columns), len(out.inputFiles())))
+        return out
+
+    def parts(edges):
+        out = real(edges)
+        checkpoints.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(near_duplicates.Scratch, "keep", counted)
+    monkeypatch.setattr(near_duplicates, "components", parts)
+    adaptive = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(adaptive)
+    spark.conf.set(adaptive, "false")
+    try:
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+        rows = near_duplicates.near_duplicates(docs, words=2).collect()
+    finally:
+        spark.conf.set(adaptive, before)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == jaccard_groups(texts, 2)
+    links = next(n for columns, n in kept if columns == ("a", "b"))
+    assert links == 1 and set(checkpoints) == {1}, (links, checkpoints)
+
+
 def test_parity_bound_never_rules_out_a_link():
     rng = np.random.default_rng(2)
     for _ in range(200):
