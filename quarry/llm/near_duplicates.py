@@ -296,9 +296,11 @@ def near_duplicates(
     items = scratch.keep(items.join(company, "node").dropDuplicates(["node"]))
     wanted = company.join(smallest, company["node"] == smallest["sequence"]).select("id").distinct()
     sets = scratch.keep(full_sets(docs, id_col, text_col, words, wanted))
-    parts = docs.sparkSession.createDataFrame([], "node binary, component binary")  # of every node that is not its component
+    parts = None  # (node, component) of every node that is not its component; none until nodes are linked
 
     def with_parts(rows: DataFrame, node: str = "node", part: str = "part") -> DataFrame:
+        if parts is None:
+            return rows.withColumn(part, F.col(node))
         known = parts.select(F.col("node").alias(node), F.col("component").alias("__component"))
         return rows.join(known, node, "left").withColumn(part, F.coalesce("__component", node)).drop("__component")
 
@@ -309,10 +311,13 @@ def near_duplicates(
         fresh = scratch.keep(between.select(F.greatest("pa", "pb").alias("a"), F.least("pa", "pb").alias("b")).distinct())
         if not fresh.isEmpty():
             moved = scratch.keep(components(fresh))
-            into = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
-            before, parts = parts, scratch.keep(
-                parts.join(into, "component", "left").select("node", F.coalesce("to", "component").alias("component")).union(moved))
-            scratch.release(before, moved)
+            if parts is None:
+                parts = moved
+            else:
+                into = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+                before, parts = parts, scratch.keep(
+                    parts.join(into, "component", "left").select("node", F.coalesce("to", "component").alias("component")).union(moved))
+                scratch.release(before, moved)
         scratch.release(fresh)
 
     for first, size in batches_of(bands):

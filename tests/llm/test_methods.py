@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as E
 import corpus_pipeline
 from conftest import SMALL
-from quarry.llm import decontaminate, exact_dedup, main_text, near_duplicates, ppm_language, prefix_tokens, sharding, toxicity
+from quarry.llm import decontaminate, exact_dedup, graph, main_text, near_duplicates, ppm_language, prefix_tokens, sharding, toxicity
 from quarry.llm.wordhash import plain_words, utf8
 
 MID = "/root/testdata/sf0.01"
@@ -392,6 +392,51 @@ def test_links_are_written_to_few_files(spark, monkeypatch):
     assert links == 1 and set(checkpoints) == {1}, (links, checkpoints)
 
 
+@pytest.mark.parametrize("kind", ["stars", "hub", "random"])
+def test_components_take_no_round_that_changes_nothing(spark, monkeypatch, kind):
+    rng = random.Random(11)
+    edges = {
+        "stars": [(c, c + i) for c in (100, 200, 300) for i in range(1, 40)],
+        "hub": [(50, i) for i in range(100) if i != 50],
+        "random": [(rng.randrange(400), rng.randrange(400)) for _ in range(330)],
+    }[kind]
+    parent = {n: n for edge in edges for n in edge}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    cut, frame = [], type(spark.range(0))
+    checkpoint = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a, **k: cut.append(out := checkpoint(self, *a, **k)) or out)
+    found = graph.components(spark.createDataFrame(edges, "a int, b int")).collect()
+    assert sorted(map(tuple, found)) == sorted((n, root(n)) for n in parent if root(n) != n)
+    states = [sorted(map(tuple, c.collect())) for c in cut]
+    assert all(x != y for x, y in zip(states, states[1:]))
+    if kind != "random":
+        assert len(cut) == {"stars": 1, "hub": 2}[kind]
+
+
+def test_nothing_is_joined_to_components_that_do_not_exist_yet(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:n]) for n in (60, 59, 58, 57)] + ["x1 x2 x3 x4 x5 x6"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plans, keep = [], near_duplicates.Scratch.keep
+
+    def planned(self, df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(self, df)
+
+    monkeypatch.setattr(near_duplicates.Scratch, "keep", planned)
+    rows = near_duplicates.near_duplicates(docs, words=2).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 4}
+    assert not any(re.search(r"LogicalRDD \[node#\d+, component#\d+\]", p) for p in plans[1:])
+
+
 def test_parity_bound_never_rules_out_a_link():
     rng = np.random.default_rng(2)
     for _ in range(200):
